@@ -241,12 +241,16 @@ _TWICE = """twice AS (SELECT id, body, created_utc, subreddit FROM comments UNIO
   SELECT id, concat(body, ' again'), created_utc + 3456000, subreddit FROM comments)"""
 
 
-def twice(spark, sf):
-    once = v.comments(spark, sf).select("id", "body", "created_utc", "subreddit")
-    again = once.withColumns(
+def with_refetch(rows):
+    again = rows.withColumns(
         {"body": F.concat("body", F.lit(" again")), "created_utc": F.col("created_utc") + 3456000}
     )
-    return once.unionByName(again)
+    return rows.unionByName(again)
+
+
+def twice(spark, sf):
+    rows = v.comments(spark, sf).select("id", "body", "created_utc", "subreddit")
+    return with_refetch(rows)
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from commentloom.catalog import views as v
 from commentloom.catalog.registry import query
 from commentloom.catalog.report_queries import _SHORT, _STATUS, _TARGETS, counts_sql, targets
-from commentloom.catalog.row_queries import C, L, MONTH, twice
+from commentloom.catalog.row_queries import C, L, MONTH, twice, with_refetch
 from commentloom.functions.flags import year_month
 from commentloom.operators import filters
 from commentloom.schemas import COMMENTS
@@ -164,7 +164,7 @@ def _(spark, sf):
     landing, main = scratch_path(spark, "landing"), scratch_path(spark, "main")
     state = scratch_path(spark, "stream")
     rows = v.comments(spark, sf)
-    for arrival in (rows, twice(spark, sf).filter(v.KEPT)):  # the second brings every id again
+    for arrival in (rows, with_refetch(rows.filter(v.KEPT))):  # the second brings every id again
         arrival.write.mode("append").option("mapreduce.output.basename", "tmp_batch_m").parquet(
             landing
         )

@@ -1,5 +1,9 @@
 """Text operators as column expressions over whole tables.
 
+Most texts need most steps not at all, and a regular expression costs far more than a plain
+substring search.  Each step therefore asks for its trigger characters first.  It binds its
+input to a lambda variable, so a chain of steps stays linear in size and computes each step once.
+
 Only entity decoding and Unicode normalisation leave the JVM.  Both send a text to Python
 only when a cheap test says it can change; every other row crosses as a null.
 """
@@ -8,14 +12,22 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Whitespace as the source data's tools see it: Unicode White_Space and the four separators.
-_SPACE = r"[\s\x1c-\x1f]"
+# Whitespace as Unicode defines it, plus the four ASCII separators.
+_RARE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_SPACE = r"[\s\x1c-\x1f]"  # the same characters, under (?U)
+_RARE_LATIN = r"[\t-\r\x1c-\x1f\x85\xa0]"
+_RARE_OTHER = r"[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # Patterns and the order in which the profiles apply them.
 TAG = r"<[^>]+>"
@@ -71,73 +83,136 @@ def unescape_html_basic(c) -> Column:
     return c
 
 
+def _has(c: Column, *needles: str) -> Column:
+    return reduce(lambda x, y: x | y, [c.contains(n) for n in needles])
+
+
+def _not_ascii(c: Column) -> Column:
+    return F.octet_length(c) != F.length(c)
+
+
+def _bind(c, change) -> Column:
+    """``change`` of the column, which is evaluated once however often ``change`` names it."""
+    return F.transform(F.array(_col(c)), change)[0]
+
+
+def _replace_if(c, test, pattern: str, repl: str) -> Column:
+    return _bind(c, lambda x: F.when(test(x), F.regexp_replace(x, pattern, repl)).otherwise(x))
+
+
 def strip_tags(c) -> Column:
-    return F.regexp_replace(_col(c), TAG, "")
+    return _replace_if(c, lambda x: _has(x, "<"), TAG, "")
 
 
 def flatten_lines(c) -> Column:
-    return F.regexp_replace(_col(c), LINE_BREAKS, " ")
+    return _replace_if(c, lambda x: _has(x, "\n", "\r", "\t"), LINE_BREAKS, " ")
 
 
 def unlink_markdown(c) -> Column:
-    return F.regexp_replace(_col(c), MARKDOWN_LINK, "$1")
+    return _replace_if(c, lambda x: _has(x, "]("), MARKDOWN_LINK, "$1")
 
 
 def strip_user_mentions(c) -> Column:
-    return F.regexp_replace(_col(c), USER_MENTION, "")
+    return _replace_if(c, lambda x: _has(x, "u/"), USER_MENTION, "")
 
 
 def strip_zero_width(c, chars: str = ZERO_WIDTH) -> Column:
-    return F.translate(_col(c), chars, "")
+    for char in chars:
+        c = F.replace(_col(c), F.lit(char), F.lit(""))
+    return c
 
 
 def strip_urls(c, repl: str = "") -> Column:
-    return F.regexp_replace(_col(c), "(?U)" + URL, repl)
+    return _replace_if(c, lambda x: _has(x, "http", "www."), "(?U)" + URL, repl)
 
 
 def strip_emails(c, repl: str = "") -> Column:
-    return F.regexp_replace(_col(c), EMAIL, repl)
+    return _replace_if(c, lambda x: _has(x, "@"), EMAIL, repl)
 
 
 def strip_phones(c, repl: str = "") -> Column:
-    return F.regexp_replace(_col(c), PHONE, repl)
+    return _replace_if(c, lambda x: x.rlike("[0-9]{4}"), PHONE, repl)
+
 
+def fix_unicode(c, needed: Column | None = None) -> Column:
+    """NFC.  Only texts that meet ``needed``, by default non-ASCII ones, go to Python.
 
-def fix_unicode(c) -> Column:
-    """NFC.  Every character below U+0300 is already composed, so such texts stay put."""
+    A row evaluates ``c`` once: as the function's argument, or as the fallback.
+    """
     c = _col(c)
-    return F.coalesce(_nfc(F.when(c.rlike(r"[^\x00-\x{2FF}]"), c)), c)
+    if needed is None:
+        needed = _not_ascii(c)
+    return F.coalesce(_nfc(F.when(needed, c)), c)
 
 
 def strip_space(c) -> Column:
-    return F.regexp_replace(_col(c), rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
+    return F.trim(_col(c), F.lit(" " + _RARE_SPACE))
+
+
+def squash_runs(c, min_run: int = 2) -> Column:
+    """Runs of at least ``min_run`` whitespace characters become one space."""
+
+    def change(x: Column) -> Column:
+        plain = F.when(_has(x, "  "), F.regexp_replace(x, " {2,}", " ")).otherwise(x)
+        full = F.regexp_replace(x, rf"(?U){_SPACE}{{{min_run},}}", " ")
+        rare = x.rlike(_RARE_LATIN) | (_not_ascii(x) & x.rlike(_RARE_OTHER))
+        return F.when(rare, full).otherwise(plain)
+
+    return _bind(c, change)
 
 
 def squash_whitespace(c, min_run: int = 2) -> Column:
-    """Runs of at least ``min_run`` whitespace characters become one space, ends trimmed."""
-    return strip_space(F.regexp_replace(_col(c), rf"(?U){_SPACE}{{{min_run},}}", " "))
-
-
-def sanitize_column(c, profile: str = "worker") -> Column:
-    """The cleaning chain of one profile as a single column expression."""
-    c = F.coalesce(_col(c), F.lit(""))
-    c = unescape_html(c)
-    if profile == "worker":
-        c = strip_zero_width(strip_user_mentions(unlink_markdown(flatten_lines(strip_tags(c)))))
-        return squash_whitespace(strip_phones(strip_emails(strip_urls(fix_unicode(c)))))
-    if profile == "harvester":
-        c = fix_unicode(strip_user_mentions(flatten_lines(strip_tags(c))))
-        return squash_whitespace(strip_emails(strip_urls(c, "<URL>"), "<EMAIL>"))
-    if profile == "notebook":
-        c = F.regexp_replace(strip_urls(unlink_markdown(c)), rf"(?U){_SPACE}+", " ")
-        return strip_space(strip_zero_width(c, "\u200b"))
-    raise ValueError(f"unknown profile {profile!r}")
+    return strip_space(squash_runs(c, min_run))
+
+
+# The steps of each profile in order.
+PROFILES = {
+    "worker": [
+        unescape_html,
+        strip_tags,
+        flatten_lines,
+        unlink_markdown,
+        strip_user_mentions,
+        strip_zero_width,
+        fix_unicode,
+        strip_urls,
+        strip_emails,
+        strip_phones,
+        squash_whitespace,
+    ],
+    "harvester": [
+        unescape_html,
+        strip_tags,
+        flatten_lines,
+        strip_user_mentions,
+        fix_unicode,
+        lambda c: strip_urls(c, "<URL>"),
+        lambda c: strip_emails(c, "<EMAIL>"),
+        squash_whitespace,
+    ],
+    "notebook": [
+        unescape_html,
+        unlink_markdown,
+        strip_urls,
+        lambda c: squash_runs(c, 1),
+        lambda c: strip_zero_width(c, "\u200b"),
+        strip_space,
+    ],
+}
 
 
 def sanitize(
     df: DataFrame, profile: str = "worker", col: str = "body", out: str = "body_clean"
 ) -> DataFrame:
-    return df.withColumn(out, sanitize_column(col, profile))
+    """Clean ``col`` into ``out``; a missing text becomes empty."""
+    raw = F.coalesce(_col(col), F.lit(""))
+    clean = raw
+    for step in PROFILES[profile]:
+        if step is fix_unicode:  # an entity may stand for a non-ASCII character
+            clean = step(clean, _not_ascii(raw) | _has(raw, "&"))
+        else:
+            clean = step(clean)
+    return df.withColumn(out, clean)
 
 
 def dedup_key(c) -> Column:
@@ -145,18 +220,25 @@ def dedup_key(c) -> Column:
     return F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]+", "")
 
 
+_WORD = r"[\p{L}\p{N}_]"
+
+
+def _tokens(c, ascii_word: str) -> Column:
+    """Whole words that match ``ascii_word``.
+
+    Each match eats a whole word, so a token never starts inside one; words of any other kind
+    match the second branch and come out empty.
+    """
+    words = F.regexp_extract_all(
+        F.lower(_col(c)), F.lit(rf"({ascii_word})(?!{_WORD})|{_WORD}++"), F.lit(1)
+    )
+    return F.array_remove(words, "")
+
+
 def tokenize(c) -> Column:
     """ASCII word tokens that no other letter, digit or underscore touches."""
-    return F.regexp_extract_all(
-        F.lower(_col(c)),
-        F.lit(r"(?<![\p{L}\p{N}_])[a-z0-9]++(?![\p{L}\p{N}_])"),
-        F.lit(0),
-    )
+    return _tokens(c, "[a-z0-9]++")
 
 
 def tokenize_alpha(c, min_len: int = 3) -> Column:
-    return F.regexp_extract_all(
-        F.lower(_col(c)),
-        F.lit(rf"(?<![\p{{L}}\p{{N}}_])[a-z]{{{min_len},}}+(?![\p{{L}}\p{{N}}_])"),
-        F.lit(0),
-    )
+    return _tokens(c, f"[a-z]{{{min_len},}}+")

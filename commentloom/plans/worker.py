@@ -24,9 +24,7 @@ def candidate_pool(
 ) -> DataFrame:
     """Filtered, tagged, cleaned and deduplicated comments that no earlier run has seen.
 
-    Cheap filters come first and the ledger goes before the cleaning, whose cost it then saves;
-    the result is the same as with the ledger last, except that a seen comment no longer hides
-    a fresh copy of its text.
+    The ledger comes last: a comment published earlier still hides later copies of its text.
     """
     kept = filters.length_between(filters.drop_tombstones(comments), lo, hi)
     tagged = filters.with_year_month(filters.tag_tier(kept, dim))
