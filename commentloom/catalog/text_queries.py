@@ -50,6 +50,7 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = (
     r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})|\([0-9]{2,4}\)|\b[0-9]{2,4})"
     r"[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}\b"
+    r"|(?:\+[0-9]{1,3}[ .-]?|\b)[0-9]{5}[ .-][0-9]{5}\b"
 )
 
 

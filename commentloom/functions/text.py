@@ -39,11 +39,12 @@ URL = r"http\S+|www\.\S+"
 
 # Our own patterns.  An address starts at the beginning of its run of address characters, so
 # the engine never rescans a long run.  A phone number has 9 to 12 digits after an optional
-# country code, in three groups that a space, dot or hyphen may separate.
+# country code, in three groups, or two of five, that a space, dot or hyphen may separate.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = (
     r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})|\([0-9]{2,4}\)|\b[0-9]{2,4})"
     r"[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}\b"
+    r"|(?:\+[0-9]{1,3}[ .-]?|\b)[0-9]{5}[ .-][0-9]{5}\b"
 )
 
 
@@ -91,13 +92,13 @@ def _not_ascii(c: Column) -> Column:
     return F.octet_length(c) != F.length(c)
 
 
-def _bind(c, change) -> Column:
+def bind(c, change) -> Column:
     """``change`` of the column, which is evaluated once however often ``change`` names it."""
     return F.transform(F.array(_col(c)), change)[0]
 
 
 def _replace_if(c, test, pattern: str, repl: str) -> Column:
-    return _bind(c, lambda x: F.when(test(x), F.regexp_replace(x, pattern, repl)).otherwise(x))
+    return bind(c, lambda x: F.when(test(x), F.regexp_replace(x, pattern, repl)).otherwise(x))
 
 
 def strip_tags(c) -> Column:
@@ -158,7 +159,7 @@ def squash_runs(c, min_run: int = 2) -> Column:
         rare = x.rlike(_RARE_LATIN) | (_not_ascii(x) & x.rlike(_RARE_OTHER))
         return F.when(rare, full).otherwise(plain)
 
-    return _bind(c, change)
+    return bind(c, change)
 
 
 def squash_whitespace(c, min_run: int = 2) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commentloom.functions.text import bind, strip_space
 from commentloom.operators.lexicon import lexicon_hits
 from commentloom.schemas import CATEGORY_FLAGS, FLAGS, LABEL_ITEM, SHORT_FLAGS
 
@@ -67,10 +68,6 @@ def run_labeler(requests: DataFrame, fn: Callable[[pd.DataFrame], list[str]]) ->
     return requests.mapInPandas(label, schema)
 
 
-def _items(text: Column) -> Column:
-    return F.from_json(text, _ITEMS)
-
-
 def results_column(response: Column) -> Column:
     """The label items of a response, or null.
 
@@ -79,28 +76,32 @@ def results_column(response: Column) -> Column:
     objects in the text.  ``try_parse_json`` decides validity because ``from_json`` accepts an
     object where an array is due.
     """
-    text = F.regexp_replace(response, r"(?U)^\s+|\s+\z", "")
-    fenced = F.regexp_replace(F.regexp_replace(text, _FENCE_OPEN, ""), _FENCE_CLOSE, "")
-    text = F.when(text.startswith("```"), F.regexp_replace(fenced, r"(?U)^\s+|\s+\z", "")).otherwise(
-        text
-    )
-    valid = F.try_parse_json(text).isNotNull()
-    members = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    is_list = r"(?s)^\s*\["
-    results = members["results"]
-    lists = F.filter(
-        F.map_values(members), lambda v: v.rlike(is_list) & F.try_parse_json(v).isNotNull()
-    )
-    own = F.when(results.rlike(is_list) & ~results.rlike(r"(?s)^\s*\[\s*\]\s*$"), results)
-    from_object = F.coalesce(own, F.try_element_at(lists, F.lit(1)))
-    salvaged = F.regexp_extract(text, _BARE_LIST, 0)
-    salvaged = F.when(F.try_parse_json(salvaged).isNotNull(), salvaged)
-    picked = (
-        F.when(valid & text.startswith("["), text)
-        .when(valid & text.startswith("{"), from_object)
-        .when(~valid, salvaged)
-    )
-    return F.when(picked.rlike(is_list), _items(picked))
+    is_list, empty_list = r"(?s)^\s*\[", r"(?s)^\s*\[\s*\]\s*\z"
+
+    def unfence(text: Column) -> Column:
+        inner = F.regexp_replace(F.regexp_replace(text, _FENCE_OPEN, ""), _FENCE_CLOSE, "")
+        return F.when(text.startswith("```"), strip_space(inner)).otherwise(text)
+
+    def from_object(members: Column) -> Column:
+        results = members["results"]
+        lists = F.filter(
+            F.map_values(members), lambda v: v.rlike(is_list) & F.try_parse_json(v).isNotNull()
+        )
+        own = F.when(results.rlike(is_list) & ~results.rlike(empty_list), results)
+        return F.coalesce(own, F.try_element_at(lists, F.lit(1)))
+
+    def pick(text: Column) -> Column:
+        valid = F.try_parse_json(text).isNotNull()
+        salvaged = F.regexp_extract(text, _BARE_LIST, 0)
+        members = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+        return (
+            F.when(~valid, F.when(F.try_parse_json(salvaged).isNotNull(), salvaged))
+            .when(text.startswith("["), text)
+            .when(text.startswith("{"), bind(members, from_object))
+        )
+
+    picked = bind(bind(strip_space(response), unfence), pick)
+    return F.when(picked.rlike(is_list), F.from_json(picked, _ITEMS))
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:

@@ -131,13 +131,21 @@ def minority_keywords(
 
 
 def _term_slices(lexicon: DataFrame) -> list[Column]:
-    """The lexicon as arrays of at most about ``SLICE_TERMS`` (category, term) pairs.
+    """The lexicon as arrays of (category, term) pairs.
 
-    Only the number of terms is read here; each slice is a subquery of bounded size.
+    Up to ``SLICE_TERMS`` terms become one constant.  A longer lexicon stays a table: only its
+    size is read here, and each slice of about that many terms is a subquery.
     """
     lexicon = lexicon.select("category", F.lower("term").alias("term")).distinct()
-    n = lexicon.count()
-    slices = max(1, -(-n // SLICE_TERMS))
+    pair = "array<struct<category:string,term:string>>"
+    head = lexicon.limit(SLICE_TERMS + 1).collect()
+    if len(head) <= SLICE_TERMS:
+        pairs = [
+            F.struct(F.lit(r["category"]).alias("category"), F.lit(r["term"]).alias("term"))
+            for r in head
+        ]
+        return [F.array(*pairs).cast(pair)]
+    slices = -(-lexicon.count() // SLICE_TERMS)
     cut = F.pmod(F.xxhash64("term"), F.lit(slices))
     return [
         lexicon.filter(cut == i).agg(F.collect_list(F.struct("category", "term"))).scalar()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from commentloom.functions.flags import sample_rank, year_month
 from commentloom.operators.filters import keyword_match
 from commentloom.operators.ranking import lowest, lowest_per_group
+from commentloom.session import materialize
 
 STRATA = ["subreddit", "year_month"]
 
@@ -70,28 +71,34 @@ def balance_tiers(
 
 
 def _balance(df, tier, quotas, by, seed, id_col, target=None) -> DataFrame:
-    """Bucket shares, per-tier top-up and overall top-up in one ranking pass.
+    """Bucket shares, per-tier top-up and overall top-up.
 
-    Only counts decide how much is drawn, so they are aggregated first.  No draw can need more
-    than ``bound`` rows of a bucket or of a tier's rest, which bounds every window.
+    No draw can need more than ``bound`` rows of a bucket, so the pool is ranked and trimmed to
+    that once and written down; counts and draws then read that table, not the pool.  Counts
+    that ``bound`` cuts short still give the right draws, because no share or need exceeds it.
     """
     bound = max([q for _, q in quotas] + [target or 0])
+    order = _draw(seed, id_col)
+    ranked = materialize(lowest_per_group(df, [tier, *by], order, bound, "_rn"), "ranked")
+
     quota = F.lit(None).cast("long")
     for name, size in quotas:
         quota = F.when(F.col(tier) == name, F.lit(size).cast("long")).otherwise(quota)
-
-    buckets = df.groupBy(tier, *by).agg(F.count("*").alias("_n"))
     share = F.greatest(F.lit(1).cast("long"), F.floor(quota / F.col("_buckets")))
     per_tier = (  # one row per tier
-        buckets.groupBy(tier)
+        ranked.filter("_rn = 1")
+        .groupBy(tier)
         .agg(F.count("*").alias("_buckets"))
         .filter(quota.isNotNull())
         .select(tier, share.alias("_share"), quota.alias("_quota"))
     )
     filled = (
-        buckets.join(F.broadcast(per_tier), tier)
+        ranked.join(F.broadcast(per_tier), tier)
         .groupBy(tier, "_share", "_quota")
-        .agg(F.sum(F.least("_n", "_share")).alias("_first"), F.sum("_n").alias("_all"))
+        .agg(
+            F.count_if(F.col("_rn") <= F.col("_share")).alias("_first"),
+            F.count("*").alias("_all"),
+        )
         .withColumn("_need", F.greatest(F.lit(0), F.col("_quota") - F.col("_first")))
         .withColumn("_topped", F.least(F.col("_need"), F.col("_all") - F.col("_first")))
     )
@@ -99,8 +106,6 @@ def _balance(df, tier, quotas, by, seed, id_col, target=None) -> DataFrame:
         F.coalesce(F.sum(F.col("_first") + F.col("_topped")), F.lit(0))
     ).scalar()
 
-    order = _draw(seed, id_col)
-    ranked = lowest_per_group(df, [tier, *by], order, bound, "_rn")
     ranked = ranked.join(F.broadcast(filled.select(tier, "_share", "_need")), tier)
     first = ranked.filter(F.col("_rn") <= F.col("_share")).withColumn("_drawn", F.lit("share"))
     rest = lowest_per_group(

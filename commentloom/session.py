@@ -54,6 +54,13 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as parquet in the shared folder; later reads pick their columns."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """How many ways a hot group is spread: the session's shuffle partition count."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
