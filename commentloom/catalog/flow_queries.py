@@ -7,9 +7,18 @@ from pyspark.sql import functions as F
 from commentloom.catalog import views as v
 from commentloom.catalog.label_queries import _JSON, PROMPT, word_labels
 from commentloom.catalog.registry import query
-from commentloom.catalog.report_queries import _SHORT, _STATUS, _TARGETS, counts_sql, targets
+from commentloom.catalog.report_queries import (
+    _SHORT,
+    _STATUS,
+    _TARGETS,
+    SEEDS,
+    TFIDF_ROWS,
+    counts_sql,
+    targets,
+    targets_sql,
+)
 from commentloom.catalog.row_queries import C, L, RAW, UNITS, _rank, balance_sql, dim, units
-from commentloom.catalog.text_queries import worker_sql
+from commentloom.catalog.text_queries import harvester_sql, worker_sql
 from commentloom.operators import audit
 from commentloom.plans import harvest, intake, review, worker
 from commentloom.session import scratch_path
@@ -72,7 +81,30 @@ def _(spark, sf):
     return rows.withColumn("answer", F.col("messages")[2]["content"]).drop("messages")
 
 
-@query("flow_harvest_candidates")
+_PRIORITY = (
+    f"{targets_sql(100000)}, {counts_sql('labelled')}, short AS ({_SHORT}), priority AS ("
+    "SELECT metric FROM short WHERE shortfall > 0 AND metric <> 'clean_data'"
+    " ORDER BY shortfall DESC, ord LIMIT 1), corpus AS (SELECT id AS doc_id, text, CASE metric "
+    + " ".join(f"WHEN '{c}' THEN {c}" for c in v.WORDS)
+    + " END AS toxic FROM labelled, priority)"
+)
+_TERMS = (
+    "terms AS (SELECT word AS term FROM seeds WHERE length(word) > 3 UNION SELECT word FROM"
+    " (VALUES "
+    + ", ".join(f"('{c}', '{w}')" for c, w in v.WORDS.items())
+    + ") AS cached(category, word), priority WHERE category = metric)"
+)
+
+
+@query(
+    "flow_harvest_candidates",
+    f"WITH {v.LABELLED}, {v.POOL_ROWS}, {_PRIORITY}, {TFIDF_ROWS}, {SEEDS}, {_TERMS}, ranked AS ("
+    "SELECT *, row_number() OVER (PARTITION BY tier ORDER BY year, md5(concat('42|', id)), id) AS"
+    " rn FROM (SELECT *, CAST(left(year_month, 4) AS INT) AS year FROM pool WHERE EXISTS"
+    " (SELECT 1 FROM terms WHERE contains(lower(body), term))))"
+    f" SELECT id, tier, year, {harvester_sql('body')} AS body_clean FROM ranked"
+    " WHERE rn <= CASE WHEN tier = 'Tier 1' THEN 60 ELSE 320 END",
+)
 def _(spark, sf):
     labelled = v.labelled(spark, sf)
     cached = spark.createDataFrame(

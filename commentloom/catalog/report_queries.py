@@ -27,11 +27,13 @@ def targets(spark):
     return audit.targets_from_goal(spark, GOAL)
 
 
-_TARGETS = (
-    "targets(metric, goal, ord) AS (VALUES "
-    + ", ".join(f"('{c}', {(GOAL - GOAL // 2) // 4}, {i})" for i, c in enumerate(CATEGORY_FLAGS))
-    + f", ('clean_data', {GOAL // 2}, {len(CATEGORY_FLAGS)}))"
-)
+def targets_sql(goal):
+    rows = [f"('{c}', {(goal - goal // 2) // 4}, {i})" for i, c in enumerate(CATEGORY_FLAGS)]
+    rows.append(f"('clean_data', {goal // 2}, {len(CATEGORY_FLAGS)})")
+    return f"targets(metric, goal, ord) AS (VALUES {', '.join(rows)})"
+
+
+_TARGETS = targets_sql(GOAL)
 
 
 def counts_sql(rows):
@@ -236,8 +238,8 @@ def _(spark, sf):
     return lexicon.dynamic_stopwords(v.corpus(spark, sf), static)
 
 
-TFIDF = (
-    f"{v.CORPUS}, {word_df('corpus')}, {STOP},"
+TFIDF_ROWS = (
+    f"{word_df('corpus')}, {STOP},"
     f" tf AS (SELECT word, count(*) AS tf FROM (SELECT unnest({_TOK}) AS word FROM corpus WHERE"
     " toxic = 1) WHERE length(word) > 2 AND word NOT IN (SELECT word FROM stop) GROUP BY 1),"
     f" bg AS (SELECT word, count(*) AS bg_df FROM (SELECT unnest(list_distinct({_TOK})) AS word"
@@ -246,6 +248,7 @@ TFIDF = (
     "greatest((SELECT count(*) FROM bg), 1)::DOUBLE / (coalesce(bg_df, 0) + 1)), 6) AS score"
     " FROM tf LEFT JOIN bg ON bg.word = tf.word)"
 )
+TFIDF = f"{v.CORPUS}, {TFIDF_ROWS}"
 
 
 @query("a17_term_frequency", f"WITH {TFIDF} SELECT word, tf FROM tf")

@@ -177,11 +177,10 @@ DIM = """dim AS (
 
 KEPT = "body NOT IN ('[deleted]', '[removed]', '')"
 
-POOL = (
-    COMMENTS
-    + f""", {DIM}, pool AS (
+POOL_ROWS = f"""{DIM}, pool AS (
   SELECT c.id, c.body, lower(c.subreddit) AS subreddit, c.created_utc,
          {month_sql("c.created_utc")} AS year_month, concat('Tier ', d.tier) AS tier
   FROM comments c JOIN dim d ON d.subreddit = lower(c.subreddit)
   WHERE d.enabled AND {KEPT})"""
-)
+
+POOL = f"{COMMENTS}, {POOL_ROWS}"

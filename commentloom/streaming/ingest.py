@@ -59,13 +59,15 @@ def stream_ingest(
 def _append_new(batch: DataFrame, main: str) -> None:
     spark = batch.sparkSession
     month = F.coalesce(year_month("created_utc"), F.lit("unknown"))
-    fresh = dedup_by_id(batch).withColumn(MONTH, month)
+    unique = dedup_by_id(batch).withColumn(MONTH, month).persist()  # read for months and rows
+    fresh = unique
     if _exists(spark, main):
-        months = [r[0] for r in fresh.select(MONTH).distinct().collect()]  # calendar months
+        months = [r[0] for r in unique.select(MONTH).distinct().collect()]  # calendar months
         known = spark.read.schema(f"id string, {MONTH} string").parquet(main)
         known = known.filter(F.col(MONTH).isin(months))
         fresh = fresh.join(known, [MONTH, "id"], "left_anti")
     append_slices(fresh, main, [MONTH])
+    unique.unpersist()
 
 
 def windowed_counts(
