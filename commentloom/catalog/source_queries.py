@@ -9,7 +9,7 @@ from commentloom.catalog.registry import query
 from commentloom.catalog.report_queries import _SHORT, _STATUS, _TARGETS, counts_sql, targets
 from commentloom.catalog.row_queries import C, L, MONTH, twice, with_refetch
 from commentloom.functions.flags import year_month
-from commentloom.operators import filters
+from commentloom.operators.indexing import random_row_index
 from commentloom.schemas import COMMENTS
 from commentloom.session import scratch_path
 from commentloom.sources import config, scan, sinks
@@ -79,12 +79,11 @@ def _(spark, sf):
     " controversiality, collapsed_reason_code FROM comments",
 )
 def _(spark, sf):
-    rows = v.comments(spark, sf)
+    rows = random_row_index(v.comments(spark, sf), out="i")
     asked = F.concat(F.lit("asked_"), F.lower("subreddit")).alias("asked")
-    cut = F.pmod(F.xxhash64("id"), F.lit(64)).alias("cut")
-    day = F.floor(F.col("created_utc") / 864000).alias("day")
-    item = F.struct(*rows.columns)
-    pages = rows.select(asked, day, cut, item.alias("c")).groupBy("asked", "day", "cut")
+    item = F.struct(*COMMENTS.fieldNames()).alias("c")
+    cut = F.floor(F.col("i") / 100).alias("cut")  # a page holds at most 100 comments
+    pages = rows.select(asked, cut, item).groupBy("asked", "cut")
     page = F.to_json(F.struct(F.collect_list("c").alias("data")))
     landed_pages = pages.agg(page.alias("page")).select(F.col("asked").alias("subreddit"), "page")
     return scan.parse_pages(landed_pages)

@@ -62,6 +62,12 @@ def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
 
 
+# A filter on a cleaned text would be pushed below the cleaning and repeat all of it.  Spark leaves
+# filters above a projection that it may not repeat.
+_html_unescape = _html_unescape.asNondeterministic()
+_nfc = _nfc.asNondeterministic()
+
+
 def unescape_html(c) -> Column:
     """Decode every HTML entity; texts without ``&`` never leave the JVM."""
     c = _col(c)
