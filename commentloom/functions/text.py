@@ -26,7 +26,9 @@ _RARE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 _SPACE = r"[\s\x1c-\x1f]"  # the same characters, under (?U)
-_RARE_LATIN = r"[\t-\r\x1c-\x1f\x85\xa0]"
+# Single characters below U+0100 make one bit set in the regular expression; ranges would not.
+_RARE_LATIN = r"[\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0]"
+_RARE_SPAN = r"[\u1680-\u3000]"  # one cheap range around the rest
 _RARE_OTHER = r"[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # Patterns and the order in which the profiles apply them.
@@ -162,7 +164,8 @@ def squash_runs(c, min_run: int = 2) -> Column:
     def change(x: Column) -> Column:
         plain = F.when(_has(x, "  "), F.regexp_replace(x, " {2,}", " ")).otherwise(x)
         full = F.regexp_replace(x, rf"(?U){_SPACE}{{{min_run},}}", " ")
-        rare = x.rlike(_RARE_LATIN) | (_not_ascii(x) & x.rlike(_RARE_OTHER))
+        other = _not_ascii(x) & x.rlike(_RARE_SPAN) & x.rlike(_RARE_OTHER)
+        rare = x.rlike(_RARE_LATIN) | other
         return F.when(rare, full).otherwise(plain)
 
     return bind(c, change)
