@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from commentloom.llm import bpe, tokens
+from commentloom.llm import bpe, simhash, tokens
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def op3_token_counts(spark, sf_dir):
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op5_simhash_dedup(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_bpe_codec(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
