@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from commentloom.llm import bpe, simhash, tokens
+from commentloom.llm import ann, bpe, simhash, tokens, vafile
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,11 @@ def query(fn):
     return fn
 
 
+@query
+def op2_hilbert_neighbours(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), 10, F.col("_id") % 100 == 0)
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -29,6 +35,11 @@ def op5_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_vafile_topk(spark, sf_dir):
+    return vafile.top_inner(table(spark, sf_dir, "embeddings"), 5, F.col("_id") % 50 == 0)
+
+
 @query
 def op8_bpe_codec(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
