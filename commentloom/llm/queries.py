@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import ann, bpe, simhash, tokens, vafile
+from commentloom.llm import ann, bpe, simhash, tokens, vafile, warc
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,23 @@ def op7_vafile_topk(spark, sf_dir):
 def op8_bpe_codec(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encode(table(spark, sf_dir, "documents"), path, digests=True)
+
+
+@query
+def op10_warc_round_trip(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_warc_round_trip"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
