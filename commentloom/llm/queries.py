@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import ann, bpe, simhash, tokens, vafile, warc
+from commentloom.llm import ann, bpe, mixing, simhash, tokens, vafile, warc
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,65 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM f
 """
+
+
+@query
+def op9_source_mix(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.default_levels())
+    return mixed.select(
+        "_row.doc_id", "_path.domain", "_path.language", "_path.source", F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens")
+    )
+
+
+def _share_sql(out: str, nodes: str, parent: str, node: str) -> str:
+    """The even share of a parent's budget among its children, as common table expressions."""
+    order = f"PARTITION BY {parent} ORDER BY cap::DOUBLE / w::DOUBLE, {node}"
+    return f"""
+{out}_a AS (
+  SELECT *, coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before,
+         sum(w) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS ahead
+  FROM ({nodes}) WHERE w > 0
+), {out}_b AS (
+  SELECT *, cap::HUGEINT * ahead <= w::HUGEINT * (budget::HUGEINT - before) AS is_full FROM {out}_a
+), {out}_c AS (
+  SELECT *, budget::HUGEINT - coalesce(sum(CASE WHEN is_full THEN cap END) OVER (PARTITION BY {parent}), 0)::HUGEINT AS rest,
+         sum(CASE WHEN NOT is_full THEN w END) OVER (PARTITION BY {parent})::HUGEINT AS open_w
+  FROM {out}_b
+), {out} AS (
+  SELECT *, CASE WHEN is_full THEN cap ELSE (rest * w::HUGEINT) // open_w END::BIGINT AS share FROM {out}_c
+)"""
+
+
+ORACLES["op9_source_mix"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, 'none') AS language, coalesce(source, 'none') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\f\r]+'))::BIGINT AS n,
+         CASE WHEN coalesce(regexp_extract(source, '[0-9]{{1,9}}'), '') = '' THEN 'other'
+              ELSE (['web', 'books', 'news'])[regexp_extract(source, '[0-9]{{1,9}}')::INT % 3 + 1] END AS domain,
+         CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS w_language
+  FROM documents
+), leaves AS (
+  SELECT domain, language, source, max(w_language) AS w_language, sum(n)::BIGINT AS tokens, (2 * sum(n))::BIGINT AS cap,
+         CASE domain WHEN 'web' THEN 5 WHEN 'books' THEN 3 WHEN 'news' THEN 2 ELSE 1 END AS w_domain
+  FROM d GROUP BY domain, language, source
+), root AS (
+  SELECT least((sum(tokens)::HUGEINT * 3) // 5, sum(cap)::HUGEINT)::BIGINT AS budget FROM leaves
+), {_share_sql('s1', 'SELECT 0 AS top, domain, max(w_domain) AS w, sum(cap)::BIGINT AS cap, max(budget) AS budget FROM leaves, root GROUP BY domain', 'top', 'domain')},
+{_share_sql('s2', 'SELECT l.domain, language, max(w_language) AS w, sum(l.cap)::BIGINT AS cap, max(share) AS budget FROM leaves l JOIN s1 ON s1.domain = l.domain GROUP BY l.domain, language', 'domain', 'language')},
+{_share_sql('s3', 'SELECT l.domain, l.language, l.source, 1 AS w, l.cap, l.tokens, s2.share AS budget FROM leaves l JOIN s2 ON s2.domain = l.domain AND s2.language = l.language', 'domain, language', 'source')},
+plan AS (
+  SELECT domain, language, source, CASE WHEN tokens > 0 THEN share // tokens ELSE 0 END AS full_epochs,
+         CASE WHEN tokens > 0 THEN share % tokens ELSE share END AS part
+  FROM s3
+), placed AS (
+  SELECT d.*, full_epochs, part,
+         ('0x' || substr(md5('mix|' || (full_epochs + 1)::VARCHAR || '|' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place
+  FROM d JOIN plan USING (domain, language, source)
+), upto AS (
+  SELECT *, sum(n) OVER (PARTITION BY domain, language, source ORDER BY place RANGE UNBOUNDED PRECEDING) AS upto FROM placed
+), taken AS (
+  SELECT *, full_epochs + (part > 0 AND upto <= part)::INT AS times FROM upto
+)
+SELECT doc_id, domain, language, source, epoch::INT AS epoch, n AS n_tokens
+FROM taken, LATERAL (SELECT unnest(generate_series(1, times)) AS epoch)
+"""
