@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import ann, bpe, mixing, simhash, tokens, vafile, warc
+from commentloom.llm import ann, bpe, mixing, secrets, simhash, tokens, vafile, warc
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,44 @@ def op3_token_counts(spark, sf_dir):
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op4_secret_scan(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("_spans", lambda x: x["k"] < len(secrets.BASE))
+    count = lambda k: F.size(F.filter("_spans", lambda x: x["k"] == k)).cast("bigint")
+    return found.select(
+        "_row.doc_id",
+        *[count(k).alias(f"n_{rule.kind}") for k, rule in enumerate(secrets.BASE)],
+        F.sha2(secrets.listed(base, secrets.RULES), 256).alias("base_sha256"),
+        secrets.listed(F.col("_spans"), secrets.RULES).alias("spans"),
+    )
+
+
+def _spans_sql(rule: secrets.Rule, order: int) -> str:
+    """A list of (start, order, kind, end) structs of one rule over ``t``."""
+    regex = rule.regex.replace("'", "''")
+    return f"""
+  (SELECT list({{'s': s, 'k': {order}, 'n': '{rule.kind}', 'e': s + m}}) FROM (
+     SELECT m, v, (sum(g) OVER (ORDER BY i) + sum(m) OVER (ORDER BY i) - m)::INT AS s FROM (
+       SELECT unnest(range(1, 1 + len(found))) AS i, unnest(list_transform(found, lambda x: length(x))) AS m,
+              unnest(list_transform(vals, lambda x: length(x))) AS v, unnest(list_transform(gaps[1:len(found)], lambda x: length(x))) AS g
+       FROM (SELECT regexp_extract_all(t, '{regex}', 0) AS found, regexp_extract_all(t, '{regex}', {rule.group}) AS vals,
+                    string_split_regex(t, '{regex}') AS gaps)
+     )) WHERE v >= {rule.least})"""
+
+
+_KINDS = [f"coalesce({_spans_sql(r, i)}, [])" for i, r in enumerate(secrets.RULES)]
+ORACLES["op4_secret_scan"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+x AS (SELECT doc_id, {", ".join(f"{sql} AS k{i}" for i, sql in enumerate(_KINDS))} FROM d),
+y AS (SELECT *, list_sort(list_concat(k0, k1, k2)) AS base, list_sort(list_concat({", ".join(f"k{i}" for i in range(len(_KINDS)))})) AS every FROM x)
+SELECT doc_id, len(k0)::BIGINT AS n_assign, len(k1)::BIGINT AS n_access, len(k2)::BIGINT AS n_hex,
+       sha256(array_to_string(list_transform(base, lambda z: z.n || ':' || z.s || ':' || z.e), ',')) AS base_sha256,
+       array_to_string(list_transform(every, lambda z: z.n || ':' || z.s || ':' || z.e), ',') AS spans
+FROM y
+"""
+
+
 @query
 def op5_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
