@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import ann, bpe, mixing, secrets, simhash, tokens, vafile, warc
+from commentloom.llm import ann, bpe, langid, mixing, secrets, simhash, tokens, vafile, warc
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,14 @@ def query(fn):
     return fn
 
 
+@query
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))), "text", "lang")
+    found = langid.identify(docs, model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op2_hilbert_neighbours(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"), 10, F.col("_id") % 100 == 0)
