@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.session import materialize, scratch_path, shuffle_width
-
-__all__ = ["discard", "keyed", "materialize", "scratch_path", "shuffle_width", "stored", "table", "texts_of"]
+from commentloom.session import scratch_path
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -41,3 +43,38 @@ def finite(vector: Column) -> Column:
     """Whether a vector is there, not empty and free of null, NaN and infinite components."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     return F.coalesce((F.size(vector) > 0) & ~bad, F.lit(False))
+
+
+def numbered(texts: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of ``texts``, every word's number among them in order, and the texts' lengths."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    coded = pa.array(list(chain.from_iterable(texts)), pa.large_string()).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), lengths
+
+
+def summed(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``values``; a run may be empty."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(lengths)
+    return total[ends] - total[ends - lengths]
+
+
+def few_rows(df: DataFrame, rows: int, tasks: int = 32) -> DataFrame:
+    """About ``rows`` rows at most, the first ones of evenly spaced input partitions, which are read no further.
+
+    For fitting things that change only the speed; nothing is shuffled and no task sees more than its share.
+    """
+    parts = max(1, df.rdd.getNumPartitions())
+    stride = -(-parts // tasks)
+    each = max(1, rows // -(-parts // stride))
+
+    def head(batches):
+        left = each if TaskContext.get().partitionId() % stride == 0 else 0
+        if left:
+            for batch in batches:
+                yield batch.slice(0, left)
+                left -= batch.num_rows
+                if left <= 0:
+                    break
+
+    return df.mapInArrow(head, df.schema)

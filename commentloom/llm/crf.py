@@ -17,7 +17,8 @@ import numpy as np
 
 HASH_BITS = 18
 GRAMS = (1, 2, 3, 4)
-BLOCK = 128
+BLOCK = 256
+RESCALE = 6  # steps between rescalings; potentials are cut at 30 below a word's best
 WORD = re.compile(r"[^\W\d_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -30,26 +31,30 @@ def has_letter(words: list[str]) -> bool:
     return any(w[0].isalpha() or any(map(str.isalpha, w)) for w in words)
 
 
-def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of all words, and how many each word has; the words' n-grams follow one another."""
+def _coded(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """All letters between boundary marks, each word's count of them, and by length the n-grams' places and hashed rows."""
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
     flat = np.frombuffer(("\2" + "\3\2".join(words) + "\3").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    ends = np.repeat(np.cumsum(sizes), sizes)
-    at = np.arange(len(flat))
-    owner = np.repeat(np.arange(len(words)), sizes)
-    rows, owners = [], []
-    code = np.zeros(len(flat), np.uint64)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(flat))
+    code, codes = np.zeros(len(flat), np.uint64), []
     for n in GRAMS:
-        letters = np.zeros(len(flat), np.uint64)
-        letters[: len(flat) - n + 1] = flat[n - 1 :]
-        code = (code ^ letters) * _MULTIPLIER
+        code = (code[: len(flat) - n + 1] ^ flat[n - 1 :]) * _MULTIPLIER
         code ^= code >> np.uint64(29)
-        inside = at + n <= ends
-        rows.append((code[inside] >> np.uint64(64 - HASH_BITS)).astype(np.int64))
-        owners.append(owner[inside])
-    rows, owners = np.concatenate(rows), np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    return rows[order], np.bincount(owners, minlength=len(words))
+        at = np.flatnonzero(left[: len(code)] >= n)
+        codes.append((at, (code[at] >> np.uint64(64 - HASH_BITS)).astype(np.int64)))
+    return flat, sizes, codes
+
+
+def _grams_in(sizes: np.ndarray) -> np.ndarray:
+    return sum(np.maximum(sizes - n + 1, 0) for n in GRAMS)
+
+
+def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of all words, and how many each word has; the words' n-grams follow one another."""
+    flat, sizes, codes = _coded(words)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    owners = np.concatenate([owner[at] for at, _ in codes])
+    return np.concatenate([rows for _, rows in codes])[np.argsort(owners, kind="stable")], _grams_in(sizes)
 
 
 @dataclass
@@ -67,11 +72,13 @@ class Model:
 
     def potentials(self, words: list[str]) -> np.ndarray:
         """Words by labels; the last row of ``words`` stands for words outside the lexicon and stays zero."""
-        rows, sizes = gram_rows(words)
+        flat, sizes, codes = _coded(words)
+        summed = np.zeros((len(flat), len(self.labels)), np.float32)
+        for at, rows in codes:
+            summed[at] += self.grams[rows]
         starts = np.cumsum(sizes) - sizes
-        summed = np.add.reduceat(self.grams[rows], starts, axis=0) / np.sqrt(sizes)[:, None]
         known = np.fromiter((self.lexicon.get(w, len(self.lexicon)) for w in words), np.int64, len(words))
-        return summed + self.words[known]
+        return np.add.reduceat(summed, starts, axis=0) / np.sqrt(_grams_in(sizes))[:, None] + self.words[known]
 
 
 def train(model: Model, sequences: list[tuple[list[str], np.ndarray]], rounds: int = 3, batch: int = 64, rate: float = 0.5, seed: int = 5) -> Model:
@@ -128,8 +135,8 @@ def _step(model: Model, seen: list[np.ndarray], words: list[str], gold: np.ndarr
 def marginals(model: Model, potentials: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Label probabilities of every word of texts that follow one another in ``potentials``; no text is empty."""
     count = potentials.shape[1]
-    e = np.exp(potentials - potentials.max(axis=1, keepdims=True)).astype(np.float64)
-    moves = np.exp(model.moves - model.moves.max())
+    e = np.exp(np.maximum(potentials - potentials.max(axis=1, keepdims=True), -30.0)).astype(np.float64)
+    moves = np.exp(np.maximum(model.moves - model.moves.max(), -30.0))
     blocks = -(-lengths // BLOCK)
     starts = np.cumsum(lengths) - lengths
     text = np.repeat(np.arange(len(lengths)), blocks)
@@ -139,44 +146,58 @@ def marginals(model: Model, potentials: np.ndarray, lengths: np.ndarray) -> np.n
     order = np.argsort(-size, kind="stable")  # at a step the blocks that are still running come first
     begin, size, text, place = begin[order], size[order], text[order], place[order]
     running = np.searchsorted(-size, -np.arange(BLOCK), "left")
-    transfer = np.broadcast_to(np.eye(count), (len(size), count, count)).copy()
-    for t in range(BLOCK):
-        m = running[t]
-        if not m:
-            break
-        step = (transfer[:m].reshape(-1, count) @ moves).reshape(m, count, count) * e[begin[:m] + t][:, None, :]
-        transfer[:m] = step / step.max(axis=(1, 2), keepdims=True)
-    # Messages over the blocks of each text; a text of k blocks takes part in k steps.
-    row_of = np.empty((len(lengths), int(blocks.max())), np.int64)
-    row_of[text, place] = np.arange(len(size))
+    steps = int(size[0])
+    where = np.minimum(begin + np.arange(steps)[:, None], len(e) - 1)
+    by_step = e[where]
     enter, leave = np.full((len(size), count), 1 / count), np.ones((len(size), count))
+    if int(blocks.max()) > 1:
+        _exchange(by_step, moves, running, blocks, text, place, enter, leave)
+    ahead = np.empty_like(by_step)
+    message = enter
+    for t in range(steps):
+        m = running[t]
+        message = np.multiply(message[:m] @ moves, by_step[t, :m], out=ahead[t, :m])
+        if t % RESCALE == 0:
+            message /= message.sum(axis=1, keepdims=True)
+    message, back = leave, moves.T.copy()
+    for t in range(steps - 1, -1, -1):
+        m = running[t]
+        now = message[:m]
+        ahead[t, :m] *= now
+        now = (by_step[t, :m] * now) @ back
+        if t % RESCALE == 0:
+            now /= now.sum(axis=1, keepdims=True)
+        message[:m] = now
+    inside = np.arange(steps)[:, None] < size
+    out = np.empty_like(e)
+    out[where[inside]] = ahead[inside]
+    return out / out.sum(axis=1, keepdims=True)
+
+
+def _exchange(by_step, moves, running, blocks, text, place, enter, leave) -> None:
+    """Sends the messages over the blocks of each text: what enters a block from the left, and from the right."""
+    count = by_step.shape[2]
+    several = blocks[text] > 1
+    slot = np.cumsum(several) - 1  # among the blocks of texts of several blocks, in the same order
+    transfer = np.broadcast_to(np.eye(count), (int(several.sum()), count, count)).copy()
+    upto = np.concatenate([[0], np.cumsum(several)])
+    pick = np.flatnonzero(several)
+    for t in range(len(by_step)):
+        m = upto[running[t]]
+        step = (transfer[:m].reshape(-1, count) @ moves).reshape(m, count, count)
+        step *= by_step[t, pick[:m], None, :]
+        if t % RESCALE == 0:
+            step /= step.max(axis=(1, 2), keepdims=True)
+        transfer[:m] = step
+    row_of = np.empty((len(blocks), int(blocks.max())), np.int64)
+    row_of[text, place] = np.arange(len(text))
     for k in range(1, int(blocks.max())):
         on = np.flatnonzero(blocks > k)
         now, before = row_of[on, k], row_of[on, k - 1]
-        message = np.einsum("nj,njk->nk", enter[before], transfer[before])
+        message = np.einsum("nj,njk->nk", enter[before], transfer[slot[before]])
         enter[now] = message / message.sum(axis=1, keepdims=True)
     for k in range(int(blocks.max()) - 1, 0, -1):
         on = np.flatnonzero(blocks > k)
         now, before = row_of[on, k], row_of[on, k - 1]
-        message = np.einsum("njk,nk->nj", transfer[now], leave[now])
+        message = np.einsum("njk,nk->nj", transfer[slot[now]], leave[now])
         leave[before] = message / message.sum(axis=1, keepdims=True)
-    out = np.empty_like(e)
-    message = enter
-    for t in range(BLOCK):
-        m = running[t]
-        if not m:
-            break
-        at = begin[:m] + t
-        message = (message[:m] @ moves) * e[at]
-        message /= message.sum(axis=1, keepdims=True)
-        out[at] = message
-    message = leave
-    for t in range(BLOCK - 1, -1, -1):
-        m = running[t]
-        if not m:
-            continue
-        at = begin[:m] + t
-        out[at] *= message[:m]
-        after = (e[at] * message[:m]) @ moves.T
-        message[:m] = after / after.sum(axis=1, keepdims=True)
-    return out / out.sum(axis=1, keepdims=True)

@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentloom.llm.common import keyed
+from commentloom.llm.common import keyed, numbered
 from commentloom.llm.crf import Model, has_letter, marginals, train, words_of
 
 UNKNOWN = "und"
-CHUNK_WORDS = 200_000  # words labelled at a time, besides one text's own
+CHUNK_WORDS = 400_000  # words labelled at a time, besides one text's own
 CACHE_WORDS = 300_000
 _WORKER: dict = {}
 
@@ -84,15 +84,19 @@ def _label(model: Model, texts: list[list[str]]) -> list[np.ndarray]:
     if len(cache) > CACHE_WORDS:
         cache.clear()
         rows = None
-    fresh = list(dict.fromkeys(w for words in texts for w in words if w not in cache))
+    distinct, numbers, lengths = numbered(texts)
+    fresh = [w for w in distinct if w not in cache]
     if fresh:
         own = model.potentials(fresh)
+        if rows is None or len(cache) + len(fresh) > len(rows):
+            grown = np.empty((len(cache) + 2 * len(fresh) + 50_000, own.shape[1]), np.float32)
+            if rows is not None:
+                grown[: len(cache)] = rows[: len(cache)]
+            rows = _WORKER["rows"] = grown
+        rows[len(cache) : len(cache) + len(fresh)] = own
         cache.update(zip(fresh, range(len(cache), len(cache) + len(fresh)), strict=True))
-        rows = own if rows is None else np.concatenate([rows, own])
-        _WORKER["rows"] = rows
-    at = np.fromiter((cache[w] for words in texts for w in words), np.int64)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    return np.split(marginals(model, rows[at], lengths), np.cumsum(lengths)[:-1])
+    at = np.fromiter(map(cache.__getitem__, distinct), np.int64, len(distinct))
+    return np.split(marginals(model, rows[at][numbers], lengths), np.cumsum(lengths)[:-1])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", runs: bool = False) -> DataFrame:
