@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import ann, bpe, langid, mixing, secrets, simhash, tokens, vafile, warc
+from commentloom.llm import ann, bpe, langid, mixing, repeats, secrets, simhash, tokens, vafile, warc
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,11 @@ def op5_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_repeated_bytes(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_vafile_topk(spark, sf_dir):
     return vafile.top_inner(table(spark, sf_dir, "embeddings"), 5, F.col("_id") % 50 == 0)
