@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from commentloom.llm.common import keyed, numbered
 from commentloom.llm.crf import Model, has_letter, marginals, train, words_of
@@ -101,9 +102,20 @@ def _label(model: Model, texts: list[list[str]]) -> list[np.ndarray]:
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", runs: bool = False) -> DataFrame:
     """(id, lang_pred, score) for every row; with ``runs`` also the runs of words of one language as (lang, from, to)."""
-    texts = keyed(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = texts.schema["_id"].dataType.simpleString()
+    return _identified(keyed(docs, id_col, text_col), model, runs).withColumnRenamed("_id", id_col)
+
+
+def keep_known(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is in a known language with at least the score ``least``."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    found = _identified(keyed(rows.select("_row", F.col(f"_row.`{text_col}`").alias("_t")), "_row", "_t"), model, False)
+    known = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return known.select(*[F.col(f"_id.`{c}`").alias(c) for c in docs.columns])
+
+
+def _identified(texts: DataFrame, model: Model, runs: bool) -> DataFrame:
+    """(_id, lang_pred, score), whatever ``_id`` holds."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("from", pa.int32()), ("to", pa.int32())]))
 
     def decide(own: Model, ids: pa.Array, texts: list[list[str]]) -> pa.RecordBatch:
@@ -134,6 +146,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                     yield decide(own, batch.column("_id").slice(at, len(texts)), texts)
                     at, size, texts = at + len(texts), 0, []
 
-    schema = f"_id {kind}, lang_pred string, score double" + ", runs array<struct<lang:string,from:int,to:int>>" * runs
-    out = texts.mapInArrow(run, schema)
-    return out.select(F.col("_id").alias(id_col), *out.columns[1:])
+    shape = StructType([texts.schema["_id"]]).add("lang_pred", "string").add("score", "double")
+    if runs:
+        shape = shape.add("runs", "array<struct<lang:string,from:int,to:int>>")
+    return texts.mapInArrow(run, shape)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,11 @@ def query(fn):
     return fn
 
 
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 @query
 def op1_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -97,6 +103,11 @@ def op8_bpe_codec(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"), path, digests=True)
 
 
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 @query
 def op10_warc_round_trip(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))

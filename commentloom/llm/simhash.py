@@ -51,16 +51,19 @@ def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """(_id, fp) with the fingerprint as a signed 64-bit integer."""
+    """(_id, _twin, fp): the fingerprint as a signed 64-bit integer, and a hash of the text to tell apart equal ids."""
     texts = keyed(docs, id_col, text_col)
+    texts = texts.select("_id", F.xxhash64("_text").alias("_twin"), "_text")
 
     def run(batches):
         for batch in batches:
             column = batch.column("_text")
             values = np.array([fingerprint(column[k].as_py(), words) for k in range(len(column))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(values.view(np.int64))], names=["_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), batch.column("_twin"), pa.array(values.view(np.int64))], names=["_id", "_twin", "fp"]
+            )
 
-    return texts.mapInArrow(run, f"_id {texts.schema['_id'].dataType.simpleString()}, fp bigint")
+    return texts.mapInArrow(run, f"_id {texts.schema['_id'].dataType.simpleString()}, _twin bigint, fp bigint")
 
 
 def ball_keys(fp: Column, segments: int = 2, radius: int = 1) -> Column:
@@ -85,14 +88,41 @@ def links(prints: DataFrame) -> DataFrame:
     return near.select(F.greatest("fp", "before").alias("a"), F.least("fp", "before").alias("b")).distinct()
 
 
+def classes(prints: DataFrame) -> DataFrame:
+    """(fp, root): every distinct fingerprint with the smallest one that links reach."""
+    nodes = prints.select("fp").distinct()
+    roots, _ = components(links(nodes))
+    return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id, fingerprint, component_id): every row with its fingerprint and the smallest id of its class."""
     prints, _ = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("_id").alias("least"))
-    roots, _ = components(links(nodes.select("fp")))
-    named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    classes = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = named.join(classes, "root").select("fp", "component_id")
+    named = prints.groupBy("fp").agg(F.min("_id").alias("least")).join(classes(prints), "fp")
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = named.join(least, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select(
         F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each class the row with the smallest id.
+
+    A null id stays only where its class has no other; of rows with the class's id the smallest text hash
+    decides, and of rows equal in both, one of their columns' hash.
+    """
+    prints, _ = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_twin").alias("row")
+    best = prints.groupBy("fp").agg(F.min(order).alias("row"))
+    kept = best.join(classes(prints), "fp").groupBy("root").agg(F.min("row").alias("row"))
+    kept = kept.select(F.col("row._id").alias("_kept"), F.col("row._twin").alias("_kept_twin"))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        docs[id_col].alias("_id"),
+        F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("_twin"),
+    )
+    rows = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")) & (F.col("_twin") == F.col("_kept_twin")), "left_semi")
+    same = Window.partitionBy("_id", "_twin").orderBy(F.xxhash64("_row"))
+    one = rows.withColumn("_nth", F.row_number().over(same)).where("_nth = 1")
+    return one.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
