@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from commentloom.llm.common import keyed, numbered
 from commentloom.llm.crf import Model, has_letter, marginals, train, words_of
@@ -148,5 +148,6 @@ def _identified(texts: DataFrame, model: Model, runs: bool) -> DataFrame:
 
     shape = StructType([texts.schema["_id"]]).add("lang_pred", "string").add("score", "double")
     if runs:
-        shape = shape.add("runs", "array<struct<lang:string,from:int,to:int>>")
+        part = StructType().add("lang", "string").add("from", "integer").add("to", "integer")
+        shape = shape.add("runs", ArrayType(part))
     return texts.mapInArrow(run, shape)

@@ -15,7 +15,8 @@ a third of all rows is never gathered.  The selection is a comparison with the l
 
 Null texts count as empty and have 0 tokens; a leaf's documents without tokens come with the prefix they lie in.
 Null path values form a node named ``null_name``.  Rows that repeat an id in one leaf share its place in the order and are
-taken or left together.  Nodes of weight 0 or less, or of null weight, get nothing.  An empty table gives an empty result.
+taken or left together.  Nodes of weight 0 or less, or of null weight, get nothing
+and count for no capacity.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -66,7 +67,8 @@ def share_out(children: DataFrame, parent: list[str], node: str, weight: str, ca
 
 def budgets(leaves: DataFrame, names: list[str], budget: int, max_epochs: int) -> DataFrame:
     """Leaves (path, w_<level>, tokens) with their ``share`` of the budget in tokens."""
-    leaves = leaves.withColumn("_cap", (F.col("tokens") * max_epochs).cast("bigint"))
+    may = F.least(F.lit(1), *[F.col(f"w_{n}") for n in names]) > 0
+    leaves = leaves.withColumn("_cap", F.when(may, F.col("tokens") * max_epochs).otherwise(0).cast("bigint"))
     total = leaves.agg(F.sum("_cap")).first()[0] or 0
     level = leaves.withColumn("_root", F.lit("")).withColumn("_budget", F.lit(min(budget, int(total))).cast("bigint"))
     done = ["_root"]
