@@ -55,8 +55,8 @@ class Curves:
 
     def fit(self, x: np.ndarray, ids: np.ndarray, ranges: int) -> Curves:
         projected = [x @ axes for axes in self.axes]
-        self.middle = [p.mean(axis=0) for p in projected]
-        self.spread = [np.maximum(p.std(axis=0), 1e-300) for p in projected]
+        low, self.middle, high = (np.quantile(projected, q, axis=1) for q in (0.16, 0.5, 0.84))  # outliers don't count
+        self.spread = np.maximum((high - low) / 2, 1e-300)
         at = np.linspace(0, 1, ranges + 1)[1:-1]
         self.cuts = [np.quantile(k, at, method="lower") for k in self.keys(x, ids)]
         return self
