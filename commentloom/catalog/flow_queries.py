@@ -81,6 +81,20 @@ def _(spark, sf):
     return rows.withColumn("answer", F.col("messages")[2]["content"]).drop("messages")
 
 
+@query("flow_worker_run_again", "SELECT 0 AS published_twice, true AS some_published")
+def _(spark, sf):
+    """Two runs over the same archive with one ledger: the second finds other comments or none."""
+    out, ledger = scratch_path(spark, "published"), scratch_path(spark, "ledger")
+    for prefix in ("first", "second"):
+        worker.publish_worker_run(
+            v.comments(spark, sf), dim(spark, sf), word_labels, out, PROMPT, target=150, prefix=prefix, ledger_path=ledger
+        )
+    ids = spark.read.schema("id string").parquet(out)
+    return ids.agg(
+        (F.count("*") - F.count_distinct("id")).cast("int").alias("published_twice"), (F.count("*") > 0).alias("some_published")
+    )
+
+
 _PRIORITY = (
     f"{targets_sql(100000)}, {counts_sql('labelled')}, short AS ({_SHORT}), priority AS ("
     "SELECT metric FROM short WHERE shortfall > 0 AND metric <> 'clean_data'"

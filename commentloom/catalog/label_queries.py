@@ -187,6 +187,23 @@ _RULES = (
     + ", max(CASE WHEN f.category IS NULL THEN 0 ELSE 1 END) AS discriminatory_hate_speech"
     " FROM comments c LEFT JOIN found f ON f.id = c.id GROUP BY c.id)"
 )
+_REPEATED = (  # every id twice, the second time with a text of its own
+    f"{L}, {minority_sql(12)}, twice AS (SELECT id, body FROM comments UNION ALL SELECT id, concat(id, ' fine') FROM comments)"
+    " SELECT t.id, t.body, "
+    + ", ".join(
+        f"CAST(EXISTS (SELECT 1 FROM minority m WHERE m.category = '{c}' AND contains(lower(t.body), m.word)) AS INT) AS {c}"
+        for c in CATEGORY_FLAGS
+    )
+    + " FROM twice t"
+)
+
+
+@query("l9_rule_labeler_repeated_ids", _REPEATED)
+def _(spark, sf):
+    rows = v.comments(spark, sf).select("id", "body")
+    twice = rows.unionByName(rows.withColumn("body", F.concat("id", F.lit(" fine"))))
+    return labeling.rule_labeler(twice, found_lexicon(spark, sf)).select("id", "body", *CATEGORY_FLAGS)
+
 
 
 @query("l9_rule_labeler", f"{_RULES} SELECT * FROM rules")
@@ -359,12 +376,25 @@ def _(spark, sf):
 
 @query(
     "m4_turns_to_chatml",
+    f"SELECT conv_id, turn // 4 AS block, 'system={PROMPT}|' || string_agg(coalesce(role, '') || '=' || coalesce(text, ''), '|'"
+    " ORDER BY turn, role, text) AS said, count(*) + 1 AS n_messages FROM conversations GROUP BY ALL",
+)
+def _(spark, sf):
+    m = formatting.turns_to_chatml(v.table(spark, sf, "conversations"), PROMPT, 4)
+    lines = F.transform("messages", lambda x: F.concat_ws("=", x["role"], x["content"]))
+    return m.select(
+        "conv_id", "block", F.array_join(lines, "|").alias("said"), F.size("messages").cast("long").alias("n_messages")
+    )
+
+
+@query(
+    "m4_turn_pairs",
     f"SELECT u.conv_id, u.turn, '{PROMPT}' AS system, u.text AS user_text, a.text AS"
     " assistant_text FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id"
     " AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'",
 )
 def _(spark, sf):
-    m = formatting.turns_to_chatml(v.table(spark, sf, "conversations"), PROMPT)
+    m = formatting.pairs_to_chatml(v.table(spark, sf, "conversations"), PROMPT)
     return m.select(
         "conv_id",
         "turn",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from commentloom.catalog import views as v
 from commentloom.catalog.registry import query
+from commentloom.operators.lexicon import lexicon_hits
 from commentloom.operators import dedup, filters, indexing, joins, sampling
 from commentloom.sources.config import parse_subreddit_config
 
@@ -464,6 +465,37 @@ def _(spark, sf):
     return extracted(spark, sf).select("id", "tier", "year")
 
 
+@query(
+    "w6_quota_extract_searched",
+    f"WITH {v.POOL}, marked AS (SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 'Tier 3' ELSE tier END AS tier) FROM pool),"
+    " ranked AS (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY year, md5(concat('42|', id)), id) AS rn"
+    " FROM (SELECT *, CAST(left(year_month, 4) AS INT) AS year FROM marked WHERE tier = 'Tier 3' OR"
+    f" {_EXTRACT_LIKE})) SELECT id, tier, year FROM ranked WHERE rn <= CASE tier WHEN 'Tier 1' THEN 60 WHEN 'Tier 2' THEN 320 ELSE 20 END",
+)
+def _(spark, sf):
+    searched = F.when(F.col("id").cast("long") % 5 == 0, "Tier 3").otherwise(F.col("tier"))
+    marked = pool(spark, sf).withColumn("tier", searched)
+    found = sampling.quota_extract(marked, EXTRACT_TERMS, sampling.harvest_quotas())
+    return found.select("id", "tier", "year")
+
+
+_MANY = (
+    "words AS (SELECT DISTINCT w AS word FROM (SELECT unnest(regexp_extract_all(lower(body), '[a-z]{9,}')) AS w FROM comments))"
+)
+
+
+@query(
+    "f6_match_many_keywords",
+    f"{C}, {_MANY} SELECT id FROM comments c WHERE EXISTS (SELECT 1 FROM words w WHERE contains(lower(c.body), w.word))",
+)
+def _(spark, sf):
+    """Hundreds of terms, read as a lexicon table."""
+    rows = v.comments(spark, sf)
+    found = F.explode(F.regexp_extract_all(F.lower("body"), F.lit("[a-z]{9,}"), F.lit(0)))
+    words = rows.select(found.alias("term")).distinct().withColumn("category", F.lit("any"))
+    return lexicon_hits(rows, words).select("id").distinct()
+
+
 @query("w7_shuffle", f"{C} SELECT id, md5(concat('42|', id)) AS shuffle_key FROM comments")
 def _(spark, sf):
     return sampling.shuffle(v.comments(spark, sf)).select("id", "shuffle_key")

@@ -173,6 +173,23 @@ def _(spark, sf):
     )
 
 
+@query(
+    "r1_stream_ingest_other_months",
+    f"{C} SELECT id, {MONTH} AS year_month FROM comments WHERE {v.KEPT}",
+)
+def _(spark, sf):
+    """The second arrival has later copies only, in other months; the first ones stay."""
+    landing, main = scratch_path(spark, "landing"), scratch_path(spark, "main")
+    state = scratch_path(spark, "stream")
+    rows = v.comments(spark, sf)
+    for days in (0, 40):
+        rows.withColumn("created_utc", F.col("created_utc") + days * 86400).write.mode("append").option(
+            "mapreduce.output.basename", "tmp_batch_m"
+        ).parquet(landing)
+        ingest.stream_ingest(spark, landing, main, state).awaitTermination()
+    return spark.read.schema("id string, year_month string").parquet(main)
+
+
 @query(
     "r2_stream_windowed_counts",
     "SELECT window_start, event_type, n FROM (SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT)"

@@ -222,7 +222,9 @@ def sanitize(
             clean = step(clean, _not_ascii(raw) | _has(raw, "&"))
         else:
             clean = step(clean)
-    return df.withColumn(out, clean)
+        if step in (unescape_html, fix_unicode):  # a column of its own, so Python sees a text once
+            df, clean = df.withColumn("_clean", clean), F.col("_clean")
+    return df.withColumn(out, clean).drop("_clean")
 
 
 def dedup_key(c) -> Column:

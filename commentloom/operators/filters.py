@@ -76,11 +76,11 @@ def keyword_match(col: str, terms: list[str], whole_word: bool = False) -> Colum
 def match_any_keyword(
     df: DataFrame,
     terms: list[str],
-    max_terms: int | None = 35,
+    max_terms: int | None = None,
     col: str = "body",
     whole_word: bool = False,
 ) -> DataFrame:
-    """Rows that hold any of the first ``max_terms`` terms; no terms, no rows."""
+    """Rows that hold any term, or any of the first ``max_terms``; no terms, no rows."""
     return df.filter(keyword_match(col, terms[:max_terms], whole_word))
 
 

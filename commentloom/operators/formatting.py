@@ -66,7 +66,22 @@ def to_chatml(df: DataFrame, system_prompt: str) -> DataFrame:
     return df.withColumn("messages", messages).drop("_json")
 
 
-def turns_to_chatml(turns: DataFrame, system_prompt: str) -> DataFrame:
+def turns_to_chatml(turns: DataFrame, system_prompt: str, size: int = 32) -> DataFrame:
+    """Every turn of a conversation as chat messages behind the system prompt, ``size`` turns a record.
+
+    A record holds the turns of one block of turn numbers, (conv_id, block), in order; so a conversation of
+    any length stays whole and no record grows with it.
+    """
+    said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
+    blocks = turns.groupBy("conv_id", F.floor(F.col("turn") / size).alias("block")).agg(
+        F.array_sort(F.collect_list(said)).alias("_said")
+    )
+    first = F.array(F.struct(F.lit("system").alias("role"), F.lit(system_prompt).alias("content")))
+    rest = F.transform("_said", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    return blocks.select("conv_id", "block", F.concat(first, rest).alias("messages"))
+
+
+def pairs_to_chatml(turns: DataFrame, system_prompt: str) -> DataFrame:
     """Each user turn with the assistant turn right after it, as a three-message record.
 
     (conv_id, turn) is unique, so even one giant conversation spreads over all tasks.

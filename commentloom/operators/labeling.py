@@ -164,13 +164,21 @@ def rule_labeler(
     col: str = "body",
     id_col: str = "id",
 ) -> DataFrame:
-    """Flags from lexicon hits; ``discriminatory_hate_speech`` is 1 iff any category is."""
-    flags = [
-        F.coalesce(F.max((F.lower("category") == c).cast("int")), F.lit(0)).alias(c)
+    """Flags from lexicon hits; ``discriminatory_hate_speech`` is 1 iff any category is.
+
+    Each row is judged by its own text: a category's terms are one array, read when the plan runs, so rows
+    are neither joined nor grouped and ids may repeat or be missing.
+    """
+    text = F.lower(col)
+    terms = {
+        f"_{c}": lexicon.filter(F.lower("category") == c).agg(F.collect_set(F.lower("term"))).scalar()
+        for c in categories
+    }
+    hit = {
+        c: F.coalesce(F.exists(f"_{c}", lambda t: F.contains(text, t)), F.lit(False)).cast("int")
         for c in categories
-    ]
-    found = lexicon_hits(df, lexicon, col, id_col).groupBy(id_col).agg(*flags)
-    out = df.join(found, id_col, "left").na.fill(0, list(categories))
+    }
+    out = df.withColumns(terms).withColumns(hit).drop(*terms)
     return out.withColumn("discriminatory_hate_speech", F.greatest(*[F.col(c) for c in categories]))
 
 

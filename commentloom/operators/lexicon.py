@@ -11,8 +11,6 @@ from commentloom.functions.text import tokenize, tokenize_alpha
 from commentloom.operators.ranking import lowest_per_group
 from commentloom.schemas import CATEGORY_FLAGS
 
-SLICE_TERMS = 1000  # terms matched per pass over the texts
-
 
 def _words(df: DataFrame, tokens: Column, *keep) -> DataFrame:
     return df.select(*keep, F.explode(tokens).alias("word"))
@@ -130,46 +128,21 @@ def minority_keywords(
     return top.select("category", "word", "n", F.col("rank").cast("long").alias("rank"))
 
 
-def _term_slices(lexicon: DataFrame) -> list[Column]:
-    """The lexicon as arrays of (category, term) pairs.
-
-    Up to ``SLICE_TERMS`` terms become one constant.  A longer lexicon stays a table: only its
-    size is read here, and each slice of about that many terms is a subquery.
-    """
-    lexicon = lexicon.select("category", F.lower("term").alias("term")).distinct()
-    pair = "array<struct<category:string,term:string>>"
-    head = lexicon.limit(SLICE_TERMS + 1).collect()
-    if len(head) <= SLICE_TERMS:
-        pairs = [
-            F.struct(F.lit(r["category"]).alias("category"), F.lit(r["term"]).alias("term"))
-            for r in head
-        ]
-        return [F.array(*pairs).cast(pair)]
-    slices = -(-lexicon.count() // SLICE_TERMS)
-    cut = F.pmod(F.xxhash64("term"), F.lit(slices))
-    return [
-        lexicon.filter(cut == i).agg(F.collect_list(F.struct("category", "term"))).scalar()
-        for i in range(slices)
-    ]
-
-
 def lexicon_hits(
     df: DataFrame, lexicon: DataFrame, col: str = "body", id_col: str = "id"
 ) -> DataFrame:
     """(id, category, term) for every term a lower-cased text contains.
 
-    The terms ride along as one constant array, so texts are neither joined nor shuffled.  A
-    long lexicon is matched slice by slice.
+    The lexicon is one subquery, read when the plan runs: its terms ride along as an array, so texts are
+    neither joined nor shuffled and one pass serves a lexicon of any length.
     """
-    hits = []
-    for terms in _term_slices(lexicon):
-        bound = F.transform(
-            F.array(F.struct(F.lower(col).alias("text"), "_terms")),
-            lambda s: F.filter(s["_terms"], lambda t: F.contains(s["text"], t["term"])),
-        )[0]
-        with_terms = df.select(id_col, col, terms.alias("_terms"))
-        hits.append(with_terms.select(id_col, F.inline(bound)))
-    return reduce(DataFrame.unionByName, hits)
+    pairs = lexicon.select("category", F.lower("term").alias("term")).distinct()
+    terms = pairs.agg(F.collect_list(F.struct("category", "term"))).scalar()
+    bound = F.transform(
+        F.array(F.struct(F.lower(col).alias("text"), "_terms")),
+        lambda s: F.filter(s["_terms"], lambda t: F.contains(s["text"], t["term"])),
+    )[0]
+    return df.select(id_col, col, terms.alias("_terms")).select(id_col, F.inline(bound))
 
 
 def hit_counts(hits: DataFrame) -> DataFrame:

@@ -150,12 +150,17 @@ def quota_extract(
     terms: list[str],
     quotas: dict[str, int],
     seed=42,
-    max_terms: int | None = 35,
+    max_terms: int | None = None,
     tier: str = "tier",
     id_col: str = "id",
+    searched: str = "Tier 3",
 ) -> DataFrame:
-    """Keyword candidates per tier, earliest year first, up to each tier's quota."""
-    hits = df.filter(keyword_match("body", terms[:max_terms])).withColumn(
+    """Keyword candidates per tier, earliest year first, up to each tier's quota.
+
+    Rows of the tier ``searched`` are results of a search already and need no term of the list.
+    """
+    wanted = (F.col(tier) == searched) | keyword_match("body", terms[:max_terms])
+    hits = df.filter(wanted).withColumn(
         "year", F.substring(year_month("created_utc"), 1, 4).cast("int")
     )
     order = [F.col("year"), *_draw(seed, id_col)]

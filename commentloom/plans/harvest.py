@@ -11,9 +11,6 @@ from commentloom.functions.text import sanitize
 from commentloom.operators import audit, dedup, filters, lexicon
 from commentloom.operators.sampling import harvest_quotas, quota_extract
 
-MAX_TERMS = 35
-
-
 @dataclass(frozen=True)
 class Plan:
     category: str
@@ -29,10 +26,11 @@ def harvest_plan(
     static_stopwords: DataFrame | None = None,
     generated: DataFrame | None = None,
     k: int = 10,
+    max_terms: int | None = None,
 ) -> Plan | None:
     """The category to harvest for and its lexicon; none when every category goal is met.
 
-    One row and at most ``MAX_TERMS`` terms come back to the driver.
+    One row and the lexicon's terms (the first ``max_terms`` if given) come back to the driver.
     """
     top = audit.priority_category(audit.shortfalls(labelled, targets)).collect()
     if not top:
@@ -45,7 +43,8 @@ def harvest_plan(
     known = cached.filter(F.upper("category") == category.upper())
     sources = [known, seeds] + ([] if generated is None else [generated])
     merged = dedup.merge_lexicon(*sources)
-    terms = [r["term"] for r in merged.orderBy("pos").limit(MAX_TERMS).collect()]
+    ordered = merged.orderBy("pos")
+    terms = [r["term"] for r in (ordered if max_terms is None else ordered.limit(max_terms)).collect()]
     return Plan(category, missing, merged, terms)
 
 
@@ -59,12 +58,14 @@ def harvest_candidates(
 ) -> DataFrame:
     """Cleaned keyword candidates under the tier quotas; each id once, tier 3 first.
 
-    ``live`` holds parsed pages of a live search and forms tier 3.
+    ``live`` holds parsed pages of a live search and forms tier 3, whatever its terms.  The archive is
+    filtered by the terms before ids meet, so only hits are shuffled.
     """
     tagged = filters.tag_tier(filters.drop_tombstones(archive), dim)
     if live is not None:
         fresh = filters.drop_tombstones(live).withColumn("tier", F.lit("Tier 3"))
-        tagged = dedup.union_tiers(tagged, fresh)
-        tagged = dedup.dedup_by_id(tagged, [F.desc(F.col("tier") == "Tier 3"), "tier"])
+        tagged = dedup.union_tiers(filters.match_any_keyword(tagged, terms), fresh)
+        order = [F.desc(F.col("tier") == "Tier 3"), "tier", "created_utc", F.md5("body")]
+        tagged = dedup.dedup_by_id(tagged, order)
     picked = quota_extract(tagged, terms, harvest_quotas(threshold), seed)
     return sanitize(filters.with_year_month(picked), "harvester")

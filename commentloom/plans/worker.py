@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from commentloom.functions.text import sanitize
 from commentloom.operators import dedup, filters, formatting, indexing, joins, labeling
+from commentloom.operators.ledger import _exists as exists
+from commentloom.operators.ledger import ledger_append, read_ledger
 from commentloom.operators.sampling import balance_tiers, sample_per_stratum
 from commentloom.session import scratch_path
 from commentloom.sources.sinks import write_chunks
@@ -37,15 +39,21 @@ def candidate_pool(
 class LabelRun:
     labels: DataFrame
     rounds: int
+    given_up: DataFrame  # (batch, ids) of the batches that no round could label
 
 
 def label_batches(
-    sample: DataFrame, labeler: Callable, size: int = 20, max_retries: int = labeling.MAX_RETRIES
+    sample: DataFrame,
+    labeler: Callable,
+    size: int = 20,
+    max_retries: int = labeling.MAX_RETRIES,
+    by_id: bool = False,
 ) -> LabelRun:
     """Label a sample in rounds: each round's responses are saved before they are judged.
 
     A round's rejects are the next round's requests.  Saved rounds cut the plan, so a lost
-    executor costs one round at most.  The driver only learns whether rejects are left.
+    executor costs one round at most.  The driver only learns whether rejects are left.  With
+    ``by_id`` results follow the ids in the response where these are the batch's own.
     """
     spark = sample.sparkSession
     path = scratch_path(spark, "responses")
@@ -60,8 +68,11 @@ def label_batches(
         if requests.isEmpty():
             break
     everything = labeling.parse_responses(spark.read.schema(schema).parquet(path))
-    labels = labeling.reattach_positional(labeling.accepted(everything))
-    return LabelRun(labeling.coerce_flags(labels).drop("batch"), rounds)
+    good = labeling.accepted(everything)
+    labels = labeling.reattach_by_id(good) if by_id else labeling.reattach_positional(good)
+    lost = everything.groupBy("batch").agg(F.max_by("ids", "attempt").alias("ids"))
+    given_up = lost.join(good.select("batch"), "batch", "left_anti")
+    return LabelRun(labeling.coerce_flags(labels).drop("batch"), rounds, given_up)
 
 
 def training_records(sample: DataFrame, labels: DataFrame, system_prompt: str) -> DataFrame:
@@ -81,14 +92,25 @@ def publish_worker_run(
     target: int = 12500,
     seed=42,
     prefix: str = "worker",
+    ledger_path: str | None = None,
+    by_id: bool = False,
 ) -> LabelRun:
-    """The whole run.  The sample is written once because labels and records both read it."""
+    """The whole run.  The sample is written once because labels and records both read it.
+
+    With ``ledger_path`` ids published before are left out, and after the chunks are written
+    the published ids, read back from them, are appended; a second run publishes nothing twice.
+    """
     spark = comments.sparkSession
     path = scratch_path(spark, "sample")
+    if ledger_path is not None and exists(spark, ledger_path):
+        known = read_ledger(spark, ledger_path)
+        ledger = known if ledger is None else ledger.select("id").unionByName(known)
     balance_tiers(candidate_pool(comments, dim, ledger), target, seed=seed).write.parquet(path)
     sample = spark.read.parquet(path)
-    run = label_batches(sample, labeler)
+    run = label_batches(sample, labeler, by_id=by_id)
     write_chunks(training_records(sample, run.labels, system_prompt), out, prefix=prefix)
+    if ledger_path is not None:
+        ledger_append(spark.read.schema("id string").parquet(out), ledger_path)
     return run
 
 

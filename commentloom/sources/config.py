@@ -55,7 +55,9 @@ def load_stopwords(spark: SparkSession, path: str) -> DataFrame:
 
     try:
         lines = spark.read.text(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         lines = spark.createDataFrame([(w,) for w in FALLBACK_STOPWORDS], "value string")
     return clean_stopwords(lines)
 

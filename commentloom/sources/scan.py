@@ -32,10 +32,11 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> list[
 def select_shards(paths: list[str], root: str, years: list[int], n: int, seed=42) -> list[str]:
     """At most ``n`` of the files whose path carries one of the years, by a seeded draw.
 
+    A year may stand alone or with its month, as in ``2017``, ``2017-01`` or ``201701``.
     The draw hashes the path below ``root``, so a copy of the archive gives the same shards.
     Works on the listing: unselected files are never opened.
     """
-    wanted = re.compile("(^|[/=])(" + "|".join(str(y) for y in years) + ")([-_/]|$)")
+    wanted = re.compile("(^|[^0-9])(" + "|".join(str(y) for y in years) + ")(0[1-9]|1[0-2])?([^0-9]|$)")
 
     def below(path: str) -> str:
         return path.split(root.rstrip("/"), 1)[-1].lstrip("/")

@@ -43,9 +43,9 @@ def stream_ingest(
     """Fold arriving files into the main table, one row per id over all time.
 
     Months arrive in any order, so an event-time watermark would drop old comments as late, and
-    state without one would grow for ever.  The main table itself is the memory instead: it is
-    partitioned by month and an id's month never changes, so a micro-batch reads the id column of
-    its own months only.  A batch replayed after a failure finds its ids and appends nothing.
+    state without one would grow for ever.  The main table itself is the memory instead: a
+    micro-batch reads its id column, whatever the months, since an id may come again with another
+    month.  A batch replayed after a failure finds its ids and appends nothing.
     """
     arrived = drop_tombstones(conform(read_landing(spark, landing, glob, max_files=max_files)))
     return (
@@ -59,15 +59,11 @@ def stream_ingest(
 def _append_new(batch: DataFrame, main: str) -> None:
     spark = batch.sparkSession
     month = F.coalesce(year_month("created_utc"), F.lit("unknown"))
-    unique = dedup_by_id(batch).withColumn(MONTH, month).persist()  # read for months and rows
-    fresh = unique
+    fresh = dedup_by_id(batch).withColumn(MONTH, month)
     if _exists(spark, main):
-        months = [r[0] for r in unique.select(MONTH).distinct().collect()]  # calendar months
-        known = spark.read.schema(f"id string, {MONTH} string").parquet(main)
-        known = known.filter(F.col(MONTH).isin(months))
-        fresh = fresh.join(known, [MONTH, "id"], "left_anti")
+        known = spark.read.schema("id string").parquet(main)
+        fresh = fresh.join(known, "id", "left_anti")
     append_slices(fresh, main, [MONTH])
-    unique.unpersist()
 
 
 def windowed_counts(

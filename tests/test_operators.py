@@ -257,14 +257,15 @@ def test_token_usage_fallbacks(spark):
 # --- lexicon ---------------------------------------------------------------------------------
 
 
-def test_long_lexicons_are_matched_in_slices(spark, monkeypatch):
+def test_long_lexicons_are_matched_in_one_pass(spark):
     random.seed(3)
     words = ["".join(random.choices("abcd", k=4)) for _ in range(60)]
     terms = spark.createDataFrame([("c", w) for w in words], "category string, term string")
     texts = [" ".join(random.choices(words, k=6)) + random.choice("abcd") for _ in range(50)]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, body string")
-    monkeypatch.setattr(lexicon, "SLICE_TERMS", 7)
-    got = rows(lexicon.lexicon_hits(df, terms))
+    hits = lexicon.lexicon_hits(df, terms)
+    assert plan_of(hits).count("Union") == 0
+    got = rows(hits)
     assert got == sorted((i, "c", w) for i, t in enumerate(texts) for w in set(words) if w in t)
 
 
@@ -372,9 +373,25 @@ def test_record_defaults(spark):
     assert [m["role"] for m in got["messages"]] == ["system", "user", "assistant"]
 
 
+def test_rule_labels_follow_each_text(spark):
+    df = spark.createDataFrame([("1", "a Bad one"), ("1", "fine"), (None, "bad"), ("2", None)], "id string, body string")
+    terms = spark.createDataFrame([("caste", "bad")], "category string, term string")
+    out = labeling.rule_labeler(df, terms)
+    got = out.select("id", "body", "caste", "discriminatory_hate_speech").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [("1", "a Bad one", 1, 1), ("1", "fine", 0, 0), (None, "bad", 1, 1), ("2", None, 0, 0)]))
+    assert "Join" not in plan_of(out)
+
+
+def test_every_turn_is_kept(spark):
+    data = [(1, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(10)] + [(2, 0, "system", None)]
+    turns = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["block"]): [m["content"] for m in r["messages"]] for r in formatting.turns_to_chatml(turns, "p", 4).collect()}
+    assert got == {(1, 0): ["p", "t0", "t1", "t2", "t3"], (1, 1): ["p", "t4", "t5", "t6", "t7"], (1, 2): ["p", "t8", "t9"], (2, 0): ["p", ""]}
+
+
 def test_turn_pairs(spark):
     turns = spark.createDataFrame([(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a"), (1, 3, "user", "last")], "conv_id long, turn long, role string, text string")
-    got = formatting.turns_to_chatml(turns, "p").collect()
+    got = formatting.pairs_to_chatml(turns, "p").collect()
     assert [(r["turn"], [m["content"] for m in r["messages"]]) for r in got] == [(1, ["p", "u", "a"])]
 
 
