@@ -390,15 +390,15 @@ def _(spark, sf):
     return sampling.cap_total(v.comments(spark, sf), 120).select("id", "body")
 
 
-def balance_sql(rows, quota, target=None):
+def balance_sql(rows, quota, target=None, by=("subreddit", "year_month")):
     """The three draws written out: share per bucket, top-up per tier, top-up overall."""
     final = "d IS NOT NULL"
     if target:
         final += f" OR g <= {target} - (SELECT count(*) FROM y WHERE d IS NOT NULL)"
     return f"""
-    r AS (SELECT *, {_rank(42, "tier", "subreddit", "year_month")} AS rn FROM {rows}),
+    r AS (SELECT *, {_rank(42, "tier", *by)} AS rn FROM {rows}),
     s AS (SELECT tier, {quota} AS quota,
-                 greatest(1, {quota} // count(DISTINCT (subreddit, year_month))) AS share
+                 greatest(1, {quota} // count(DISTINCT ({', '.join(by)}))) AS share
           FROM {rows} GROUP BY tier),
     f AS (SELECT r.*, rn <= share AS is_first, quota FROM r JOIN s USING (tier)),
     t AS (SELECT tier, greatest(0, max(quota) - count(*) FILTER (is_first)) AS need
@@ -439,6 +439,29 @@ def _(spark, sf):
     return sampling.balance_tiers(pool(spark, sf), 200).select("id", "tier", "subreddit", "drawn")
 
 
+_YEARS = "yearly AS (SELECT *, left(year_month, 4) AS year FROM pool)"
+
+
+@query(
+    "w4_balance_tiers_overall",
+    f"WITH {v.POOL}, {_YEARS}, "
+    + balance_sql("yearly", "CASE WHEN tier = 'Tier 1' THEN 320 ELSE 80 END", 400, ("year",)),
+)
+def _(spark, sf):
+    """Tier 1 cannot fill its quota, so the rest comes from the whole pool."""
+    rows = pool(spark, sf).withColumn("year", F.substring("year_month", 1, 4))
+    drawn = sampling.balance_tiers(rows, 400, by=["year"], core_pct=80)
+    return drawn.select("id", "tier", "subreddit", "drawn")
+
+
+@query(
+    "w2_cap_total_large",
+    f"WITH {v.LINES} SELECT id, text FROM comment_lines ORDER BY md5(concat('42|', id)), id LIMIT 5000",
+)
+def _(spark, sf):
+    return sampling.cap_total(v.comment_lines(spark, sf)).select("id", "text")
+
+
 @query(
     "w5_equal_per_subreddit",
     f"{L}, r AS (SELECT *, {_rank(42, 'subreddit')} AS rn FROM labelled) SELECT id, subreddit"

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from commentloom.session import shuffle_width
 
-LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-
 
 def _columns(order) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -28,32 +26,29 @@ def first_per_key(df: DataFrame, key: list, order: list) -> DataFrame:
 def lowest_per_group(
     df: DataFrame, by: list[str], order: list, n: int, rank: str = "_rank"
 ) -> DataFrame:
-    """The ``n`` lowest rows per group with their rank from 1.
+    """The ``n`` lowest rows per group with their rank from 1, the same way for every ``n``.
 
-    For small ``n`` Spark's own group limit trims every task's output before the shuffle.
-    Above its threshold, groups are first cut into slices by map task and each slice keeps its
-    own ``n`` lowest; only those meet in the second window.  Both ways are exact.
+    Groups are cut into slices by map task and each slice keeps its own ``n`` lowest; only those
+    meet in the last window, so a hot group is spread.  Where ``n`` is below Spark's own limit
+    (``build_session`` raises it) every task trims its rows before the first shuffle already.
     """
-    threshold = int(df.sparkSession.conf.get(LIMIT_CONF))
     order = _columns(order)
-    if n > threshold:
-        df = _slice_lowest(df, by, order, n)
     window = W.partitionBy(*by).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+    trimmed = _slice_lowest(df, by, order, n)
+    return trimmed.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
 def lowest(df: DataFrame, order: list, n: int) -> DataFrame:
-    """The ``n`` lowest rows of the whole table, by a two-level tournament."""
+    """The ``n`` lowest rows of the whole table, by the same tournament."""
     order = _columns(order)
     return _slice_lowest(df, [], order, n).orderBy(*order).limit(n)
 
 
 def _slice_lowest(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
-    """Keep each slice's ``n`` lowest; many slices meet in a middle round before the last."""
+    """Keep each slice's ``n`` lowest; the slices meet in a middle round before the last."""
     width = shuffle_width(df.sparkSession)
-    rounds = [width, int(width**0.5)] if width > 64 else [width]
     df = df.withColumn("_part", F.spark_partition_id())
-    for slices in rounds:
+    for slices in (width, max(1, int(width**0.5))):
         window = W.partitionBy(*by, "_slice").orderBy(*order)
         df = (
             df.withColumn("_slice", F.pmod("_part", F.lit(slices)))
@@ -61,3 +56,21 @@ def _slice_lowest(df: DataFrame, by: list[str], order: list[Column], n: int) ->
             .filter(F.col("_slice_rank") <= n)
         )
     return df.drop("_part", "_slice", "_slice_rank")
+
+
+def bring_rows(df: DataFrame, drawn: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
+    """The rows of ``df`` that ``drawn`` names by ``keys``, with its ``extra`` columns.
+
+    Draws carry keys only; this is the one step that moves whole rows, and only the chosen ones where
+    Spark finds ``drawn`` small.  Keys that were drawn k times bring k rows, of more the ones with the
+    smallest hash of all columns.
+    """
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    chosen = drawn.groupBy(*named).agg(F.count("*").alias("_times"), *[F.min(e).alias(e) for e in extra])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(F.col(f"_k{i}"))
+    rows = df.withColumn("_mark", F.xxhash64(*df.columns)).join(chosen, same)
+    nth = F.row_number().over(W.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_mark"))
+    rows = rows.withColumn("_nth", nth).filter(F.col("_nth") <= F.col("_times"))
+    return rows.select(*df.columns, *extra)

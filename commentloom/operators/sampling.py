@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from commentloom.functions.flags import sample_rank, year_month
 from commentloom.operators.filters import keyword_match
-from commentloom.operators.ranking import lowest, lowest_per_group
+from commentloom.operators.ranking import bring_rows, lowest, lowest_per_group
 from commentloom.session import materialize
 
 STRATA = ["subreddit", "year_month"]
@@ -21,11 +20,12 @@ def _draw(seed, id_col: str = "id") -> list:
 def sample_per_stratum(
     df: DataFrame, by: list[str] = STRATA, n: int = 100, seed=42, id_col: str = "id"
 ) -> DataFrame:
-    return lowest_per_group(df, by, _draw(seed, id_col), n).drop("_rank")
+    drawn = lowest_per_group(df.select(*by, id_col), by, _draw(seed, id_col), n)
+    return bring_rows(df, drawn, [*by, id_col])
 
 
 def cap_total(df: DataFrame, n: int = 5000, seed=42, id_col: str = "id") -> DataFrame:
-    return lowest(df, _draw(seed, id_col), n)
+    return bring_rows(df, lowest(df.select(id_col), _draw(seed, id_col), n), [id_col])
 
 
 def balance_quota(
@@ -73,13 +73,15 @@ def balance_tiers(
 def _balance(df, tier, quotas, by, seed, id_col, target=None) -> DataFrame:
     """Bucket shares, per-tier top-up and overall top-up.
 
-    No draw can need more than ``bound`` rows of a bucket, so the pool is ranked and trimmed to
-    that once and written down; counts and draws then read that table, not the pool.  Counts
+    No draw can need more than ``bound`` rows of a bucket, so the pool's keys are ranked and trimmed
+    to that once and written down; counts and draws then read that table, not the pool, and
+    whole rows are brought in at the end for the drawn keys only.  Counts
     that ``bound`` cuts short still give the right draws, because no share or need exceeds it.
     """
     bound = max([q for _, q in quotas] + [target or 0])
     order = _draw(seed, id_col)
-    ranked = materialize(lowest_per_group(df, [tier, *by], order, bound, "_rn"), "ranked")
+    keys = list(dict.fromkeys([tier, *by, id_col]))
+    ranked = materialize(lowest_per_group(df.select(*keys), [tier, *by], order, bound, "_rn"), "ranked")
 
     quota = F.lit(None).cast("long")
     for name, size in quotas:
@@ -114,25 +116,24 @@ def _balance(df, tier, quotas, by, seed, id_col, target=None) -> DataFrame:
     topped = rest.filter(F.col("_spare") <= F.col("_need")).withColumn("_drawn", F.lit("top-up"))
     out = first.unionByName(topped.drop("_spare"))
     if target is not None:
-        # At most ``bound`` rows per tier are left here, so one task can rank them.
+        # Only keys are left here, at most ``target`` of them.
         spare = rest.filter(F.col("_spare") > F.col("_need")).drop("_spare")
         extra = (
-            lowest(spare, order, target)
-            .withColumn("_pos", F.row_number().over(W.orderBy(*order)))
+            lowest_per_group(spare.withColumn("_whole", F.lit(0)), ["_whole"], order, target, "_pos")
             .filter(F.col("_pos") <= F.lit(target) - drawn_so_far)
-            .drop("_pos")
+            .drop("_pos", "_whole")
             .withColumn("_drawn", F.lit("overall"))
         )
         out = out.unionByName(extra)
-    return out.drop("_rn", "_share", "_need")
+    return bring_rows(df, out.select(*keys, "_drawn"), keys, ["_drawn"])
 
 
 def equal_per_subreddit(df: DataFrame, total: int, seed=42, id_col: str = "id") -> DataFrame:
     """``max(1, total // subreddits)`` rows each, without top-up."""
     n_subs = df.agg(F.count_distinct("subreddit")).scalar()
     share = F.greatest(F.lit(1), F.floor(F.lit(total) / n_subs))
-    ranked = lowest_per_group(df, ["subreddit"], _draw(seed, id_col), total)
-    return ranked.filter(F.col("_rank") <= share).drop("_rank")
+    ranked = lowest_per_group(df.select("subreddit", id_col), ["subreddit"], _draw(seed, id_col), total)
+    return bring_rows(df, ranked.filter(F.col("_rank") <= share), ["subreddit", id_col])
 
 
 def harvest_quotas(threshold: int = 500) -> dict[str, int]:
@@ -164,11 +165,12 @@ def quota_extract(
         "year", F.substring(year_month("created_utc"), 1, 4).cast("int")
     )
     order = [F.col("year"), *_draw(seed, id_col)]
-    ranked = lowest_per_group(hits, [tier], order, max(quotas.values()))
+    narrow = hits.select(tier, "year", id_col)
+    ranked = lowest_per_group(narrow, [tier], order, max(quotas.values()))
     quota = F.lit(0)
     for name, size in quotas.items():
         quota = F.when(F.col(tier) == name, F.lit(size)).otherwise(quota)
-    return ranked.filter(F.col("_rank") <= quota).drop("_rank")
+    return bring_rows(hits, ranked.filter(F.col("_rank") <= quota), [tier, "year", id_col])
 
 
 def shuffle(df: DataFrame, seed=42, id_col: str = "id", sort: bool = True) -> DataFrame:

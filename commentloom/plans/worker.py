@@ -13,7 +13,7 @@ from commentloom.operators import dedup, filters, formatting, indexing, joins, l
 from commentloom.operators.ledger import _exists as exists
 from commentloom.operators.ledger import ledger_append, read_ledger
 from commentloom.operators.sampling import balance_tiers, sample_per_stratum
-from commentloom.session import scratch_path
+from commentloom.session import materialize, scratch_path
 from commentloom.sources.sinks import write_chunks
 
 
@@ -105,7 +105,8 @@ def publish_worker_run(
     if ledger_path is not None and exists(spark, ledger_path):
         known = read_ledger(spark, ledger_path)
         ledger = known if ledger is None else ledger.select("id").unionByName(known)
-    balance_tiers(candidate_pool(comments, dim, ledger), target, seed=seed).write.parquet(path)
+    pool = materialize(candidate_pool(comments, dim, ledger), "pool")  # draws read its keys, then rows
+    balance_tiers(pool, target, seed=seed).write.parquet(path)
     sample = spark.read.parquet(path)
     run = label_batches(sample, labeler, by_id=by_id)
     write_chunks(training_records(sample, run.labels, system_prompt), out, prefix=prefix)

@@ -129,6 +129,24 @@ def test_many_slices_meet_in_a_middle_round(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+@pytest.mark.parametrize("n", [200, 12500])
+def test_draws_move_keys_only(spark, n):
+    """Whatever n is, the shuffles up to the draw carry ids and ranks, not texts."""
+    df = hot(spark, 3000).withColumn("text", F.concat("id", F.lit(" some text")))
+    drawn = ranking.lowest_per_group(df.select("subreddit", "id"), ["subreddit"], sampling._draw(42), n)
+    full = sampling.sample_per_stratum(df, ["subreddit"], n)
+    keys = lambda d: plan_of(d).count("Window [row_number()")
+    assert keys(full) == keys(drawn) + 1
+    assert "text" not in plan_of(drawn)
+
+
+def test_repeated_ids_are_drawn_as_often_as_they_are(spark):
+    df = spark.createDataFrame([("1", "a"), ("1", "b"), (None, "c"), ("2", "d")], "id string, body string")
+    assert sampling.cap_total(df, 4).count() == 4
+    assert sampling.cap_total(df, 10).count() == 4
+    assert [sampling.cap_total(df, n).count() for n in (1, 2, 3)] == [1, 2, 3]
+
+
 def test_samples_ignore_partitioning(spark):
     df = hot(spark).withColumn("tier", F.when(F.col("subreddit") < "3", "Tier 1").otherwise("Tier 2"))
     for draw in (
