@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from commentloom.functions.text import tokenize, tokenize_alpha
 from commentloom.operators.ranking import lowest_per_group
 from commentloom.schemas import CATEGORY_FLAGS
+from commentloom.session import materialize
 
 
 def _words(df: DataFrame, tokens: Column, *keep) -> DataFrame:
@@ -53,6 +54,25 @@ def term_frequency(
     return counts.filter(F.length("word") >= min_len).join(stopwords, "word", "left_anti")
 
 
+def _vocabulary(df: DataFrame, flag: str, col: str) -> DataFrame:
+    """(word, df, bg_df, tf): texts with the word, those of them with ``flag = 0``, and occurrences where it is 1.
+
+    A text's words are sorted, so the first of each run of equal words stands for the text.
+    """
+    sorted_ = df.select(F.col(flag).alias("_flag"), F.array_sort(tokenize(col)).alias("_words"))
+    new = lambda x, i: (i == 0) | (x != F.get("_words", i - 1))
+    marked = F.transform("_words", lambda x, i: F.struct(x.alias("word"), new(x, i).alias("new")))
+    return (
+        sorted_.select("_flag", F.inline(marked))
+        .groupBy("word")
+        .agg(
+            F.count_if("new").alias("df"),
+            F.count_if(F.col("new") & (F.col("_flag") == 0)).alias("bg_df"),
+            F.count_if(F.col("_flag") == 1).alias("tf"),
+        )
+    )
+
+
 def tfidf_scores(
     df: DataFrame,
     flag: str,
@@ -63,15 +83,10 @@ def tfidf_scores(
 ) -> DataFrame:
     """``tf * ln(max(V, 1) / (bg_df + 1))`` per word of the flagged texts.
 
-    V is the number of distinct background words, not of texts.  One pass over all texts gives
-    corpus and background document frequencies; a second reads the flagged texts only.
+    V is the number of distinct background words, not of texts.  One pass over the texts writes the
+    vocabulary with its three counts, a second one counts the texts; all else reads the vocabulary.
     """
-    background = F.count_if(F.col(flag) == 0).alias("bg_df")
-    vocabulary = (
-        _words(df, F.array_distinct(tokenize(col)), flag)
-        .groupBy("word")
-        .agg(F.count("*").alias("df"), background)
-    )
+    vocabulary = materialize(_vocabulary(df, flag, col), "vocabulary")
     stop = _frequent(vocabulary, df, share, col)
     if static is not None:
         stop = stop.unionByName(static.select("word")).distinct()
@@ -82,8 +97,9 @@ def tfidf_scores(
     )
     size = F.greatest(bg.agg(F.count("*")).scalar(), F.lit(1))
     bg_df = F.coalesce("bg_df", F.lit(0))
+    flagged = vocabulary.filter((F.col("tf") > 0) & (F.length("word") >= min_len)).select("word", "tf")
     return (
-        term_frequency(df, flag, stop, min_len, col)
+        flagged.join(stop, "word", "left_anti")
         .join(bg, "word", "left")
         .select("word", "tf", bg_df.alias("bg_df"))
         .withColumn("score", F.round(F.col("tf") * F.log(size / (F.col("bg_df") + 1)), 6))

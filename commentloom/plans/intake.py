@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from commentloom.operators import audit, dedup, filters
+from commentloom.session import materialize
 from commentloom.sources.scan import conform, parse_pages
 from commentloom.sources.sinks import append_slices
 
 
 def kept_comments(pages: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Raw and kept comments of the planned units."""
-    raw = filters.assign_to_units(parse_pages(pages), units)
+    raw = materialize(filters.assign_to_units(parse_pages(pages), units), "raw")  # pages are parsed once
     return raw, dedup.cross_slice_dedup(filters.drop_tombstones(raw))
 
 
