@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from commentloom.functions.flags import sample_rank
 from commentloom.session import pin
 
+# The leading parts of chunk names and of made-up ids.
+CHUNK_PREFIX, ID_PREFIX = "migration_base", "migrated_"
+
 _POSITION_MASK = (1 << 33) - 1  # the low bits of monotonically_increasing_id()
 
 
@@ -72,7 +75,7 @@ def random_row_index(
 
 
 def assign_chunks(
-    df: DataFrame, key: list, size: int = 2500, prefix: str = "migration_base"
+    df: DataFrame, key: list, size: int = 2500, prefix: str = CHUNK_PREFIX
 ) -> DataFrame:
     """Chunk number and part name per row, in key order."""
     return (
@@ -97,5 +100,5 @@ def fallback_ids(df: DataFrame, order: list | None = None) -> DataFrame:
     """Missing ids become ``migrated_<row number>``."""
     if "id" not in df.columns:
         df = df.withColumn("id", F.lit(None).cast("string"))
-    made = F.concat(F.lit("migrated_"), F.col("_index").cast("string"))
+    made = F.concat(F.lit(ID_PREFIX), F.col("_index").cast("string"))
     return row_index(df, order, "_index").withColumn("id", F.coalesce("id", made)).drop("_index")

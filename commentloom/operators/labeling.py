@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commentloom.functions.text import bind, strip_space
-from commentloom.operators.lexicon import lexicon_hits
 from commentloom.schemas import CATEGORY_FLAGS, FLAGS, LABEL_ITEM, SHORT_FLAGS
 
 # Fixed value: the line that opens a request.
@@ -24,8 +23,8 @@ MAX_RETRIES = 4
 RESPONSES = "batch long, attempt int, ids array<string>, request string, response string"
 
 _ITEMS = T.ArrayType(LABEL_ITEM)
-_FENCE_OPEN, _FENCE_CLOSE = r"^```(?:json)?\n?", r"\n?```\z"
-_BARE_LIST = r"(?s)\[\s*\{.*?\}\s*\]"
+# What fences an answer, and the word behind an opening fence.
+_FENCE, _FENCE_WORD = "```", "json"
 
 
 def build_requests(
@@ -73,14 +72,22 @@ def results_column(response: Column) -> Column:
 
     The response may sit in a code fence.  Valid JSON gives its list, else a non-empty
     ``results``, else its first list-valued key; anything else gives the first bare list of
-    objects in the text.  ``try_parse_json`` decides validity because ``from_json`` accepts an
+    objects in the text, up to the first closing bracket at which it is valid JSON.  ``try_parse_json`` decides validity because ``from_json`` accepts an
     object where an array is due.
     """
     is_list, empty_list = r"(?s)^\s*\[", r"(?s)^\s*\[\s*\]\s*\z"
 
     def unfence(text: Column) -> Column:
-        inner = F.regexp_replace(F.regexp_replace(text, _FENCE_OPEN, ""), _FENCE_CLOSE, "")
-        return F.when(text.startswith("```"), strip_space(inner)).otherwise(text)
+        body = text.substr(F.lit(len(_FENCE) + 1), F.length(text))
+        body = F.when(body.startswith(_FENCE_WORD), body.substr(F.lit(len(_FENCE_WORD) + 1), F.length(body))).otherwise(body)
+        inner = F.when(body.endswith(_FENCE), body.substr(F.lit(1), F.length(body) - len(_FENCE))).otherwise(body)
+        return F.when(text.startswith(_FENCE), strip_space(inner)).otherwise(text)
+
+    def salvage(text: Column) -> Column:
+        pieces = F.split(text.substr(F.regexp_instr(text, F.lit(r"\[\s*\{")), F.length(text)), "\\]")
+        ends = F.when(F.size(pieces) > 1, F.sequence(F.lit(1), F.size(pieces) - 1))
+        heads = F.transform(ends, lambda n: F.concat(F.array_join(F.slice(pieces, F.lit(1), n), "]"), F.lit("]")))
+        return F.try_element_at(F.filter(heads, lambda h: F.try_parse_json(h).isNotNull()), F.lit(1))
 
     def from_object(members: Column) -> Column:
         results = members["results"]
@@ -92,10 +99,9 @@ def results_column(response: Column) -> Column:
 
     def pick(text: Column) -> Column:
         valid = F.try_parse_json(text).isNotNull()
-        salvaged = F.regexp_extract(text, _BARE_LIST, 0)
         members = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
         return (
-            F.when(~valid, F.when(F.try_parse_json(salvaged).isNotNull(), salvaged))
+            F.when(~valid, F.when(text.rlike(r"\[\s*\{"), salvage(text)))
             .when(text.startswith("["), text)
             .when(text.startswith("{"), bind(members, from_object))
         )

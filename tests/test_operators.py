@@ -307,6 +307,7 @@ SHAPES = {
     "fenced": ("```json\n{\"results\": [%s, %s]}\n```" % (A, B), ["1", "2"]),
     "plain fence": ("  ```\n[%s]```  " % A, ["1"]),
     "prose": ("Sure! Here: [%s, %s] Enjoy [1]." % (A, B), ["1", "2"]),
+    "bracket in a bare list": ("Here: [%s] and [2]" % A.replace('"a"', '"x }] y"'), ["1"]),
     "truncated": ('{"results": [%s, %s' % (A, B[:20]), None),
     "nonsense": ("no", None),
     "number": ("12", None),
