@@ -169,3 +169,22 @@ def test_harvest_stops_when_targets_are_met(spark):
     assert harvest.harvest_plan(df, audit.targets_from_goal(spark, 8), none) is None
     plan = harvest.harvest_plan(df, audit.targets_from_goal(spark, 80), none)
     assert (plan.category, plan.shortfall) == ("caste", 9)
+
+
+def test_years_are_found_with_and_without_month():
+    names = ["2017/a.parquet", "2017.parquet", "201701.parquet", "RC_2017-01.parquet", "year=2017/b.parquet", "120170.parquet", "201799.parquet", "2018.parquet"]
+    paths = [f"/x/{n}" for n in names]
+    assert scan.select_shards(paths, "/x", [2017], 100) == sorted(paths[:5])
+    assert len(scan.select_shards(paths, "/x", [2017], 2)) == 2
+
+
+def test_batches_that_no_round_labels_come_back(spark):
+    sample = comments(spark).withColumn("body_clean", F.col("body")).dropDuplicates(["id"])
+
+    def half(pdf):
+        item = '{"pv": 1, "tah": 0, "dhs": 0, "cst": 0, "cr": 0, "rx": 0, "mg": 0}'
+        return ["[" + item + "]" if list(i) == ["1"] else "oops" for i in pdf["ids"]]
+
+    run = worker.label_batches(sample, half, size=1, max_retries=2)
+    assert [r["id"] for r in run.labels.collect()] == ["1"]
+    assert [list(r["ids"]) for r in run.given_up.collect()] == [["2"]]

@@ -63,3 +63,14 @@ def test_cleaning_stays_linear(spark):
     df = t.sanitize(spark.createDataFrame([("a",)], "body string"), "worker")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE") < 20
+
+
+def test_entities_are_decoded_once(spark):
+    """Steps after the decoding read its column; the plan has one call of the Python function for it."""
+    from conftest import plan_of
+
+    df = spark.createDataFrame([("a &amp; b",)], "body string")
+    for profile in ("worker", "harvester"):
+        plan = plan_of(t.sanitize(df, profile))
+        calls = [line for line in plan.splitlines() if "EvalPython" in line]
+        assert sum(line.split("],")[0].count("_html_unescape(") for line in calls) == 1, plan
