@@ -20,8 +20,11 @@ from commentloom.catalog.report_queries import (
 from commentloom.catalog.row_queries import C, L, RAW, UNITS, _rank, balance_sql, dim, units
 from commentloom.catalog.text_queries import harvester_sql, worker_sql
 from commentloom.operators import audit
-from commentloom.plans import harvest, intake, review, worker
+from commentloom.plans import harvest, intake, migration, review, worker
+from commentloom.schemas import FLAGS
 from commentloom.session import scratch_path
+from commentloom.sources.scan import read_comment_csv
+from commentloom.sources.sinks import write_csv
 
 _CLEAN = f"""cleaned AS (SELECT * FROM (SELECT *, {worker_sql("body")} AS body_clean FROM pool
   WHERE length(body) BETWEEN 10 AND 1000) WHERE length(body_clean) > 5),
@@ -129,6 +132,25 @@ def _(spark, sf):
     return found.select("id", "tier", "year", "body_clean")
 
 
+@query(
+    "flow_migration",
+    f"{L}, numbered AS (SELECT *, (row_number() OVER (ORDER BY id) - 1) // 40 AS chunk FROM labelled WHERE text <> ''), chunks AS ("
+    "SELECT chunk, count(*) AS n_rows FROM numbered GROUP BY chunk) SELECT id, printf('migration_base_part_%03d', chunk) AS"
+    " chunk_name, n_rows, concat('{', "
+    + ", ', ', ".join(f"'\"{c}\": ', {c}" for c in FLAGS)
+    + ", '}') AS answer FROM numbered JOIN chunks USING (chunk)",
+)
+def _(spark, sf):
+    """Labelled rows as CSV, migrated in three runs of which two end early."""
+    path, out, state = (scratch_path(spark, name) for name in ("csv", "migrated", "manifest"))
+    write_csv(v.labelled(spark, sf).select("text", "id", *FLAGS), path)
+    rows = read_comment_csv(spark, path, "text")
+    for limit in (2, 1, None):
+        done = migration.migrate(spark, rows, out, state, PROMPT, size=40, max_chunks=limit)
+    records = spark.read.parquet(out).withColumn("answer", F.col("messages")[2]["content"])
+    return records.join(done, "chunk_name").select("id", "chunk_name", "n_rows", "answer")
+
+
 @query(
     "flow_intake",
     f"{C}, {UNITS}, {RAW}, n AS (SELECT subreddit, year_month, count(*) AS fetched,"
