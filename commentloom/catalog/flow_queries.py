@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from commentloom.catalog import views as v
 from commentloom.catalog.label_queries import _JSON, PROMPT, word_labels
-from commentloom.catalog.registry import query
+from commentloom.catalog.registry import ORACLES, query
 from commentloom.catalog.report_queries import (
     _SHORT,
     _STATUS,
@@ -132,6 +132,26 @@ def _(spark, sf):
     return found.select("id", "tier", "year", "body_clean")
 
 
+@query(
+    "flow_harvest_run",
+    "SELECT id, "
+    + ", ".join(f"CAST(contains(lower(body_clean), '{w}') AS INT) AS {c}" for c, w in v.WORDS.items())
+    + f", CAST((SELECT count(*) FROM (WITH {v.LABELLED}, {_PRIORITY}, {TFIDF_ROWS}, {SEEDS}, {_TERMS} SELECT * FROM terms)) AS BIGINT)"
+    f" AS saved_terms FROM ({ORACLES['flow_harvest_candidates']})",
+)
+def _(spark, sf):
+    cached = spark.createDataFrame(
+        [(c, w, 0) for c, w in v.WORDS.items()], "category string, term string, pos long"
+    )
+    out, lexicon = scratch_path(spark, "harvested"), scratch_path(spark, "lexicon")
+    harvest.publish_harvest_run(
+        v.labelled(spark, sf), audit.targets_from_goal(spark, 100000), cached, v.comments(spark, sf), dim(spark, sf),
+        word_labels, out, PROMPT, lexicon,
+    )
+    saved = spark.read.parquet(lexicon).agg(F.count("*")).scalar()
+    return spark.read.parquet(out).select("id", *v.WORDS, saved.alias("saved_terms"))
+
+
 @query(
     "flow_migration",
     f"{L}, numbered AS (SELECT *, (row_number() OVER (ORDER BY id) - 1) // 40 AS chunk FROM labelled WHERE text <> ''), chunks AS ("

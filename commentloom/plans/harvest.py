@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from commentloom.functions.text import sanitize
 from commentloom.operators import audit, dedup, filters, lexicon
 from commentloom.operators.sampling import harvest_quotas, quota_extract
+from commentloom.plans.worker import LabelRun, label_batches, training_records
+from commentloom.session import materialize
+from commentloom.sources.sinks import write_chunks
 
 @dataclass(frozen=True)
 class Plan:
@@ -69,3 +73,35 @@ def harvest_candidates(
         tagged = dedup.dedup_by_id(tagged, order)
     picked = quota_extract(tagged, terms, harvest_quotas(threshold), seed)
     return sanitize(filters.with_year_month(picked), "harvester")
+
+
+def publish_harvest_run(
+    labelled: DataFrame,
+    targets: DataFrame,
+    cached: DataFrame,
+    archive: DataFrame,
+    dim: DataFrame,
+    labeler: Callable,
+    out: str,
+    system_prompt: str,
+    lexicon_out: str | None = None,
+    live: DataFrame | None = None,
+    static_stopwords: DataFrame | None = None,
+    threshold: int = 500,
+    seed=42,
+    prefix: str = "harvest",
+) -> LabelRun | None:
+    """One harvest round from shortfall to published chunks; None when every goal is met.
+
+    The merged lexicon is saved to ``lexicon_out``, a new folder, for the next round to start from.  Only
+    candidates that got labels are published.
+    """
+    plan = harvest_plan(labelled, targets, cached, static_stopwords)
+    if plan is None:
+        return None
+    if lexicon_out is not None:
+        plan.lexicon.write.parquet(lexicon_out)
+    found = materialize(harvest_candidates(archive, dim, plan.terms, live, threshold, seed), "candidates")
+    run = label_batches(found, labeler)
+    write_chunks(training_records(found, run.labels, system_prompt), out, prefix=prefix)
+    return run
