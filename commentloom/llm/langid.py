@@ -33,13 +33,21 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 
 
 def fit(
-    labelled: DataFrame, text_col: str, lang_col: str, per_language: int = 300, spans: int = 12, span_words: int = 24, length: int = 72, sequences: int = 4000, seed: int = 5
+    labelled: DataFrame, text_col: str, lang_col: str, per_language: int = 300, spans: int = 12, span_words: int = 24, length: int = 72, sequences: int = 4000, seed: int = 5, max_languages: int = 2000
 ) -> Model:
     """Trains on a bounded sample of ``labelled``; languages come in alphabetical order."""
     rows = labelled.select(labelled[lang_col].cast("string").alias("_lang"), labelled[text_col].cast("string").alias("_text"))
     rows = rows.where("_lang is not null and _text is not null").withColumn("_at", F.xxhash64("_text"))
-    first = Window.partitionBy("_lang").orderBy("_at", "_text")
-    sample = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language).select("_lang", "_text")
+    # Distinct texts are chosen by their hashes alone, so copies count once and no text is shuffled to be ranked.
+    first = Window.partitionBy("_lang").orderBy("_at")
+    chosen = rows.select("_lang", "_at").distinct().withColumn("_n", F.row_number().over(first))
+    upto = chosen.where(F.col("_n") <= per_language).groupBy("_lang").agg(F.max("_at").alias("_upto"))
+    cuts = upto.limit(max_languages + 1).collect()
+    if len(cuts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    cuts = labelled.sparkSession.createDataFrame(cuts, upto.schema)  # small enough by the check above
+    near = rows.join(F.broadcast(cuts), "_lang").where(F.col("_at") <= F.col("_upto"))
+    sample = near.groupBy("_lang", "_at").agg(F.min("_text").alias("_text")).select("_lang", "_text")
 
     def cut(batches):
         for batch in batches:
@@ -81,6 +89,9 @@ def fit(
 
 def _label(model: Model, texts: list[list[str]]) -> list[np.ndarray]:
     """For each text its words' label probabilities; no text is empty."""
+    if _WORKER.get("model") is not model:  # a worker outlives a job, and so must not keep another model's words
+        _WORKER.clear()
+        _WORKER["model"] = model
     cache, rows = _WORKER.setdefault("cache", {}), _WORKER.get("rows")
     if len(cache) > CACHE_WORDS:
         cache.clear()
@@ -134,9 +145,6 @@ def _identified(texts: DataFrame, model: Model, runs: bool) -> DataFrame:
 
     def run(batches):
         own = shared.value
-        if _WORKER.get("model") is not own:
-            _WORKER.clear()
-            _WORKER["model"] = own
         for batch in batches:
             column, texts, size, at = batch.column("_text"), [], 0, 0
             for k in range(len(column)):
