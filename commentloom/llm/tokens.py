@@ -3,7 +3,7 @@
 A pre-token is a run of spaces with the word behind it.  No piece of the vocabulary has a space after
 another character, so merges never cross a pre-token's end and a text's count is the sum over its
 pre-tokens.  Tier one is a broadcast table of frequent pre-tokens and their lengths, packed and bounded by
-``table_size``; it is fitted on at most ``sample_rows`` texts and changes only the speed.  Tier two encodes
+``table_size``; it is fitted on about ``sample_rows`` texts at most and changes only the speed.  Tier two encodes
 misses and keeps them in a cache of the Python worker, emptied when it holds ``CACHE_SIZE`` entries.
 Pre-tokens are never shuffled; the whole count is one narrow stage.
 
@@ -18,13 +18,15 @@ import zlib
 from array import array
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.llm.common import keyed, texts_of
+from commentloom.llm.common import few_rows, keyed, numbered, summed, texts_of
 
 CACHE_SIZE = 400_000
+CHUNK_WORDS = 400_000  # pre-tokens looked up at a time, besides one text's own
 SPACE = "▁"  # how the library writes a space
 _RUN = re.compile(" *[^ ]+| +$")
 _WORKER: dict = {}
@@ -57,18 +59,24 @@ def frequent(texts: DataFrame, path: str, sample_rows: int, table_size: int) ->
     """The packed first tier: words joined by line ends, then one byte for each length."""
 
     def count(batches):
-        seen = Counter()
+        library, _ = _encoder(path)
         for batch in batches:
+            seen = Counter()
             for text in texts_of(batch):
                 seen.update(w for w in pre_tokens(text) if len(w) <= 64 and "\n" not in w)
-        library, _ = _encoder(path)
-        best = [w for w, _ in seen.most_common(table_size)]
-        yield pa.RecordBatch.from_pydict({"word": best, "n": [_length(library, w) for w in best]}, schema=schema)
+            words = [w for w, n in seen.most_common(table_size) if n > 1]
+            yield pa.RecordBatch.from_pydict(
+                {"word": words, "n": [_length(library, w) for w in words], "seen": [seen[w] for w in words]}, schema=schema
+            )
 
-    schema = pa.schema([("word", pa.string()), ("n", pa.int32())])
-    rows = texts.select("_text").limit(sample_rows).coalesce(1).mapInArrow(count, "word string, n int").collect()
-    rows = [(w, n) for w, n in rows if n < 256]
-    return zlib.compress("\n".join(w for w, _ in rows).encode()) + b"|" + array("B", [n for _, n in rows]).tobytes()
+    schema = pa.schema([("word", pa.string()), ("n", pa.int32()), ("seen", pa.int64())])
+    total, sizes = Counter(), {}
+    for word, n, seen in few_rows(texts.select("_text"), sample_rows).mapInArrow(count, "word string, n int, seen bigint").collect():
+        if n < 256:
+            total[word] += seen
+            sizes[word] = n
+    words = [w for w, _ in total.most_common(table_size)]
+    return zlib.compress("\n".join(words).encode()) + b"|" + array("B", map(sizes.get, words)).tobytes()
 
 
 def unpack(packed: bytes) -> dict[str, int]:
@@ -78,6 +86,13 @@ def unpack(packed: bytes) -> dict[str, int]:
     return dict(zip(words, lengths, strict=True)) if lengths else {}
 
 
+def _first_tier(packed: bytes) -> dict[str, int]:
+    """The unpacked table, kept by the worker as long as the same one is asked for."""
+    if _WORKER.get("packed") != packed:
+        _WORKER["packed"], _WORKER["table"] = packed, unpack(packed)
+    return _WORKER["table"]
+
+
 def count_tokens(
     docs: DataFrame,
     model_path: str,
@@ -94,34 +109,36 @@ def count_tokens(
 
     def count(batches):
         library, cache = _encoder(model_path)
-        if ("table", first.value[:64], len(first.value)) != _WORKER.get("key"):
-            _WORKER["key"] = ("table", first.value[:64], len(first.value))
-            _WORKER["table"] = unpack(first.value)
-        table = _WORKER["table"]
+        table = _first_tier(first.value)
         for batch in batches:
-            counts = []
-            for text in texts_of(batch):
-                total = 0
-                words = pre_tokens(text) if text else ()
-                lengths = list(map(table.get, words))
-                if None in lengths:
-                    for word, n in zip(words, lengths, strict=True):
-                        if n is None:
-                            n = cache.get(word)
-                            if n is None:
-                                if len(cache) >= CACHE_SIZE:
-                                    cache.clear()
-                                n = _length(library, word)
-                                if len(word) <= 64:
-                                    cache[word] = n
-                        total += n
-                else:
-                    total = sum(lengths)
-                counts.append(total)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
-                names=["_id", "n_bytes", "n_tokens"],
-            )
+            column, pending, words, at = batch.column("_text"), [], 0, 0
+            for k in range(len(column)):
+                text = column[k].as_py()
+                pending.append(pre_tokens(text) if text else [])
+                words += len(pending[-1])
+                if words >= CHUNK_WORDS or k == len(column) - 1:
+                    part = batch.slice(at, len(pending))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("_id"), part.column("n_bytes"), pa.array(lengths(library, table, cache, pending))],
+                        names=["_id", "n_bytes", "n_tokens"],
+                    )
+                    at, words, pending = at + len(pending), 0, []
+
+    def lengths(library, table, cache, pending):
+        distinct, numbers, counts = numbered(pending)
+        sizes = np.empty(len(distinct), np.int64)
+        for i, word in enumerate(distinct):
+            n = table.get(word)
+            if n is None:
+                n = cache.get(word)
+            if n is None:
+                n = _length(library, word)
+                if len(word) <= 64:
+                    if len(cache) >= CACHE_SIZE:
+                        cache.clear()
+                    cache[word] = n
+            sizes[i] = n
+        return summed(sizes[numbers], counts)
 
     counted = texts.select("_id", F.octet_length("_text").cast("bigint").alias("n_bytes"), "_text").mapInArrow(
         count, f"_id {kind}, n_bytes bigint, n_tokens bigint"
