@@ -2,11 +2,11 @@
 
 Vectors are projected onto ``dims`` random directions, shifted, cut into 2**``bits`` cells a direction and ordered by
 their place on a Hilbert curve; this is done for ``curves`` different projections and shifts.  Every curve is
-cut into ``ranges`` key ranges of about equal weight, and a query is compared with all vectors of its own range
-and the one on either side, on every curve; what the curves find is merged and reranked by the exact
-distance.  Only the cut points and the scale of the projections are fitted on a bounded sample (at most ``fit_rows``
-vectors); every vector is indexed.  Equal keys are told apart by a hash of the id, so a key that holds a third
-of all rows still spreads over ranges, and ranges are salted by id into blocks of bounded size, as are the
+cut into ``ranges`` key ranges of about equal weight, and a query is compared with all vectors of every range that
+its own place on the curve spans and of the one on either side, on every curve; what the curves find is merged and
+reranked by the exact distance.  Only the cut points and the scale of the projections are fitted on a bounded sample (at most ``fit_rows``
+vectors); every vector is indexed.  Equal places are told apart by a hash of the id, another one on each curve, so a
+place that holds a third of all rows still spreads over ranges, all of which its queries visit, and ranges are salted by id into blocks of bounded size, as are the
 queries that visit them.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without an
@@ -31,6 +31,9 @@ from commentloom.llm.hilbert import hilbert_keys
 from commentloom.llm.vectors import matrix, one_per_id, parts_for
 
 
+TAIL = 30  # bits of a key below the place
+
+
 class Curves:
     """Projections, shifts and, after ``fit``, scale and cut points of all curves."""
 
@@ -40,19 +43,24 @@ class Curves:
         self.bits = bits
         self.axes = [np.linalg.qr(rng.normal(size=(width, dims)))[0] for _ in range(curves)]
         self.shifts = rng.uniform(-0.5, 0.5, (curves, dims))
+        self.factors = rng.integers(0, 2**63, curves, np.uint64) * np.uint64(2) + np.uint64(1)
         self.middle = self.spread = self.cuts = None
 
-    def keys(self, x: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
-        """For each curve every vector's key, equal places told apart by a hash of the id."""
-        tail = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(34)).astype(np.int64)
+    def places(self, x: np.ndarray) -> list[np.ndarray]:
+        """For each curve every vector's place, in the high bits of its key."""
         out = []
         for c, axes in enumerate(self.axes):
             z = (x @ axes - self.middle[c]) / self.spread[c] / 4 + 0.5  # two deviations either way
             cells = np.floor(z * 2**self.bits + self.shifts[c])
             place = hilbert_keys(np.clip(cells, 0, 2**self.bits - 1).astype(np.int64), self.bits)
-            out.append(place << 30 | tail)
+            out.append(place << TAIL)
         return out
 
+    def keys(self, x: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
+        """For each curve every vector's key, equal places told apart by a hash of the id."""
+        tails = [(ids.astype(np.uint64) * f >> np.uint64(64 - TAIL)).astype(np.int64) for f in self.factors]
+        return [place | tail for place, tail in zip(self.places(x), tails, strict=True)]
+
     def fit(self, x: np.ndarray, ids: np.ndarray, ranges: int) -> Curves:
         projected = [x @ axes for axes in self.axes]
         low, self.middle, high = (np.quantile(projected, q, axis=1) for q in (0.16, 0.5, 0.84))  # outliers don't count
@@ -61,9 +69,11 @@ class Curves:
         self.cuts = [np.quantile(k, at, method="lower") for k in self.keys(x, ids)]
         return self
 
-    def ranges_of(self, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Vectors by curves: the key range of each."""
-        return np.stack([np.searchsorted(c, k, "right") for c, k in zip(self.cuts, self.keys(x, ids), strict=True)], axis=1)
+    def ranges_of(self, x: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
+        """Vectors by curves: the key range of each, and the first and last range that its place spans."""
+        places = self.places(x)
+        bounds = [self.keys(x, ids), places, [p | (1 << TAIL) - 1 for p in places]]
+        return [np.stack([np.searchsorted(c, k, "right") for c, k in zip(self.cuts, b, strict=True)], axis=1) for b in bounds]
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -105,10 +115,11 @@ def nearest(
     def place(batches):
         for batch in batches:
             found = shared.value.ranges_of(matrix(batch.column("v")), batch.column("_id").to_numpy())
-            lists = pa.array(found.tolist(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["_id", "v", "twin", "at"])
+            lists = [pa.array(f.tolist(), pa.list_(pa.int32())) for f in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=["_id", "v", "twin", "at", "first", "last"])
 
-    placed = vectors.where(F.size("v") == width).mapInArrow(place, "_id bigint, v array<double>, twin int, at array<int>")
+    schema = "_id bigint, v array<double>, twin int, at array<int>, first array<int>, last array<int>"
+    placed = vectors.where(F.size("v") == width).mapInArrow(place, schema)
     salt = lambda n: F.pmod(F.xxhash64("_id"), F.lit(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     data = (
@@ -116,11 +127,11 @@ def nearest(
         .select("_id", "v", F.posexplode("at").alias("curve", "range"), salt(blocks).alias("block"))
         .withColumn("part", spread(groups))
     )
-    visits = F.explode(F.sequence(F.col("range") - 1, F.col("range") + 1))
+    visits = F.explode(F.sequence(F.col("span.first") - 1, F.col("span.last") + 1))
     queries = (
         placed.where(is_query)
-        .select("_id", "v", F.posexplode("at").alias("curve", "range"), salt(groups).alias("part"))
-        .withColumn("range", visits)
+        .select("_id", "v", F.posexplode(F.arrays_zip("first", "last")).alias("curve", "span"), salt(groups).alias("part"))
+        .select("_id", "v", "curve", visits.alias("range"), "part")
         .withColumn("block", spread(blocks))
     )
 

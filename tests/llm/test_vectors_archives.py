@@ -96,6 +96,22 @@ def test_neighbours_of_table_and_none(spark):
     assert ann.nearest(df.limit(0), 10, F.col("_id") % 100 == 0).count() == 0
 
 
+@pytest.mark.parametrize("radius", [1e-5, 1e-3])
+def test_neighbours_in_a_tight_cluster(spark, radius):
+    """A third of the vectors lie in one place of every curve, which spans more ranges than three."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64))
+    x[::3] = x[0] + radius * rng.normal(size=(1000, 64))
+    got = ann.nearest(frame(spark, list(enumerate(x.tolist()))), 10, F.col("_id") % 50 == 0).collect()
+    hits = {True: [], False: []}
+    for q in range(0, 3000, 50):
+        far = ((x - x[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        want = set(np.argsort(far)[:10].tolist())
+        hits[q % 3 == 0].append(len(want & {r.vec_id for r in got if r.query_id == q}) / 10)
+    assert np.mean(hits[True]) >= 0.9 and np.mean(hits[False]) >= 0.9, {k: np.mean(v) for k, v in hits.items()}
+
+
 # ---- archives
 
 PAGES = "page_id bigint, url string, html string, payload string"
