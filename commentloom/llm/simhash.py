@@ -29,9 +29,13 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLOCK = 1 << 14  # shingle hashes whose bits are counted at a time
 
 
+def words_of(text: str) -> list[bytes]:
+    return text.encode().translate(_LOWER).split()
+
+
 def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
     """Bit i is 1 if it is set in over half the XXH64 values of the text's word shingles."""
-    tokens = text.encode().translate(_LOWER).split()
+    tokens = words_of(text)
     if not tokens:
         return 0
     whole = b" ".join(tokens)
@@ -113,9 +117,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     decides, and of rows equal in both, one of their columns' hash.
     """
     prints, _ = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    return kept_rows(docs, least_rows(prints), classes(prints), id_col, text_col)
+
+
+def least_rows(prints: DataFrame) -> DataFrame:
+    """(fp, row): the row that stands for each fingerprint."""
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_twin").alias("row")
-    best = prints.groupBy("fp").agg(F.min(order).alias("row"))
-    kept = best.join(classes(prints), "fp").groupBy("root").agg(F.min("row").alias("row"))
+    return prints.groupBy("fp").agg(F.min(order).alias("row"))
+
+
+def kept_rows(docs: DataFrame, best: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The row of ``docs`` that stands for each class (fp, root), where ``best`` has the row of each fingerprint."""
+    kept = best.join(classes, "fp").groupBy("root").agg(F.min("row").alias("row"))
     kept = kept.select(F.col("row._id").alias("_kept"), F.col("row._twin").alias("_kept_twin"))
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("_row"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 import check
@@ -40,6 +42,32 @@ def test_run_equals_the_operators_one_by_one(spark):
     assert {r.doc_id for r in out.collect()} <= {r.doc_id for r in single}
 
 
+def test_near_copies_of_five_words_go(spark):
+    """One row stays of each class by the exact similarity of five-word shingles, 0.8 or more."""
+    rng = random.Random(4)
+    texts = []
+    for n in (8, 30, 60, 200, 1000):
+        for _ in range(4):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            texts.append(words)
+            for changes in (1, 1, 2, 4, 8):
+                copy = list(words)
+                for _ in range(changes):
+                    copy[rng.randrange(n)] = f"x{rng.randrange(10**6)}"
+                texts.append(copy)
+    texts += [["A", "b"], ["a", "B"], ["a", "c"]]
+    sets = [{tuple(w.lower() for w in t[k : k + 5]) for k in range(max(1, len(t) - 4))} for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8 and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    docs = documents(spark, [(i, " ".join(t), "en", "src0", 0) for i, t in enumerate(texts)])
+    assert len(set(root)) < 0.9 * len(texts)
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SMALL).collect()} == set(root)
+
+
 @pytest.fixture(scope="module")
 def con():
     return check.connect(SMALL)
