@@ -39,7 +39,6 @@ def migrate(
     messages = formatting.to_chatml(pending.drop("chunk"), system_prompt)
     writer = messages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("chunk_name").parquet(out)
-    written = spark.read.parquet(out).select("chunk_name").distinct()
-    fresh = ledger.manifest(chunked).join(written, "chunk_name", "left_semi").join(done, "chunk_name", "left_anti")
+    fresh = ledger.manifest(chunked).join(pending.select("chunk_name").distinct(), "chunk_name", "left_semi")
     fresh.select("chunk", "chunk_name", "n_rows", "total_rows").write.mode("append").parquet(state)
     return spark.read.schema(MANIFEST).parquet(state)

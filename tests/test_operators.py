@@ -16,6 +16,7 @@ from commentloom.operators import (
     ranking,
     sampling,
 )
+from commentloom.plans import migration
 from commentloom.schemas import FLAGS
 from conftest import plan_of
 
@@ -418,3 +419,15 @@ def test_fallback_ids_are_unique(spark):
     df = spark.range(500).select(F.lit("copy").alias("body"))
     got = indexing.fallback_ids(df)
     assert got.select("id").distinct().count() == 500
+
+
+def test_limited_migration_lists_only_its_own_chunks(spark, tmp_path):
+    """A later chunk that a broken run left incomplete is not listed by a run that ends before it."""
+    table = spark.createDataFrame([(f"i{k}", f"text {k}", *[0] * len(FLAGS)) for k in range(6)], ["id", "body", *FLAGS])
+    out, broken, state = (str(tmp_path / name) for name in ("out", "broken", "state"))
+    migration.migrate(spark, table.where("id < 'i5'"), out, broken, "prompt", size=2)
+    listed = migration.migrate(spark, table, out, state, "prompt", size=2, max_chunks=1)
+    assert rows(listed, "chunk", "n_rows") == [(0, 2)]
+    listed = migration.migrate(spark, table, out, state, "prompt", size=2)
+    assert rows(listed, "chunk", "n_rows") == [(0, 2), (1, 2), (2, 2)]
+    assert rows(spark.read.parquet(out), "id") == [(f"i{k}",) for k in range(6)]
