@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import ann, bpe, langid, mixing, repeats, secrets, simhash, tokens, vafile, warc
+from commentloom.llm import ann, bpe, chat, langid, mixing, repeats, secrets, simhash, tokens, vafile, warc
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,11 +103,6 @@ def op8_bpe_codec(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"), path, digests=True)
 
 
-@query
-def pipeline(spark, sf_dir):
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 @query
 def op10_warc_round_trip(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
@@ -188,3 +183,53 @@ plan AS (
 SELECT doc_id, domain, language, source, epoch::INT AS epoch, n AS n_tokens
 FROM taken, LATERAL (SELECT unnest(generate_series(1, times)) AS epoch)
 """
+
+
+@query
+def op13_chat_format(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    said = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
+    return chat.read_back(chat.format_parts(rows.unionByName(extra)))
+
+
+def _escaped_sql(column: str) -> str:
+    out = f"replace({column}, '\\', '\\\\')"
+    for c in chat.INSTRUCT.control:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+def _allowed_sql(template: chat.Template) -> str:
+    pairs = [f"('{state}', '{role}')" for state, roles in template.follows.items() for role in roles]
+    return f"(state, role) IN ({', '.join(pairs)})"
+
+
+_KNOWN = ", ".join(f"'{r}'" for r in chat.INSTRUCT.parts)
+_AROUND = " ".join(f"WHEN '{r}' THEN {len(p.open) + len(p.close)}" for r, p in chat.INSTRUCT.parts.items())
+_OTHER = len(chat.INSTRUCT.other.open) - len(chat.ROLE) + len(chat.INSTRUCT.other.close)
+
+ORACLES["op13_chat_format"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, x.turn, x.role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(turn, role)
+), u AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM t
+), v AS (
+  SELECT *, coalesce(last_value(CASE WHEN role IN ({_KNOWN}) THEN role END IGNORE NULLS) OVER (
+             PARTITION BY conv_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'start') AS state,
+         coalesce(last_value(CASE WHEN role IN ({_KNOWN}) THEN role END IGNORE NULLS) OVER (
+             PARTITION BY conv_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 'start') AS final
+  FROM u
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length({_escaped_sql("text")})
+           + CASE role {_AROUND} ELSE {_OTHER} + length({_escaped_sql("role")}) END)::BIGINT AS formatted_chars,
+       count(*) FILTER (NOT {_allowed_sql(chat.INSTRUCT)})::BIGINT AS n_violations,
+       any_value(final) IN ({", ".join(f"'{e}'" for e in chat.INSTRUCT.ends)}) AS complete
+FROM v GROUP BY conv_id
+"""
