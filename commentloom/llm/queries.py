@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import ann, bpe, chat, langid, mixing, repeats, secrets, simhash, tokens, vafile, warc
+from commentloom.llm import ann, bpe, chat, langid, mixing, repeats, runs, secrets, simhash, tokens, vafile, warc
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,6 +185,42 @@ FROM taken, LATERAL (SELECT unnest(generate_series(1, times)) AS epoch)
 """
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth text by crc32 repeats some of its words from one place on, as op12's contract says."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size("words")
+    a = F.col("g") % F.col("n")
+    p = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    again = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    chosen = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), g.alias("g"))
+    rest = chosen.where("chosen IS NOT TRUE").select("doc_id", "text")
+    cut = chosen.where("chosen").select("doc_id", "g", words.alias("words")).withColumn("n", n)
+    cut = cut.withColumn("a", F.when(n > 0, a).otherwise(0)).withColumn("p", p)
+    return rest.unionByName(cut.select("doc_id", F.array_join(again, " ").alias("text")))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    found = runs.find_runs(_planted(table(spark, sf_dir, "documents")))
+    whole = lambda x, y: F.floor(x.cast("double") / y.cast("double"))
+    order = lambda r: F.struct(
+        (r["length"] / r["period"]).alias("exponent"), (-r["start"]).alias("start"), (-r["period"]).alias("period"), r["length"].alias("length")
+    )
+    best = F.array_max(F.transform("runs", order)).alias("best")
+    listed = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best, listed.alias("listed"), "collapsed").select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        whole(F.col("best.length") * 1000, -F.col("best.period")).alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def op13_chat_format(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
