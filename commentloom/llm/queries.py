@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import ann, bpe, chat, langid, mixing, repeats, runs, secrets, simhash, tokens, vafile, warc
+from commentloom.llm import align, ann, bpe, chat, langid, mixing, repeats, runs, secrets, simhash, tokens, vafile, warc
 from commentloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,19 +185,23 @@ FROM taken, LATERAL (SELECT unnest(generate_series(1, times)) AS epoch)
 """
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align(table(spark, sf_dir, "documents"), a, b)
+
+
 def _planted(docs: DataFrame) -> DataFrame:
     """(doc_id, text): every tenth text by crc32 repeats some of its words from one place on, as op12's contract says."""
-    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    g, n = F.floor(h / 10), F.size("words")
-    a = F.col("g") % F.col("n")
-    p = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    g, n = F.col("g"), F.size("words")
+    a = g % n
+    p = 1 + F.floor((n - F.col("a")) / (3 + g % 8))
+    cut = cut.withColumn("a", F.when(n > 0, a)).withColumn("p", p)
     again = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
-    chosen = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), g.alias("g"))
-    rest = chosen.where("chosen IS NOT TRUE").select("doc_id", "text")
-    cut = chosen.where("chosen").select("doc_id", "g", words.alias("words")).withColumn("n", n)
-    cut = cut.withColumn("a", F.when(n > 0, a).otherwise(0)).withColumn("p", p)
-    return rest.unionByName(cut.select("doc_id", F.array_join(again, " ").alias("text")))
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
 
 
 @query
