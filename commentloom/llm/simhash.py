@@ -83,26 +83,32 @@ def ball_keys(fp: Column, segments: int = 2, radius: int = 1) -> Column:
     return F.array(*[fp.bitwiseXOR(F.lit(m)) for m in signed])
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Distinct links (a > b) that join all fingerprints within two bits, of distinct ``prints`` (fp)."""
+def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """Distinct links (a > b) that join all fingerprints within ``bits`` (2 or 0), of distinct ``prints`` (fp)."""
+    if bits not in (0, MAX_BITS):
+        raise ValueError(f"the table's keys are made for {MAX_BITS} bits, or none")
+    if bits == 0:  # equal fingerprints are one node already
+        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     probes = prints.select("fp", F.explode(ball_keys(F.col("fp"))).alias("key"))
     entry = Window.partitionBy("key").orderBy("fp")
     chained = probes.select("fp", F.lag("fp").over(entry).alias("before")).where("before is not null")
-    near = chained.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("before"))) <= MAX_BITS)
+    near = chained.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("before"))) <= bits)
     return near.select(F.greatest("fp", "before").alias("a"), F.least("fp", "before").alias("b")).distinct()
 
 
-def classes(prints: DataFrame) -> DataFrame:
+def classes(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """(fp, root): every distinct fingerprint with the smallest one that links reach."""
     nodes = prints.select("fp").distinct()
-    roots, _ = components(links(nodes))
+    roots, _ = components(links(nodes, bits))
     return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = MAX_BITS
+) -> DataFrame:
     """(id, fingerprint, component_id): every row with its fingerprint and the smallest id of its class."""
     prints, _ = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    named = prints.groupBy("fp").agg(F.min("_id").alias("least")).join(classes(prints), "fp")
+    named = prints.groupBy("fp").agg(F.min("_id").alias("least")).join(classes(prints, bits), "fp")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = named.join(least, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select(
@@ -110,14 +116,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = MAX_BITS
+) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the smallest id.
 
     A null id stays only where its class has no other; of rows with the class's id the smallest text hash
     decides, and of rows equal in both, one of their columns' hash.
     """
     prints, _ = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    return kept_rows(docs, least_rows(prints), classes(prints), id_col, text_col)
+    return kept_rows(docs, least_rows(prints), classes(prints, bits), id_col, text_col)
 
 
 def least_rows(prints: DataFrame) -> DataFrame:
