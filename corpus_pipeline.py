@@ -10,12 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentloom.llm import bpe, langid, minhash, mixing, secrets
+from commentloom.llm import bpe, langid, mixing, secrets, simhash
 from commentloom.llm.common import stored, table
 
 #: A text whose words agree on no language to this degree is rejected, as is one without letters.
 MIN_LANGUAGE_SCORE = 0.3
 
+#: How near copies are told, as the operator's contract has it.
+SHINGLE_WORDS, MAX_BITS = 3, 2
+
 #: The language model cannot be written in SQL; tests/llm holds the stages against plain versions.
 ORACLE_SQL = None
 
@@ -32,11 +35,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of texts whose five-word shingles have a Jaccard similarity of 0.8 or more: the one with the smallest id, of equal ids the first by its text.
+    """Keeps one document of each class of near copies: the one with the smallest id, of equal ids the first by its text.
 
-    Rows with a null id stay only if their class has no other.
+    Near copies are linked as ``op5`` links them: fingerprints of shingles of ``SHINGLE_WORDS`` words that differ in at
+    most ``MAX_BITS`` bits.  Rows with a null id stay only if their class has no other.
     """
-    return minhash.keep_one(docs)
+    return simhash.keep_one(docs, words=SHINGLE_WORDS, bits=MAX_BITS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
