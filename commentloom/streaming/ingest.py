@@ -11,8 +11,9 @@ from commentloom.functions.flags import toxic, year_month
 from commentloom.operators.audit import CLEAN, TOXIC_POOL, against_targets, with_status
 from commentloom.operators.dedup import dedup_by_id
 from commentloom.operators.filters import backfill_flags, drop_tombstones
-from commentloom.operators.ledger import _exists
+from commentloom.operators.id_index import add_ids, committed, remove, runs, unseen
 from commentloom.schemas import COMMENTS, FLAGS
+from commentloom.session import materialize
 from commentloom.sources.scan import STAGING_GLOB, conform
 from commentloom.sources.sinks import append_slices
 
@@ -39,31 +40,67 @@ def stream_ingest(
     checkpoint: str,
     glob: str = STAGING_GLOB,
     max_files: int | None = None,
+    index: str | None = None,
 ) -> StreamingQuery:
     """Fold arriving files into the main table, one row per id over all time.
 
     Months arrive in any order, so an event-time watermark would drop old comments as late, and
-    state without one would grow for ever.  The main table itself is the memory instead: a
-    micro-batch reads its id column, whatever the months, since an id may come again with another
-    month.  A batch replayed after a failure finds its ids and appends nothing.
+    state without one would grow for ever.  The memory is a bucketed id set instead (``id_index``,
+    beside the main data unless ``index`` names another folder): a micro-batch reads the buckets of its own ids
+    and never the main table.  What a batch is about to append is noted first; a batch
+    that was broken off is settled from that note and the main table's months in it, so a replay
+    appends each id once.  A main table without a set gets one from its ids.
     """
     arrived = drop_tombstones(conform(read_landing(spark, landing, glob, max_files=max_files)))
+    index = index or f"{main.rstrip('/')}/_ids"
     return (
-        arrived.writeStream.foreachBatch(lambda batch, _: _append_new(batch, main))
+        arrived.writeStream.foreachBatch(lambda batch, _: _append_new(batch, main, index))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def _append_new(batch: DataFrame, main: str) -> None:
-    spark = batch.sparkSession
+def _append_new(batch: DataFrame, main: str, index: str) -> None:
+    spark, note = batch.sparkSession, f"{index}/note"
+    settle(spark, main, index)
     month = F.coalesce(year_month("created_utc"), F.lit("unknown"))
-    fresh = dedup_by_id(batch).withColumn(MONTH, month)
-    if _exists(spark, main):
-        known = spark.read.schema("id string").parquet(main)
-        fresh = fresh.join(known, "id", "left_anti")
-    append_slices(fresh, main, [MONTH])
+    fresh = materialize(dedup_by_id(batch).withColumn(MONTH, month), "arrived")
+    unseen(fresh.select("id", MONTH), index).write.parquet(note)
+    new = spark.read.schema(_NOTE).parquet(note)
+    rows = fresh.join(new.select(F.col("id").alias("_id")), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    append_slices(rows, main, [MONTH])
+    add_ids(new, index)
+    remove(spark, note)
+
+
+_NOTE = f"id string, {MONTH} string"
+
+
+def settle(spark: SparkSession, main: str, index: str) -> None:
+    """Bring the id set up to the main table: from a broken-off batch's note, or from all ids where there is no set."""
+    note = f"{index}/note"
+    if not runs(spark, index):
+        add_ids(_ids_of(spark, main), index)
+    elif committed(spark, note):
+        noted = spark.read.schema(_NOTE).parquet(note)
+        stored = _ids_of(spark, main)
+        same = (stored[MONTH] == noted[MONTH]) & stored["id"].eqNullSafe(noted["id"])
+        add_ids(stored.join(noted, same, "left_semi"), index)  # reads the noted months only
+    remove(spark, note)
+
+
+def _ids_of(spark: SparkSession, main: str) -> DataFrame:
+    if _has_data(spark, main):
+        return spark.read.schema(_NOTE).parquet(main)
+    return spark.createDataFrame([], _NOTE)
+
+
+def _has_data(spark: SparkSession, main: str) -> bool:
+    """Whether the main folder holds more than the id set and other hidden entries."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(main)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(target) and any(s.getPath().getName()[0] not in "._" for s in fs.listStatus(target))
 
 
 def windowed_counts(
