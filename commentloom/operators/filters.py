@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commentloom.functions.flags import year_month
+from commentloom.functions.terms import holds_any
 from commentloom.functions.text import tokenize
 from commentloom.schemas import FLAGS, SHORT_TO_LONG, TOMBSTONES
 
@@ -54,23 +55,14 @@ def epoch_between(df: DataFrame, lo: int, hi: int, col: str = "created_utc") ->
 
 
 def keyword_match(col: str, terms: list[str], whole_word: bool = False) -> Column:
-    """True where the lower-cased text holds any term literally.
-
-    The one-element array binds the lower-cased text once; every ``contains`` reuses it.
-    """
+    """True where the lower-cased text holds any term literally; all terms are tried in one pass."""
     terms = [t.lower() for t in terms if t]
     if not terms:
         return F.lit(False)
     if whole_word:
         return F.arrays_overlap(tokenize(col), F.array(*[F.lit(t) for t in terms]))
 
-    def any_term(text: Column) -> Column:
-        hit = text.contains(terms[0])
-        for term in terms[1:]:
-            hit = hit | text.contains(term)
-        return hit
-
-    return F.exists(F.array(F.lower(col)), any_term)
+    return holds_any(F.lower(col), terms)
 
 
 def match_any_keyword(

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commentloom.functions.terms import found
 from commentloom.functions.text import bind, strip_space
+from commentloom.operators.lexicon import term_entries
 from commentloom.schemas import CATEGORY_FLAGS, FLAGS, LABEL_ITEM, SHORT_FLAGS
 
 # Fixed value: the line that opens a request.
@@ -172,19 +174,16 @@ def rule_labeler(
 ) -> DataFrame:
     """Flags from lexicon hits; ``discriminatory_hate_speech`` is 1 iff any category is.
 
-    Each row is judged by its own text: a category's terms are one array, read when the plan runs, so rows
-    are neither joined nor grouped and ids may repeat or be missing.
+    Each row is judged by its own text, so rows are neither joined nor grouped and ids may repeat or be
+    missing.  All categories' terms are searched in one pass.
     """
-    text = F.lower(col)
-    terms = {
-        f"_{c}": lexicon.filter(F.lower("category") == c).agg(F.collect_set(F.lower("term"))).scalar()
-        for c in categories
+    entries = {
+        term: [{"category": (e["category"] or "").lower()} for e in own] for term, own in term_entries(lexicon).items()
     }
-    hit = {
-        c: F.coalesce(F.exists(f"_{c}", lambda t: F.contains(text, t)), F.lit(False)).cast("int")
-        for c in categories
-    }
-    out = df.withColumns(terms).withColumns(hit).drop(*terms)
+    hits = F.transform(found(F.lower(col), entries, "struct<category:string>"), lambda x: x["category"])
+    marked = df.withColumn("_hits", hits)
+    hit = {c: F.coalesce(F.array_contains("_hits", c), F.lit(False)).cast("int") for c in categories}
+    out = marked.withColumns(hit).drop("_hits")
     return out.withColumn("discriminatory_hate_speech", F.greatest(*[F.col(c) for c in categories]))
 
 

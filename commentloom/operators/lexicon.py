@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commentloom.functions.terms import found
 from commentloom.functions.text import tokenize, tokenize_alpha
 from commentloom.operators.ranking import lowest_per_group
 from commentloom.schemas import CATEGORY_FLAGS
@@ -144,21 +145,27 @@ def minority_keywords(
     return top.select("category", "word", "n", F.col("rank").cast("long").alias("rank"))
 
 
+def term_entries(lexicon: DataFrame) -> dict[str, list[dict]]:
+    """The lexicon's distinct (category, term), lower-cased, by term.  A lexicon is configuration: it is read whole."""
+    pairs = lexicon.select("category", F.lower("term").alias("term")).dropna(subset="term").distinct().collect()
+    out: dict[str, list[dict]] = {}
+    for r in sorted(pairs, key=lambda r: (r["term"], r["category"] or "")):
+        out.setdefault(r["term"], []).append({"category": r["category"], "term": r["term"]})
+    return out
+
+
+ENTRY = "struct<category:string,term:string>"
+
+
 def lexicon_hits(
     df: DataFrame, lexicon: DataFrame, col: str = "body", id_col: str = "id"
 ) -> DataFrame:
     """(id, category, term) for every term a lower-cased text contains.
 
-    The lexicon is one subquery, read when the plan runs: its terms ride along as an array, so texts are
-    neither joined nor shuffled and one pass serves a lexicon of any length.
+    All terms are searched in one pass (``functions.terms``), whose cost does not grow with their number;
+    texts are neither joined nor shuffled.
     """
-    pairs = lexicon.select("category", F.lower("term").alias("term")).distinct()
-    terms = pairs.agg(F.collect_list(F.struct("category", "term"))).scalar()
-    bound = F.transform(
-        F.array(F.struct(F.lower(col).alias("text"), "_terms")),
-        lambda s: F.filter(s["_terms"], lambda t: F.contains(s["text"], t["term"])),
-    )[0]
-    return df.select(id_col, col, terms.alias("_terms")).select(id_col, F.inline(bound))
+    return df.select(id_col, F.inline(found(F.lower(col), term_entries(lexicon), ENTRY)))
 
 
 def hit_counts(hits: DataFrame) -> DataFrame:
