@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from commentloom.functions.flags import sample_rank
+from commentloom.operators.ranking import first_per_key
 from commentloom.session import pin
 
 # The leading parts of chunk names and of made-up ids.
@@ -18,18 +19,40 @@ _POSITION_MASK = (1 << 33) - 1  # the low bits of monotonically_increasing_id()
 def row_index(df: DataFrame, order: list | None = None, out: str = "row_index") -> DataFrame:
     """Consecutive numbers from 0 in ``order``, or in stored order if none is given.
 
-    The table is range-sorted and written once; each partition's rows then add the count of all
-    partitions before it.  The broadcast side has one row per partition.  A content hash and a
-    running id close the sort key, so a run of equal keys still splits over tasks.
+    Rows are named by 128 bits of their content, which also closes the sort key.  Only the key and the name are sorted and
+    written down; positions there plus the counts of the partitions before them give each name its first number,
+    and these join the rows, which are shuffled once and never sorted by the key.  Rows that are
+    equal throughout are one name with consecutive numbers: a task sends one of them, and it is repeated in the
+    end.  ``df`` is read twice and must give the same rows again.  Without an order the rows themselves are
+    written down once, as they are.
+    """
+    if not order:
+        return _numbered(df, out)
+    named = _named(df)
+    numbers = (
+        _numbered(sorted_names(named, order), "_number")
+        .groupBy("_h1", "_h2")
+        .agg(F.min("_number").alias("_first"), F.count("*").alias("_copies"))
+    )
+    one = first_per_key(named, ["_h1", "_h2"], ["_h1"])
+    copies = F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1)
+    return one.join(numbers, ["_h1", "_h2"]).select(*df.columns, F.explode(copies).alias(out))
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.select("*", F.xxhash64(*df.columns).alias("_h1"), F.xxhash64(F.lit(1), *df.columns).alias("_h2"))
+
+
+def sorted_names(named: DataFrame, order: list) -> DataFrame:
+    """The rows' names in order; only they and the key are sorted.  Equal names still split over tasks by a running id."""
+    tied = named.withColumn("_tie", F.monotonically_increasing_id())
+    return tied.orderBy(*order, "_h1", "_h2", "_tie").select("_h1", "_h2")
+
+
+def _numbered(df: DataFrame, out: str) -> DataFrame:
+    """Consecutive numbers from 0 in stored order: ``df`` is written once, and each partition's rows add the count of
+    all partitions before it.  The broadcast side has one row per partition.
     """
-    if order:
-        columns = df.columns
-        df = (
-            df.withColumn("_hash", F.xxhash64(*columns))
-            .withColumn("_tie", F.monotonically_increasing_id())
-            .orderBy(*order, "_hash", "_tie")
-            .drop("_hash", "_tie")
-        )
     parts = (
         pin(df)
         .withColumn("_part", F.spark_partition_id())
@@ -54,8 +77,11 @@ def random_row_index(
     """Consecutive numbers from 0 in md5(seed | id) order, as one lazy plan.
 
     ``id_col`` must be unique.  md5 spreads ids evenly over 16^digits buckets whatever their
-    distribution, so bucket counts give the offsets and each bucket is ranked on its own.
+    distribution, so bucket counts give the offsets and each bucket is ranked on its own.  Bucket counts are
+    broadcast: at most 16^4 rows.
     """
+    if not 1 <= digits <= 4:
+        raise ValueError("digits must be 1 to 4")
     ranked = df.withColumn("_md5", sample_rank(id_col, seed)).withColumn(
         "_bucket", F.substring("_md5", 1, digits)
     )

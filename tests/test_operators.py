@@ -193,6 +193,28 @@ def test_row_index_with_equal_keys(spark):
     assert sorted(r["row_index"] for r in got.collect()) == list(range(3000))
 
 
+def test_row_index_is_the_place_in_the_whole_order(spark):
+    random.seed(4)
+    data = [(random.randrange(50), random.choice([None, "x", "y"]), f"wide text {random.randrange(3)}") for _ in range(2000)]
+    df = spark.createDataFrame(data + [(7, "x", "copy")] * 700, "k long, a string, body string").repartition(7)
+    out = indexing.row_index(df, [F.desc("k"), "a"])
+    got = sorted(((r["row_index"], r["k"], r["a"], r["body"]) for r in out.collect()), key=lambda r: r[0])
+    assert [r[0] for r in got] == list(range(2700))
+    assert [r[1:3] for r in got] == sorted(((r[1], r[2]) for r in got), key=lambda r: (-r[0], r[1] is not None, r[1] or ""))
+    assert sorted(map(str, (r[1:] for r in got))) == sorted(map(str, data + [(7, "x", "copy")] * 700))
+
+
+def test_row_index_sorts_names_and_moves_rows_once(spark):
+    df = spark.createDataFrame([(1, "body")], "k long, body string")
+    plan = plan_of(indexing.sorted_names(indexing._named(df), ["k"]))
+    ranges = next(line for line in plan.splitlines() if "rangepartitioning" in line)
+    inside = plan[plan.index(ranges) :].splitlines()[1]
+    assert "body#" not in inside.split("Project")[1].split("xxhash64")[0] and "Exchange" in ranges
+    final = plan_of(indexing.row_index(df, ["k"]))
+    assert sum("Exchange hashpartitioning(_h1" in x for x in final.splitlines()) == 2  # the rows, and their numbers
+    assert "rangepartitioning" not in final
+
+
 def test_row_index_in_stored_order(spark):
     got = indexing.row_index(spark.range(0, 1000, 1, 7)).orderBy("id").collect()
     assert [r["row_index"] for r in got] == list(range(1000))
