@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from commentloom.session import shuffle_width
+from commentloom.functions.flags import sample_rank
+from commentloom.session import materialize
+
+_STEPS = 16  # steps of a rank's scale for each doubling
 
 
 def _columns(order) -> list[Column]:
@@ -26,36 +29,54 @@ def first_per_key(df: DataFrame, key: list, order: list) -> DataFrame:
 def lowest_per_group(
     df: DataFrame, by: list[str], order: list, n: int, rank: str = "_rank"
 ) -> DataFrame:
-    """The ``n`` lowest rows per group with their rank from 1, the same way for every ``n``.
+    """The ``n`` lowest rows per group with their rank from 1, for tables that are small already."""
+    window = W.partitionBy(*by).orderBy(*_columns(order))
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
-    Groups are cut into slices by map task and each slice keeps its own ``n`` lowest; only those
-    meet in the last window, so a hot group is spread.  Where ``n`` is below Spark's own limit
-    (``build_session`` raises it) every task trims its rows before the first shuffle already.
-    """
-    order = _columns(order)
-    window = W.partitionBy(*by).orderBy(*order)
-    trimmed = _slice_lowest(df, by, order, n)
-    return trimmed.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
+def _step(draw: Column) -> Column:
+    """Where a hex rank lies on a scale whose steps double every ``_STEPS``; never falls as the rank rises."""
+    return F.floor(F.log2(F.conv(F.substring(draw, 1, 15), 16, 10).cast("double") + 1) * _STEPS).cast("int")
 
-def lowest(df: DataFrame, order: list, n: int) -> DataFrame:
-    """The ``n`` lowest rows of the whole table, by the same tournament."""
-    order = _columns(order)
-    return _slice_lowest(df, [], order, n).orderBy(*order).limit(n)
 
+def draw_per_group(
+    df: DataFrame,
+    by: list[str],
+    n: int,
+    seed,
+    id_col: str = "id",
+    before: list[str] = (),
+    rank: str = "_rank",
+) -> DataFrame:
+    """The ``n`` rows per group that a seeded draw takes, with their rank from 1.
 
-def _slice_lowest(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
-    """Keep each slice's ``n`` lowest; the slices meet in a middle round before the last."""
-    width = shuffle_width(df.sparkSession)
-    df = df.withColumn("_part", F.spark_partition_id())
-    for slices in (width, max(1, int(width**0.5))):
-        window = W.partitionBy(*by, "_slice").orderBy(*order)
-        df = (
-            df.withColumn("_slice", F.pmod("_part", F.lit(slices)))
-            .withColumn("_slice_rank", F.row_number().over(window))
-            .filter(F.col("_slice_rank") <= n)
-        )
-    return df.drop("_part", "_slice", "_slice_rank")
+    Rows rank by ``before``, then md5(seed | id), id and a hash of the whole row.  A first pass counts rows per group
+    and step of that order (a few hundred steps a group, summed before they are shuffled).  The step at which
+    a group reaches ``n`` is its cut, and in a second pass every task drops the rows above it
+    before anything moves: about n rows a group are shuffled, a sixteenth more at most than steps are fine, whatever the
+    group's size or the session.  ``df`` must give the same ids in both passes.
+    """
+    near = under_cut(df, by, n, seed, id_col, before)
+    mark = F.xxhash64(*[F.col(c) for c in df.columns])
+    window = W.partitionBy(*by).orderBy(*before, "_draw", id_col, mark)
+    return near.select(*df.columns, F.row_number().over(window).alias(rank)).filter(F.col(rank) <= n)
+
+
+def under_cut(df: DataFrame, by: list[str], n: int, seed, id_col: str = "id", before: list[str] = ()) -> DataFrame:
+    """The rows that a draw of ``n`` per group may take, with their rank ``_draw``."""
+    keyed = df.withColumn("_draw", sample_rank(id_col, seed))
+    keyed = keyed.withColumn("_place", F.struct(*before, _step(F.col("_draw")).alias("_step")))
+    steps = keyed.groupBy(*by, "_place").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(W.partitionBy(*by).orderBy("_place"))
+    full = F.when(F.col("_upto") >= n, F.col("_place"))
+    cuts = steps.withColumn("_upto", upto).groupBy(*by).agg(F.min(full).alias("_cut"))
+    # Written down, so that its size is known when the join is planned.
+    cuts = materialize(cuts.select(*[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], "_cut"), "cuts")
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & keyed[b].eqNullSafe(cuts[f"_by{i}"])
+    near = keyed.join(cuts, same) if by else keyed.withColumn("_cut", cuts.select("_cut").scalar())
+    return near.filter(F.col("_cut").isNull() | (F.col("_place") <= F.col("_cut")))
 
 
 def bring_rows(df: DataFrame, drawn: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
@@ -67,6 +88,7 @@ def bring_rows(df: DataFrame, drawn: DataFrame, keys: list[str], extra: list[str
     """
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     chosen = drawn.groupBy(*named).agg(F.count("*").alias("_times"), *[F.min(e).alias(e) for e in extra])
+    chosen = materialize(chosen, "chosen")
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & df[k].eqNullSafe(F.col(f"_k{i}"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from commentloom.functions.flags import sample_rank, year_month
 from commentloom.operators.filters import keyword_match
-from commentloom.operators.ranking import bring_rows, lowest, lowest_per_group
+from commentloom.operators.ranking import bring_rows, draw_per_group, lowest_per_group
 from commentloom.session import materialize
 
 STRATA = ["subreddit", "year_month"]
@@ -20,12 +20,11 @@ def _draw(seed, id_col: str = "id") -> list:
 def sample_per_stratum(
     df: DataFrame, by: list[str] = STRATA, n: int = 100, seed=42, id_col: str = "id"
 ) -> DataFrame:
-    drawn = lowest_per_group(df.select(*by, id_col), by, _draw(seed, id_col), n)
-    return bring_rows(df, drawn, [*by, id_col])
+    return draw_per_group(df, by, n, seed, id_col).drop("_rank")
 
 
 def cap_total(df: DataFrame, n: int = 5000, seed=42, id_col: str = "id") -> DataFrame:
-    return bring_rows(df, lowest(df.select(id_col), _draw(seed, id_col), n), [id_col])
+    return draw_per_group(df, [], n, seed, id_col).drop("_rank")
 
 
 def balance_quota(
@@ -73,15 +72,16 @@ def balance_tiers(
 def _balance(df, tier, quotas, by, seed, id_col, target=None) -> DataFrame:
     """Bucket shares, per-tier top-up and overall top-up.
 
-    No draw can need more than ``bound`` rows of a bucket, so the pool's keys are ranked and trimmed
-    to that once and written down; counts and draws then read that table, not the pool, and
-    whole rows are brought in at the end for the drawn keys only.  Counts
+    No draw can need more than ``bound`` rows of a bucket or a tier, so the pool's keys are drawn and trimmed
+    to that once per bucket and once per tier, and written down; shares, needs and top-ups then read these
+    tables, not the pool, and whole rows are brought in at the end for the drawn keys only.  Counts
     that ``bound`` cuts short still give the right draws, because no share or need exceeds it.
     """
     bound = max([q for _, q in quotas] + [target or 0])
     order = _draw(seed, id_col)
     keys = list(dict.fromkeys([tier, *by, id_col]))
-    ranked = materialize(lowest_per_group(df.select(*keys), [tier, *by], order, bound, "_rn"), "ranked")
+    drawn = draw_per_group(df.select(*keys), list(dict.fromkeys([tier, *by])), bound, seed, id_col, rank="_rn")
+    ranked = materialize(drawn, "ranked")
 
     quota = F.lit(None).cast("long")
     for name, size in quotas:
@@ -104,36 +104,28 @@ def _balance(df, tier, quotas, by, seed, id_col, target=None) -> DataFrame:
         .withColumn("_need", F.greatest(F.lit(0), F.col("_quota") - F.col("_first")))
         .withColumn("_topped", F.least(F.col("_need"), F.col("_all") - F.col("_first")))
     )
-    drawn_so_far = filled.agg(
-        F.coalesce(F.sum(F.col("_first") + F.col("_topped")), F.lit(0))
-    ).scalar()
+    filled = materialize(filled, "filled")
+    so_far = F.lit(filled.agg(F.sum(F.col("_first") + F.col("_topped"))).first()[0] or 0)
 
     ranked = ranked.join(F.broadcast(filled.select(tier, "_share", "_need")), tier)
     first = ranked.filter(F.col("_rn") <= F.col("_share")).withColumn("_drawn", F.lit("share"))
-    rest = lowest_per_group(
-        ranked.filter(F.col("_rn") > F.col("_share")), [tier], order, bound, "_spare"
-    )
+    spare = ranked.filter(F.col("_rn") > F.col("_share"))
+    rest = materialize(draw_per_group(spare, [tier], bound, seed, id_col, rank="_spare"), "rest")
     topped = rest.filter(F.col("_spare") <= F.col("_need")).withColumn("_drawn", F.lit("top-up"))
     out = first.unionByName(topped.drop("_spare"))
     if target is not None:
-        # Only keys are left here, at most ``target`` of them.
-        spare = rest.filter(F.col("_spare") > F.col("_need")).drop("_spare")
-        extra = (
-            lowest_per_group(spare.withColumn("_whole", F.lit(0)), ["_whole"], order, target, "_pos")
-            .filter(F.col("_pos") <= F.lit(target) - drawn_so_far)
-            .drop("_pos", "_whole")
-            .withColumn("_drawn", F.lit("overall"))
-        )
-        out = out.unionByName(extra)
+        # At most ``bound`` keys of each tier are left here.
+        left = rest.filter(F.col("_spare") > F.col("_need")).drop("_spare").withColumn("_whole", F.lit(0))
+        extra = lowest_per_group(left, ["_whole"], order, target, "_pos").filter(F.col("_pos") <= target - so_far)
+        out = out.unionByName(extra.drop("_pos", "_whole").withColumn("_drawn", F.lit("overall")))
     return bring_rows(df, out.select(*keys, "_drawn"), keys, ["_drawn"])
 
 
 def equal_per_subreddit(df: DataFrame, total: int, seed=42, id_col: str = "id") -> DataFrame:
     """``max(1, total // subreddits)`` rows each, without top-up."""
-    n_subs = df.agg(F.count_distinct("subreddit")).scalar()
-    share = F.greatest(F.lit(1), F.floor(F.lit(total) / n_subs))
-    ranked = lowest_per_group(df.select("subreddit", id_col), ["subreddit"], _draw(seed, id_col), total)
-    return bring_rows(df, ranked.filter(F.col("_rank") <= share), ["subreddit", id_col])
+    n_subs = df.agg(F.count_distinct("subreddit")).first()[0]
+    share = max(1, total // max(1, n_subs))
+    return draw_per_group(df, ["subreddit"], share, seed, id_col).drop("_rank")
 
 
 def harvest_quotas(threshold: int = 500) -> dict[str, int]:
@@ -164,13 +156,11 @@ def quota_extract(
     hits = df.filter(wanted).withColumn(
         "year", F.substring(year_month("created_utc"), 1, 4).cast("int")
     )
-    order = [F.col("year"), *_draw(seed, id_col)]
-    narrow = hits.select(tier, "year", id_col)
-    ranked = lowest_per_group(narrow, [tier], order, max(quotas.values()))
+    ranked = draw_per_group(hits, [tier], max(quotas.values()), seed, id_col, before=["year"])
     quota = F.lit(0)
     for name, size in quotas.items():
         quota = F.when(F.col(tier) == name, F.lit(size)).otherwise(quota)
-    return bring_rows(hits, ranked.filter(F.col("_rank") <= quota), [tier, "year", id_col])
+    return ranked.filter(F.col("_rank") <= quota).drop("_rank")
 
 
 def shuffle(df: DataFrame, seed=42, id_col: str = "id", sort: bool = True) -> DataFrame:

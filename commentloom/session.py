@@ -17,8 +17,6 @@ def build_session(app: str = "commentloom", master: str | None = None, **conf) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Draws of up to so many rows a group are trimmed by every task before the first shuffle.
-        .config("spark.sql.optimizer.windowGroupLimitThreshold", "1000000")
     )
     if master:
         builder = builder.master(master)

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -35,8 +36,6 @@ def hot(spark, n=4000):
 
 
 def brute_lowest(spark_rows, n, seed=42):
-    import hashlib
-
     def key(r):
         return hashlib.md5(f"{seed}|{r['id']}".encode()).hexdigest(), r["id"]
 
@@ -102,9 +101,9 @@ def test_dedup_trims_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("n", [3, 1500])
-def test_lowest_per_group_is_exact(spark, n):
+def test_draw_per_group_is_exact(spark, n):
     df = hot(spark, 6000).repartition(13)
-    got = ranking.lowest_per_group(df, ["subreddit"], sampling._draw(42), n)
+    got = ranking.draw_per_group(df, ["subreddit"], n, 42)
     groups = {}
     for r in df.collect():
         groups.setdefault(r["subreddit"], []).append(r)
@@ -119,26 +118,28 @@ def test_cap_total_is_exact(spark, n):
     assert [r[0] for r in rows(sampling.cap_total(df.repartition(17), n), "id")] == want
 
 
-def test_many_slices_meet_in_a_middle_round(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "100")
-    try:
-        df = hot(spark, 5000)
-        want = sorted(r["id"] for r in brute_lowest(df.collect(), 1200))
-        assert [r[0] for r in rows(sampling.cap_total(df.repartition(150), 1200), "id")] == want
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_draws_with_leading_columns_and_nulls(spark):
+    """Order by a column first, its null first; null ids come before all others; null groups are groups."""
+    data = [(None if i % 50 == 0 else str(i), None if i % 7 == 0 else i % 3, "g" if i % 2 else None) for i in range(900)]
+    df = spark.createDataFrame(data, "id string, year int, g string").repartition(6)
+    rank = lambda r: (r[1] is not None, r[1] or 0, r[0] is not None, hashlib.md5(f"42|{r[0]}".encode()).hexdigest() if r[0] else "")
+    for n in (1, 40, 200):
+        got = ranking.draw_per_group(df, ["g"], n, 42, before=["year"]).collect()
+        for g in ("g", None):
+            want = sorted((r for r in data if r[2] == g), key=rank)[:n]
+            assert sorted(map(str, ((r["id"], r["year"]) for r in got if r["g"] == g))) == sorted(str(r[:2]) for r in want)
 
 
 @pytest.mark.parametrize("n", [200, 12500])
-def test_draws_move_keys_only(spark, n):
-    """Whatever n is, the shuffles up to the draw carry ids and ranks, not texts."""
-    df = hot(spark, 3000).withColumn("text", F.concat("id", F.lit(" some text")))
-    drawn = ranking.lowest_per_group(df.select("subreddit", "id"), ["subreddit"], sampling._draw(42), n)
-    full = sampling.sample_per_stratum(df, ["subreddit"], n)
-    keys = lambda d: plan_of(d).count("Window [row_number()")
-    assert keys(full) == keys(drawn) + 1
-    assert "text" not in plan_of(drawn)
+def test_draws_drop_rows_before_anything_moves(spark, n):
+    """About n rows of a hot group are left for the one shuffle, in any session and for any n."""
+    df = hot(spark, 90_000).withColumn("text", F.concat("id", F.lit(" some text")))
+    near = ranking.under_cut(df, ["subreddit"], n, 42)
+    left = {r["subreddit"]: r["count"] for r in near.groupBy("subreddit").count().collect()}
+    assert n <= left["0"] <= 1.2 * n
+    full = plan_of(sampling.sample_per_stratum(df, ["subreddit"], n))
+    assert full.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in full
+    assert full.index("Exchange hashpartitioning") < full.index("_place")  # the cut lies below the exchange
 
 
 def test_repeated_ids_are_drawn_as_often_as_they_are(spark):
