@@ -3,7 +3,7 @@
 A is a byte-level tokenizer of ``tokenizers``, B a sentencepiece model that adds a space in front; both see space + text.
 A text is cut into units before every space that stands between two characters that are no white space: neither
 tokenizer's tokens cross such a place, and what stands before it does not change what follows (a test compares with whole
-texts).  A distinct unit is aligned once, and a worker keeps up to ``CACHE_SIZE`` of them.
+texts).  A distinct unit is aligned once, and a worker keeps up to ``CACHE_SIZE`` of them, when there are more those that it met again.
 
 Within a unit, A's character offsets and the spans of B's proto give coarse cuts: places where a token of either ends
 and the next begins.  Only between coarse cuts that enclose a token whose offsets do not tell where its bytes end (part
@@ -36,13 +36,16 @@ from pyspark.sql import functions as F
 
 from commentloom.llm.common import keyed, numbered, stored, summed
 
-CACHE_SIZE = 300_000
+CACHE_SIZE = 350_000
 CHUNK_CHARS = 1_500_000  # characters of a chunk, besides one text's own
 B_BITS = 16  # bits of a pair's code that hold the B id
 # A space with another character than white space on both sides; some code points count as white space to be safe.
 _GAP = "\\s\u180e\u200b\u2060\ufeff\x1c-\x1f"
 _CUT = re.compile(f"(?<=[^{_GAP}]) (?=[^{_GAP}])")
 _SPACE = "▁"
+# A unit that neither begins nor ends with white space and holds no character that B would read as a space.
+_PLAIN = re.compile(f"[^{_GAP}{_SPACE}](?:[^{_SPACE}]*[^{_GAP}{_SPACE}])?\\Z")
+TOGETHER = 200
 _WORKER: dict = {}
 
 
@@ -74,69 +77,91 @@ class Pair:
         letters = _byte_letters()
         entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
         self.bytes_a = [bytes(letters[c] for c in e) if all(c in letters for c in e) else e.encode() for e in entries]
-        if self.b.get_piece_size() > 1 << B_BITS:
-            raise ValueError(f"B has more than {1 << B_BITS} entries")
+        if max(len(entries), self.b.get_piece_size()) > 1 << B_BITS:
+            raise ValueError(f"a tokenizer has more than {1 << B_BITS} entries")
         pieces = [(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if f else p.replace(_SPACE, " ").encode() for p, f in pieces]
         self.size_a, self.size_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
         self.places: dict[str, int] = {}
         self.known = self.aligned([])
+        self.used = np.zeros(0, bool)  # whether a kept unit was met again
 
     def align(self, units: list[str]) -> tuple[Block, np.ndarray]:
         """A block that holds every one of the distinct ``units``, and the place of each in it."""
         places = list(map(self.places.get, units))
         fresh = [i for i, x in enumerate(places) if x is None]
-        if not fresh:
-            return self.known, np.array(places, np.int64)
+        known = len(self.known.good)
+        self.used[[x for x in places if x is not None]] = True
         block = self.aligned([units[i] for i in fresh])
-        for place, i in enumerate(fresh, len(self.known.good)):
+        for place, i in enumerate(fresh, known):
             places[i] = place
-        whole = _joined([self.known, block])
-        if len(whole.good) <= CACHE_SIZE and all(len(units[i]) <= 100 for i in fresh):
-            self.known = whole
-            self.places.update((units[i], places[i]) for i in fresh)
-        elif len(self.known.good) > CACHE_SIZE // 2:  # full: the next chunk starts anew
-            self.known, self.places = self.aligned([]), {}
-        return whole, np.array(places, np.int64)
-
-    def aligned(self, units: list[str]) -> Block:
-        """The units' groups and links."""
-        raws = [b" " + u.encode() for u in units]
+        whole, places = _joined([self.known, block]), np.array(places, np.int64)
+        short = [i for i in fresh if len(units[i]) <= 48]
+        self.known = whole if len(short) == len(fresh) else _taken(whole, np.concatenate([np.arange(known), places[short]]))
+        self.places.update((units[i], place) for place, i in enumerate(short, known))
+        self.used = np.concatenate([self.used, np.zeros(len(short), bool)])
+        if len(self.used) > CACHE_SIZE:  # what was met once goes
+            names = [u for u, place in self.places.items() if self.used[place]][: CACHE_SIZE // 2]
+            self.known = _taken(self.known, np.array([self.places[u] for u in names], np.int64))
+            self.places = {u: place for place, u in enumerate(names)}
+            self.used = np.zeros(len(names), bool)
+        return whole, places
+
+    def aligned(self, units: list[str], alone: bool = False) -> Block:
+        """The units' groups and links.  The libraries see up to ``TOGETHER`` units at a time as one text, unless ``alone``."""
+        texts, n_units = _together(units, 1 if alone else TOGETHER)
+        raws = [b" " + t.encode() for t in texts]
         whole, sizes = b"".join(raws), np.fromiter(map(len, raws), np.int64, len(raws))
-        ends = np.cumsum(sizes)
-        encoded_a = self.a.encode_batch([" " + u for u in units], add_special_tokens=False) if units else []
-        encoded_b = [x.pieces for x in self.b.encode(units, return_type="proto", num_threads=1)] if units else []
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(units)) for x in (encoded_a, encoded_b))
-        ids_a = _flat(x.ids for x in encoded_a)
-        ids_b = _flat([p.id for p in x] for x in encoded_b)
-        # A's offsets count characters: the byte at which each character of all units begins.
+        bases = np.cumsum(sizes) - sizes
+        encoded_a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False) if texts else []
+        encoded_b = [x.pieces for x in self.b.encode(texts, return_type="proto", num_threads=1)] if texts else []
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(texts)) for x in (encoded_a, encoded_b))
+        # A's offsets count characters: the byte at which each character of all texts begins.
         begins = np.flatnonzero(np.frombuffer(whole + b" ", np.uint8) & 0xC0 != 0x80)
-        first = np.searchsorted(begins, ends - sizes)
+        first = np.repeat(np.searchsorted(begins, bases), n_a)
         spans = _flat(chain.from_iterable(x.offsets) for x in encoded_a).reshape(-1, 2)
-        a = _Tokens(ids_a, n_a, self.size_a, *(begins[np.repeat(first, n_a) + spans[:, i]] for i in (0, 1)))
+        a = _Tokens(_flat(x.ids for x in encoded_a), n_a, self.size_a, begins[first + spans[:, 0]], begins[first + spans[:, 1]])
         # B's spans count bytes behind the space that it adds.
-        low, high = (_flat(x) + np.repeat(ends - sizes + 1, n_b) for x in (([p.begin for p in x] for x in encoded_b), ([p.end for p in x] for x in encoded_b)))
-        low[(np.cumsum(n_b) - n_b)[n_b > 0]] = (ends - sizes)[n_b > 0]
-        b = _Tokens(ids_b, n_b, self.size_b, low, high)
+        low, high = (_flat([getattr(p, c) for p in x] for x in encoded_b) + np.repeat(bases + 1, n_b) for c in ("begin", "end"))
+        low[(np.cumsum(n_b) - n_b)[n_b > 0]] = bases[n_b > 0]
+        b = _Tokens(_flat([p.id for p in x] for x in encoded_b), n_b, self.size_b, low, high)
         good = self._same(a, self.bytes_a, raws, whole) & self._same(b, self.bytes_b, raws, whole)
+        if (n_units[~good] > 1).any():
+            return self.aligned(units, alone=True)
         if not good.all():
-            part = self.aligned([u for u, g in zip(units, good, strict=True) if g])
-            return _spread(part, good)
-        return _block(a, b, ends)
+            good = np.repeat(good, n_units)
+            return _spread(self.aligned([u for u, g in zip(units, good, strict=True) if g], alone), good)
+        return _block(a, b, np.cumsum(np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))))
 
     def _same(self, tokens: _Tokens, entries: list[bytes], raws: list[bytes], whole: bytes) -> np.ndarray:
-        """Whether each unit is what its tokens' entries decode to."""
+        """Whether each text is what its tokens' entries decode to."""
         stops = np.cumsum(tokens.counts)
-        decoded = np.add.reduceat(np.append(tokens.sizes, 0), stops - tokens.counts) if len(raws) else np.zeros(0, np.int64)
-        decoded = np.where(tokens.counts > 0, decoded, 0)
         parts = list(map(entries.__getitem__, tokens.ids.tolist()))
-        if b"".join(parts) == whole and (np.cumsum(decoded) == np.cumsum(list(map(len, raws)))).all():
+        decoded = summed(tokens.sizes, tokens.counts)
+        if b"".join(parts) == whole and decoded.tolist() == list(map(len, raws)):
             return np.ones(len(raws), bool)
         return np.array([b"".join(parts[e - n : e]) == r for e, n, r in zip(stops, tokens.counts, raws, strict=True)], bool)
 
 
+def _together(units: list[str], most: int) -> tuple[list[str], np.ndarray]:
+    """The units in texts of at most ``most``, joined by a space where a cut would part them again, and the number in each."""
+    texts, counts, own, open_ = [], [], [], False
+    for unit in units:
+        plain = _PLAIN.match(unit) is not None
+        if own and (not plain or not open_ or len(own) == most):
+            texts.append(" ".join(own))
+            counts.append(len(own))
+            own = []
+        own.append(unit)
+        open_ = plain
+    if own:
+        texts.append(" ".join(own))
+        counts.append(len(own))
+    return texts, np.array(counts, np.int64)
+
+
 class _Tokens:
-    """The tokens of many units: ids, how many each unit has, bytes of their entries, and the offsets that the library gives."""
+    """The tokens of many texts: ids, how many each text has, bytes of their entries, and the offsets that the library gives."""
 
     def __init__(self, ids: np.ndarray, counts: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.ndarray):
         self.ids, self.counts, self.sizes, self.high = ids, counts, table[ids], high
@@ -163,9 +188,19 @@ def _joined(blocks: list[Block]) -> Block:
     return Block(np.concatenate(counts, axis=1), pa.concat_arrays(shown), np.concatenate(good), np.concatenate(codes))
 
 
+def _taken(block: Block, places: np.ndarray) -> Block:
+    """The units at ``places``."""
+    each = block.counts[3].astype(np.int64)
+    begin = np.cumsum(each) - each
+    own = each[places]
+    inner = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+    codes = block.codes[np.repeat(begin[places], own) + inner]
+    return Block(block.counts[:, places], block.shown.take(pa.array(places)), block.good[places], codes)
+
+
 def _spread(part: Block, good: np.ndarray) -> Block:
     """The block of all units when ``part`` has the good ones."""
-    counts = np.zeros((4, len(good)), np.int64)
+    counts = np.zeros((4, len(good)), np.int32)
     counts[:, good] = part.counts
     place = np.where(good, np.cumsum(good) - 1, -1)
     return Block(counts, pc.fill_null(part.shown.take(pa.array(place, mask=~good)), ""), good, part.codes)
@@ -187,9 +222,10 @@ def _groups(cuts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
 
 
 def _block(a: _Tokens, b: _Tokens, ends: np.ndarray) -> Block:
-    """Groups and links of units whose bytes agree, all at once."""
+    """Groups and links of units that end at the bytes ``ends`` and whose bytes agree, all at once."""
     sure_a, sure_b = np.flatnonzero(a.sure), np.flatnonzero(b.sure)
-    cuts = [np.stack([ends, np.cumsum(a.counts), np.cumsum(b.counts)]), _cuts(a.high[sure_a], sure_a + 1, b.high[sure_b], sure_b + 1)]
+    to_a, to_b = (np.searchsorted(np.cumsum(t.sizes), ends, "right") for t in (a, b))
+    cuts = [np.stack([ends, to_a, to_b]), _cuts(a.high[sure_a], sure_a + 1, b.high[sure_b], sure_b + 1)]
     _, from_a, in_a, from_b, in_b = _groups(cuts)
     vague = np.zeros(len(in_a), bool)
     for tokens, first, n in ((a, from_a, in_a), (b, from_b, in_b)):
@@ -205,10 +241,11 @@ def _block(a: _Tokens, b: _Tokens, ends: np.ndarray) -> Block:
     group = np.repeat(np.arange(len(each)), each)
     inner = np.arange(total) - np.repeat(np.cumsum(each) - each, each)
     codes = a.ids[from_a[group] + inner // in_b[group]] << B_BITS | b.ids[from_b[group] + inner % in_b[group]]
+    codes = codes.astype(np.uint32)
     per_unit = np.diff(np.searchsorted(end, ends, "right"), prepend=0)
     sides = [_strings(pa.array(t.ids).cast(pa.large_string()), n, ",") for t, n in ((a, in_a), (b, in_b))]
     shown = _strings(pc.binary_join_element_wise(*sides, pa.scalar("|", pa.large_string())), per_unit, ";")
-    counts = np.stack([a.counts, b.counts, per_unit, summed(each, per_unit)])
+    counts = np.stack([np.diff(to_a, prepend=0), np.diff(to_b, prepend=0), per_unit, summed(each, per_unit)]).astype(np.int32)
     return Block(counts, shown, np.ones(len(ends), bool), codes)
 
 
@@ -259,11 +296,11 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
             numbers, whose = numbers[stay], whose[stay]
             lengths = lengths.copy()
             lengths[bad] = 0
-        counts = [pa.array(summed(c[numbers], lengths)) for c in block.counts]
+        counts = [pa.array(summed(c[numbers].astype(np.int64), lengths)) for c in block.counts]
         strings = _strings(block.shown.take(pa.array(numbers)), lengths, ";")
         shas = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in (x.as_py() for x in strings)]
         # Which pairs each text links, and how often.
-        each = block.counts[3]
+        each = block.counts[3].astype(np.int64)
         begin = np.cumsum(each) - each
         many = each[numbers]
         inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -278,7 +315,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         listed = pa.StructArray.from_arrays(fields, names=names)
         whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         return pa.RecordBatch.from_arrays(
-            [pa.array([chunk]), whole(pa.array(pairs)), whole(pa.array(held, pa.int64())), whole(listed)],
+            [pa.array([chunk]), whole(pa.array(pairs.astype(np.int64))), whole(pa.array(held, pa.int64())), whole(listed)],
             names=["chunk", "pairs", "held", "docs"],
         )
 

@@ -114,13 +114,23 @@ def test_a_pair_that_all_texts_share_costs_a_row_per_chunk(spark):
     assert {(r.n_links, r.count_sum) for r in out.collect()} == {(r.n_links, 3000 * r.n_links) for r in out.limit(1).collect()}
 
 
-def test_a_full_cache_starts_anew(monkeypatch):
+def test_a_full_cache_keeps_what_was_met_again(monkeypatch):
     own = align.Pair(A, B)
-    monkeypatch.setattr(align, "CACHE_SIZE", 10)
+    monkeypatch.setattr(align, "CACHE_SIZE", 12)
     for k in range(30):
-        text = f"word{k} of 😀{k} the text"
+        text = f"word{k} of 😀{k} the text " + "long" * 20
         assert units_shown(own, text) == shown(whole(own, text))
-        assert len(own.places) == len(own.known.good) <= 10
+        assert len(own.places) == len(own.known.good) == len(own.used) <= 12
+    assert {"of", "the", "text"} <= own.places.keys()
+
+
+def test_units_seen_together_align_as_alone(pair):
+    rng = random.Random(9)
+    for _ in range(60):
+        units = list(dict.fromkeys(u for _ in range(40) for u in align.units_of("".join(rng.choice([*MIX, "▁"]) for _ in range(25)))))
+        one, other = pair.aligned(units), pair.aligned(units, alone=True)
+        assert one.shown.to_pylist() == other.shown.to_pylist() and one.good.tolist() == other.good.tolist()
+        assert one.counts.tolist() == other.counts.tolist() and one.codes.tolist() == other.codes.tolist()
 
 
 def test_query(spark, pair):
