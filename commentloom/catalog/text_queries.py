@@ -84,6 +84,19 @@ _documents("t7_strip_urls", t.strip_urls, rx("text", URL))
 _documents("t8_strip_emails", lambda c: t.strip_emails(c, "<EMAIL>"), rx("text", EMAIL, "<EMAIL>"))
 _documents("t9_strip_phones", t.strip_phones, rx("text", PHONE))
 _documents("t10_fix_unicode", t.fix_unicode, "nfc_normalize(text)")
+
+
+@query("t10_repair_mojibake", f"WITH {v.DECORATED} SELECT doc_id, length(text) AS n, TRUE AS restored FROM decorated")
+def _(spark, sf):
+    """Texts that were misread no, one, two or three times come back as the text itself is repaired."""
+    layers = F.pmod("doc_id", F.lit(4))
+    damaged = F.col("text")
+    for n in (1, 2, 3):
+        damaged = F.when(layers == n, t.misread("text", n)).otherwise(damaged)
+    rows = v.decorated(spark, sf).select("doc_id", F.length("text").alias("n"), "text", damaged.alias("damaged"))
+    return rows.select("doc_id", "n", (t.repair_mojibake("damaged") == t.repair_mojibake("text")).alias("restored"))
+
+
 _documents("t11_squash_whitespace", t.squash_whitespace, sql_squash("text"))
 _documents("t11_squash_all_whitespace", lambda c: t.squash_whitespace(c, 1), sql_squash("text", 1))
 _documents("t13_dedup_key", t.dedup_key, rx("lower(text)", "[^a-z0-9]"))

@@ -50,30 +50,44 @@ PHONE = (
 )
 
 
+# What windows-1252 shows for the bytes 80 to 9f, where it differs from Latin-1.
+_1252 = {
+    0x80: "€", 0x82: "‚", 0x83: "ƒ", 0x84: "„", 0x85: "…", 0x86: "†", 0x87: "‡", 0x88: "ˆ", 0x89: "‰",
+    0x8A: "Š", 0x8B: "‹", 0x8C: "Œ", 0x8E: "Ž", 0x91: "‘", 0x92: "’", 0x93: "“", 0x94: "”", 0x95: "•",
+    0x96: "–", 0x97: "—", 0x98: "˜", 0x99: "™", 0x9A: "š", 0x9B: "›", 0x9C: "œ", 0x9E: "ž", 0x9F: "Ÿ",
+}
+_SHOWN, _BYTES = "".join(_1252.values()), "".join(map(chr, _1252))
+_HIGH_RUN = rf"[\x80-\xff{_SHOWN}]{{2,}}"
+_CONFUSED = rf"[\xc2-\xf4][\x80-\xbf{_SHOWN}]"  # a lead byte's character before a following byte's
+_CLOSING = "…“”‘’‚„‹›–—™•"
+LAYERS = 8
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@F.pandas_udf(T.StringType())
-def _html_unescape(text: pd.Series) -> pd.Series:
+def _decode_entities(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _nfc(text: pd.Series) -> pd.Series:
+def _compose(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
 
 
-# A filter on a cleaned text would be pushed below the cleaning and repeat all of it.  Spark leaves
-# filters above a projection that it may not repeat.
-_html_unescape = _html_unescape.asNondeterministic()
-_nfc = _nfc.asNondeterministic()
+# As a plain expression a function may stand under a filter, which Spark would push below it and so repeat the call;
+# it leaves filters above what it may not repeat.  ``sanitize`` guards its result itself and uses the second pair, through
+# which filters on other columns pass.
+_html_unescape = F.pandas_udf(_decode_entities, T.StringType()).asNondeterministic()
+_nfc = F.pandas_udf(_compose, T.StringType()).asNondeterministic()
+_html_unescape_once = F.pandas_udf(_decode_entities, T.StringType())
+_nfc_once = F.pandas_udf(_compose, T.StringType())
 
 
-def unescape_html(c) -> Column:
+def unescape_html(c, call=_html_unescape) -> Column:
     """Decode every HTML entity; texts without ``&`` never leave the JVM."""
     c = _col(c)
-    return F.coalesce(_html_unescape(F.when(c.contains("&"), c)), c)
+    return F.coalesce(call(F.when(c.contains("&"), c)), c)
 
 
 def unescape_html_basic(c) -> Column:
@@ -143,15 +157,69 @@ def strip_phones(c, repl: str = "") -> Column:
     return _replace_if(c, lambda x: x.rlike("[0-9]{4}"), PHONE, repl)
 
 
-def fix_unicode(c, needed: Column | None = None) -> Column:
-    """NFC.  Only texts that meet ``needed``, by default non-ASCII ones, go to Python.
+def _decoded(run: Column, before: Column, after: Column, trusting: bool) -> Column:
+    """A run of high characters as the UTF-8 that its bytes make, or as it is."""
+    raw = F.encode(F.translate(run, _SHOWN, _BYTES), "ISO-8859-1")
+
+    def judge(text: Column) -> Column:
+        # A single character of two bytes is accepted only where it stands for one of Latin-1 or shows a control
+        # character; a capital with closing punctuation behind it at a word's end may be meant.
+        pair = run.rlike("^[\xc2\xc3]")
+        if not trusting:
+            pair = pair & ~(run.rlike(f"[{_CLOSING}]$") & before.rlike("[A-Z]$") & ~after.rlike(r"^\p{L}"))
+        sure = (F.length(text) > 1) | (F.length(run) > 2) | pair | run.rlike(r"[\x80-\x9f]")
+        return F.when(text.isNotNull() & sure, text).otherwise(run)
+
+    return bind(F.try_validate_utf8(raw.cast("string")), judge)
+
+
+def _one_layer(c: Column) -> Column:
+    """One reading undone; what may be meant as it is counts as damage only beside a run that surely is."""
+    found = F.struct(F.regexp_extract_all(c, F.lit(_HIGH_RUN), F.lit(0)).alias("runs"), F.split(c, _HIGH_RUN, -1).alias("gaps"))
+
+    def join(x: Column) -> Column:
+        def parts(trusting: bool) -> Column:
+            after = lambda i: F.coalesce(F.get(x["gaps"], i + 1), F.lit(""))
+            return F.transform(x["runs"], lambda run, i: _decoded(run, F.get(x["gaps"], i), after(i), trusting))
+
+        def glue(runs: Column) -> Column:
+            both = F.transform(x["gaps"], lambda gap, i: F.concat(gap, F.coalesce(F.get(runs, i), F.lit(""))))
+            return F.array_join(both, "")
+
+        return bind(parts(False), lambda fixed: glue(F.when(fixed == x["runs"], fixed).otherwise(parts(True))))
+
+    return bind(found, join)
+
+
+def misread(c, layers: int = 1) -> Column:
+    """The text as windows-1252 shows its UTF-8 bytes, ``layers`` times over: the damage that ``repair_mojibake`` undoes."""
+    shown = lambda x: F.translate(F.decode(F.encode(x, "UTF-8"), "ISO-8859-1"), _BYTES, _SHOWN)
+    return reduce(lambda x, _: shown(x), range(layers), _col(c))
+
+
+def repair_mojibake(c) -> Column:
+    """Undo UTF-8 that was read as windows-1252 or Latin-1, up to ``LAYERS`` times over.
+
+    Each run of characters that such a reading can show is turned back into bytes.  It is replaced
+    where these are UTF-8 and the text's score, the number of its characters beyond ASCII, falls, which it
+    does by every character that is put together again.  Other runs, and texts without a lead byte's
+    character before a following byte's, stay as they are.
+    """
+    again = lambda x, _: F.when(x.rlike(_CONFUSED), _one_layer(x)).otherwise(x)
+    layers = F.sequence(F.lit(1), F.lit(LAYERS))
+    return bind(c, lambda x: F.when(_not_ascii(x) & x.rlike(_CONFUSED), F.aggregate(layers, x, again)).otherwise(x))
+
+
+def fix_unicode(c, needed: Column | None = None, call=_nfc) -> Column:
+    """NFC; ``repair_mojibake`` comes before it in the profiles.  Only texts that meet ``needed``, by default
+    non-ASCII ones, go to Python.
 
     A row evaluates ``c`` once: as the function's argument, or as the fallback.
     """
     c = _col(c)
     if needed is None:
         needed = _not_ascii(c)
-    return F.coalesce(_nfc(F.when(needed, c)), c)
+    return F.coalesce(call(F.when(needed, c)), c)
 
 
 def strip_space(c) -> Column:
@@ -212,19 +280,33 @@ PROFILES = {
 
 
 def sanitize(
-    df: DataFrame, profile: str = "worker", col: str = "body", out: str = "body_clean"
+    df: DataFrame, profile: str = "worker", col: str = "body", out: str = "body_clean", repair: bool = False
 ) -> DataFrame:
-    """Clean ``col`` into ``out``; a missing text becomes empty."""
+    """Clean ``col`` into ``out``; a missing text becomes empty.  ``repair`` also undoes mojibake before NFC.
+
+    What goes to Python, and the result, come out of generators of one element: Spark neither merges the
+    steps before one with those behind it nor pushes a filter on its output below it, so nothing is
+    cleaned twice, while filters on other columns pass through and reach the scan.
+    """
     raw = F.coalesce(_col(col), F.lit(""))
+    columns = [c for c in df.columns if c != "_clean"]
+
+    def settled(frame: DataFrame, clean: Column) -> DataFrame:
+        return frame.select(*[F.col(f"`{c}`") for c in columns], F.explode(F.array(clean)).alias("_clean"))
+
     clean = raw
     for step in PROFILES[profile]:
         if step is fix_unicode:  # an entity may stand for a non-ASCII character
-            clean = step(clean, _not_ascii(raw) | _has(raw, "&"))
+            df = settled(df, repair_mojibake(clean) if repair else clean)
+            clean = step(F.col("_clean"), _not_ascii(raw) | _has(raw, "&"), _nfc_once)
+        elif step is unescape_html:
+            clean = step(clean, _html_unescape_once)
         else:
             clean = step(clean)
         if step in (unescape_html, fix_unicode):  # a column of its own, so Python sees a text once
             df, clean = df.withColumn("_clean", clean), F.col("_clean")
-    return df.withColumn(out, clean).drop("_clean")
+    df = settled(df, clean)
+    return df.select(*[F.col("_clean").alias(out) if c == out else F.col(f"`{c}`") for c in columns], *[F.col("_clean").alias(out)] * (out not in columns))
 
 
 def dedup_key(c) -> Column:

@@ -65,6 +65,72 @@ def test_cleaning_stays_linear(spark):
     assert plan.count("RLIKE") < 20
 
 
+def shown(text, layers, codec):
+    """``layers`` readings of UTF-8 bytes by Python's codecs; windows-1252 shows unassigned bytes as controls."""
+    for _ in range(layers):
+        raw = text.encode()
+        text = "".join(bytes([b]).decode(codec, "ignore") or chr(b) for b in raw)
+    return text
+
+
+CLEAN = ["café", "naïve Où Élan", "GRÖSSE", "日本語 text", "emoji 😀🏳️‍🌈", "“quotes” – dash…", "plain", "Привет мир", "नमस्ते", "½ £5 §", "ßÄÖÜ end", "a\nÉ\tb ", "", "x" * 5000 + "é"]
+UNTOUCHED = [*CLEAN, "IRMÃ… foi", "CAFÉ™", "Ã", "â", "Ã©\ud7ff"[:1], "Škoda řeka", "Â", "ÇÃ…"]
+
+
+@pytest.mark.parametrize("codec", ["latin-1", "cp1252"])
+@pytest.mark.parametrize("layers", [1, 2, 3])
+def test_misread_texts_are_repaired(spark, codec, layers):
+    data = [(x, shown(x, layers, codec)) for x in CLEAN]
+    df = spark.createDataFrame([*data, (None, None)], "want string, x string")
+    for r in df.select("want", t.repair_mojibake("x").alias("got")).collect():
+        assert r["got"] == r["want"]
+    damage = df.select("x", t.misread("want", layers).alias("y")).collect()
+    assert codec != "cp1252" or all(r["x"] == r["y"] for r in damage)
+
+
+def test_clean_texts_are_left_alone(spark):
+    df = spark.createDataFrame([(x,) for x in UNTOUCHED], "x string")
+    assert [r["y"] for r in df.select(t.repair_mojibake("x").alias("y")).collect()] == UNTOUCHED
+    mixed = "é stays, " + shown("é", 2, "cp1252") + " goes, 日本 " + shown("日本", 1, "cp1252")
+    assert spark.createDataFrame([(mixed,)], "x string").select(t.repair_mojibake("x")).first()[0] == "é stays, é goes, 日本 日本"
+
+
+def test_profiles_repair_on_request(spark):
+    df = spark.createDataFrame([("1", "<b>cafÃ©</b> &amp; x"), ("2", None)], "id string, body string")
+    for profile in ("worker", "harvester"):
+        for repair, want in ((True, "café & x"), (False, "cafÃ© & x")):
+            got = {r["id"]: r["body_clean"] for r in t.sanitize(df, profile, repair=repair).collect()}
+            assert got == {"1": want, "2": ""}
+
+
+def test_what_may_be_meant_goes_beside_sure_damage(spark):
+    data = [("IRMÃ… foi", "IRMÃ… foi"), ("IRMÃ… foi cafÃ©", "IRMÅ foi café")]
+    df = spark.createDataFrame(data, "x string, want string").select("want", t.repair_mojibake("x").alias("got"))
+    assert all(r["want"] == r["got"] for r in df.collect())
+
+
+def test_mojibake_repair_stays_in_the_jvm(spark):
+    from conftest import plan_of
+
+    df = spark.createDataFrame([("a",)], "x string").select(t.repair_mojibake("x").alias("y"))
+    assert "Python" not in plan_of(df)
+
+
+def test_filters_on_raw_columns_pass_the_cleaning(spark):
+    """They reach the scan; a filter on the cleaned text does not, and cleans nothing twice."""
+    from conftest import plan_of
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    clean = t.sanitize(docs, "worker", "text")
+    plan = plan_of(clean.filter("doc_id > 150 AND source = 'src1' AND length(body_clean) > 3"))
+    assert "GreaterThan(doc_id,150)" in plan and "EqualTo(source,src1)" in plan
+    assert plan.count("ArrowEvalPython") == plan_of(clean).count("ArrowEvalPython")
+    want = sorted(r["doc_id"] for r in clean.collect() if r["doc_id"] > 150 and len(r["body_clean"]) > 500)
+    assert sorted(r["doc_id"] for r in clean.filter("doc_id > 150 AND length(body_clean) > 500").collect()) == want
+    same = t.sanitize(docs, "notebook", "text", "text")
+    assert same.columns == docs.columns
+
+
 def test_entities_are_decoded_once(spark):
     """Steps after the decoding read its column; the plan has one call of the Python function for it."""
     from conftest import plan_of
@@ -73,4 +139,4 @@ def test_entities_are_decoded_once(spark):
     for profile in ("worker", "harvester"):
         plan = plan_of(t.sanitize(df, profile))
         calls = [line for line in plan.splitlines() if "EvalPython" in line]
-        assert sum(line.split("],")[0].count("_html_unescape(") for line in calls) == 1, plan
+        assert sum(line.split("],")[0].count("_decode_entities(") for line in calls) == 1, plan
