@@ -86,7 +86,7 @@ _documents("t9_strip_phones", t.strip_phones, rx("text", PHONE))
 _documents("t10_fix_unicode", t.fix_unicode, "nfc_normalize(text)")
 
 
-@query("t10_repair_mojibake", f"WITH {v.DECORATED} SELECT doc_id, length(text) AS n, TRUE AS restored FROM decorated")
+@query("t10_repair_mojibake", f"WITH {v.DECORATED} SELECT doc_id, length(text)::INT AS n, TRUE AS restored FROM decorated")
 def _(spark, sf):
     """Texts that were misread no, one, two or three times come back as the text itself is repaired."""
     layers = F.pmod("doc_id", F.lit(4))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentloom.session import shuffle_width
+from commentloom.sources.files import exists, file_system, remove
 
 BUCKETS = 256
 MAX_RUNS = 16  # more than these and the smaller half is merged
@@ -22,25 +23,14 @@ def bucket_of(col, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
 
 
-def _fs(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, target = _fs(spark, path)
-    fs.delete(target, True)
-
-
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether a job has written ``path`` to its end."""
-    fs, target = _fs(spark, f"{path}/_SUCCESS")
-    return fs.exists(target)
+    return exists(spark, f"{path}/_SUCCESS")
 
 
 def runs(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     """(bytes, path) of the set's committed runs, smallest first."""
-    fs, target = _fs(spark, path)
+    fs, target = file_system(spark, path)
     if not fs.exists(target):
         return []
     found = [s.getPath() for s in fs.listStatus(target) if s.getPath().getName().startswith("run=")]

@@ -6,7 +6,9 @@ DataFrame work.  A batch holds at most ``size`` comments, so its arrays are boun
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,7 +24,7 @@ from commentloom.schemas import CATEGORY_FLAGS, FLAGS, LABEL_ITEM, SHORT_FLAGS
 INSTRUCTION = "Label these comments:"
 MAX_RETRIES = 4
 
-RESPONSES = "batch long, attempt int, ids array<string>, request string, response string"
+RESPONSES = "batch long, attempt int, ids array<string>, request string, response string, error string"
 
 _ITEMS = T.ArrayType(LABEL_ITEM)
 # What fences an answer, and the word behind an opening fence.
@@ -55,16 +57,42 @@ def build_requests(
     )
 
 
-def run_labeler(requests: DataFrame, fn: Callable[[pd.DataFrame], list[str]]) -> DataFrame:
-    """Apply ``fn`` to Arrow batches of requests; it returns one response text per row.
+def run_labeler(
+    requests: DataFrame,
+    fn: Callable[[pd.DataFrame], list[str]],
+    threads: int = 1,
+    per_call: int | None = None,
+) -> DataFrame:
+    """Apply ``fn`` to requests; it returns one response text per row of the frame it is given.
 
-    Concurrency is the number of partitions: repartition the requests to bound it.
+    A task hands ``fn`` its Arrow batches in pieces of ``per_call`` rows, at most ``threads`` pieces at a time, and
+    gives the responses back in the order of the requests; so all calls at one time are the partitions that
+    run times ``threads``.  A call that raises, or returns another number of responses, costs its own rows only: they
+    have no response and say why in ``error``, and the retry queue asks for them again.
     """
-    schema = T.StructType([*requests.schema.fields, T.StructField("response", T.StringType())])
+    added = [T.StructField("response", T.StringType()), T.StructField("error", T.StringType())]
+    schema = T.StructType([*requests.schema.fields, *added])
+
+    def call(piece: pd.DataFrame) -> pd.DataFrame:
+        try:
+            answers = list(fn(piece))
+            if len(answers) != len(piece):
+                raise ValueError(f"{len(answers)} responses for {len(piece)} requests")
+        except Exception as error:
+            return piece.assign(response=None, error=f"{type(error).__name__}: {error}")
+        return piece.assign(response=answers, error=None)
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(response=fn(pdf))
+        with ThreadPoolExecutor(threads) as pool:
+            for pdf in batches:
+                size = per_call or max(1, len(pdf))
+                running: deque = deque()
+                for at in range(0, len(pdf), size):
+                    if len(running) == threads:
+                        yield running.popleft().result()
+                    running.append(pool.submit(call, pdf.iloc[at : at + size]))
+                while running:
+                    yield running.popleft().result()
 
     return requests.mapInPandas(label, schema)
 
@@ -161,7 +189,7 @@ def retry_queue(parsed: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
         rejected(parsed)
         .filter(F.col("attempt") <= max_retries)
         .withColumn("attempt", F.col("attempt") + 1)
-        .drop("response", "results")
+        .drop("response", "results", "error")
     )
 
 

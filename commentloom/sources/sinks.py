@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from commentloom.operators.dedup import dedup_by_id
 from commentloom.operators.joins import exclude_seen
 from commentloom.schemas import COMMENTS
+from commentloom.sources.files import exists, read_text, remove, remove_named, write_text
 from commentloom.sources.scan import STAGING_GLOB, conform, list_files
 
 CHUNK_ROWS = 2500
+_APPENDED = "train_append"  # fixed value: the leading part of appended files' names
 _BASENAME = "mapreduce.output.basename"  # leading part of every file name of a write
 
 
@@ -33,12 +36,11 @@ def write_chunks(
     df.write.mode(mode).option("maxRecordsPerFile", size).option(_BASENAME, prefix).parquet(path)
 
 
-def append_slices(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
-    """Append ``train_append*`` files with unique names; existing data is neither read nor
+def append_slices(df: DataFrame, path: str, partition_by: list[str] = (), run: str = "") -> None:
+    """Append ``train_append*`` files with unique names, which carry ``run``; existing data is neither read nor
     rewritten."""
-    df.write.mode("append").option(_BASENAME, "train_append").partitionBy(*partition_by).parquet(
-        path
-    )
+    writer = df.write.mode("append").option(_BASENAME, f"{_APPENDED}{run}").partitionBy(*partition_by)
+    writer.parquet(path)
 
 
 @dataclass(frozen=True)
@@ -52,25 +54,41 @@ def consolidate(
 ) -> Consolidation:
     """Fold staging files into the main data and remove them once the append has committed.
 
-    The file list is fixed first, so files that arrive meanwhile are left for the next run.  An
-    error keeps every staging file.  ``against_main`` also drops ids the main data holds; it
-    reads their id column only and makes a repeated run harmless.
+    The file list is fixed first, so files that arrive meanwhile are left for the next run.  A log beside the
+    main data tells a later run how far a broken-off one came: the plan (run and files), then the count of a
+    committed append, then nothing.  Without the count, files of that run in the main data are taken back and it starts anew;
+    with it, only the removal of its staging files is finished.  So staging rows are appended once, wherever a
+    run stops, without reading the main data.  ``against_main`` also drops ids the main data holds; it
+    reads their id column only.
     """
+    log = f"{main.rstrip('/')}/_consolidation"
+    unfinished = read_text(spark, f"{log}/plan")
+    if unfinished is not None:
+        run, *planned = unfinished.split("\n")
+        if exists(spark, f"{log}/appended"):
+            _remove(spark, planned)
+        else:
+            remove_named(spark, main, f"{_APPENDED}{run}")
+    remove(spark, log)
     files = list_files(spark, staging, STAGING_GLOB)
     if not files:
         return Consolidation(0, 0)
+    run = f"_{uuid.uuid4().hex}"
     fresh = dedup_by_id(conform(spark.read.schema(COMMENTS).parquet(*files)))
     if against_main:
         fresh = exclude_seen(fresh, spark.read.schema("id string").parquet(main))
     seen = Observation("consolidate")
-    append_slices(fresh.observe(seen, F.count("*").alias("n")), main)
+    write_text(spark, f"{log}/plan", "\n".join([run, *files]))
+    append_slices(fresh.observe(seen, F.count("*").alias("n")), main, run=run)
+    write_text(spark, f"{log}/appended", str(seen.get["n"]))
     _remove(spark, files)
+    remove(spark, log)
     return Consolidation(len(files), seen.get["n"])
 
 
 def _remove(spark: SparkSession, files: list[str]) -> None:
-    jvm = spark.sparkContext._jvm
+    """Remove listed files; those that are gone already do not matter."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for name in files:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
         path.getFileSystem(conf).delete(path, False)

@@ -11,9 +11,10 @@ from commentloom.functions.flags import toxic, year_month
 from commentloom.operators.audit import CLEAN, TOXIC_POOL, against_targets, with_status
 from commentloom.operators.dedup import dedup_by_id
 from commentloom.operators.filters import backfill_flags, drop_tombstones
-from commentloom.operators.id_index import add_ids, committed, remove, runs, unseen
+from commentloom.operators.id_index import add_ids, committed, runs, unseen
 from commentloom.schemas import COMMENTS, FLAGS
 from commentloom.session import materialize
+from commentloom.sources.files import file_system, remove
 from commentloom.sources.scan import STAGING_GLOB, conform
 from commentloom.sources.sinks import append_slices
 
@@ -98,8 +99,7 @@ def _ids_of(spark: SparkSession, main: str) -> DataFrame:
 
 def _has_data(spark: SparkSession, main: str) -> bool:
     """Whether the main folder holds more than the id set and other hidden entries."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(main)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, target = file_system(spark, main)
     return fs.exists(target) and any(s.getPath().getName()[0] not in "._" for s in fs.listStatus(target))
 
 

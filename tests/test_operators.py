@@ -351,7 +351,7 @@ def test_parse_responses(spark, shape):
 
 
 def parsed_batch(spark, ids, response, attempt=1):
-    df = spark.createDataFrame([(0, attempt, ids, "q", response)], labeling.RESPONSES)
+    df = spark.createDataFrame([(0, attempt, ids, "q", response, None)], labeling.RESPONSES)
     return labeling.parse_responses(df)
 
 
@@ -416,6 +416,38 @@ def test_record_defaults(spark):
     assert [m["role"] for m in got["messages"]] == ["system", "user", "assistant"]
 
 
+def test_labeler_is_bounded_ordered_and_keeps_failures(spark):
+    """At most three calls at a time; answers in the order of requests though later calls end first; a failing call costs its rows."""
+    requests = spark.range(24).coalesce(1).selectExpr("id AS batch", "1 AS attempt", "array(string(id)) AS ids", "string(id) AS request")
+
+    def slow(pdf):
+        import threading
+        import time
+
+        state = slow.__dict__.setdefault("state", {"lock": threading.Lock(), "now": 0})
+        with state["lock"]:
+            state["now"] += 1
+            seen = state["now"]
+        first = int(pdf["batch"].iloc[0])
+        time.sleep(0.05 if first % 3 == 0 else 0.005)
+        with state["lock"]:
+            state["now"] -= 1
+        if first == 8:
+            raise RuntimeError("no answer")
+        return [f"{b}/{seen}" for b in pdf["batch"]][: 1 if first == 10 else None]
+
+    got = labeling.run_labeler(requests, slow, threads=3, per_call=2).collect()
+    assert [r["batch"] for r in got] == list(range(24))
+    good = [r for r in got if r["error"] is None]
+    assert [r["response"].split("/")[0] for r in good] == [str(i) for i in range(24) if i not in (8, 9, 10, 11)]
+    assert max(int(r["response"].split("/")[1]) for r in good) in (2, 3)
+    errors = {r["batch"]: r["error"] for r in got if r["error"]}
+    assert errors == {8: "RuntimeError: no answer", 9: "RuntimeError: no answer"} | {i: "ValueError: 1 responses for 2 requests" for i in (10, 11)}
+    saved = labeling.parse_responses(spark.createDataFrame(got))
+    again = labeling.retry_queue(saved.filter("batch >= 8 AND batch < 12"))
+    assert rows(again, "batch", "attempt") == [(i, 2) for i in (8, 9, 10, 11)] and again.columns == requests.columns
+
+
 def test_rule_labels_follow_each_text(spark):
     df = spark.createDataFrame([("1", "a Bad one"), ("1", "fine"), (None, "bad"), ("2", None)], "id string, body string")
     terms = spark.createDataFrame([("caste", "bad")], "category string, term string")

@@ -43,6 +43,39 @@ def test_consolidate_against_main_is_repeatable(spark, tmp_path):
     assert spark.read.parquet(main).count() == 2
 
 
+@pytest.mark.parametrize("step", ["append", "half", "mark", "remove", "half removed"])
+def test_consolidation_that_breaks_off_is_finished(spark, tmp_path, monkeypatch, step):
+    """Wherever a run stops, the next one ends in the same table without reading it."""
+    staging, main = str(tmp_path / "s"), str(tmp_path / "m")
+    stage(comments(spark, [("0", "old", 1, "a", 1, 0, None)]), staging)
+    sinks.consolidate(spark, staging, main)
+    for name in ("tmp_batch_a", "tmp_batch_b"):
+        stage(comments(spark), staging, name)
+    append, write, gone = sinks.append_slices, sinks.write_text, sinks._remove
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    def half(df, path, run):
+        append(df.limit(1), path, run=run)
+        lost()
+
+    with monkeypatch.context() as m:
+        if step in ("append", "half"):
+            m.setattr(sinks, "append_slices", lost if step == "append" else half)
+        elif step == "mark":
+            m.setattr(sinks, "write_text", lambda s, p, x: lost() if p.endswith("appended") else write(s, p, x))
+        else:
+            m.setattr(sinks, "_remove", lambda s, f: (gone(s, f[:1]) if step == "half removed" else None, lost()))
+        with pytest.raises(RuntimeError):
+            sinks.consolidate(spark, staging, main)
+    stage(comments(spark, [("9", "late", 1, "a", 1, 0, None)]), staging, "tmp_batch_c")
+    sinks.consolidate(spark, staging, main)
+    assert sorted(r["body"] for r in spark.read.parquet(main).collect()) == ["late", "old", "one", "two"]
+    assert not [f for f in os.listdir(staging) if f.startswith("tmp_batch")]
+    assert sinks.consolidate(spark, staging, main) == sinks.Consolidation(0, 0)
+
+
 def test_failed_append_keeps_staging(spark, tmp_path):
     staging, main = str(tmp_path / "s"), tmp_path / "m"
     stage(comments(spark), staging)
