@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.llm.common import keyed, numbered, stored, summed
+from commentloom.llm.common import keyed, numbered, stored, summed, worker_state
 
 CACHE_SIZE = 350_000
 CHUNK_CHARS = 1_500_000  # characters of a chunk, besides one text's own
@@ -46,7 +46,6 @@ _SPACE = "▁"
 # A unit that neither begins nor ends with white space and holds no character that B would read as a space.
 _PLAIN = re.compile(f"[^{_GAP}{_SPACE}](?:[^{_SPACE}]*[^{_GAP}{_SPACE}])?\\Z")
 TOGETHER = 200
-_WORKER: dict = {}
 
 
 def units_of(text: str) -> list[str]:
@@ -256,9 +255,10 @@ def _strings(pieces: pa.LargeStringArray, counts: np.ndarray, mark: str) -> pa.L
 
 
 def pair_for(path_a: str, path_b: str) -> Pair:
-    if (path_a, path_b) not in _WORKER:
-        _WORKER[path_a, path_b] = Pair(path_a, path_b)
-    return _WORKER[path_a, path_b]
+    state = worker_state("align")
+    if (path_a, path_b) not in state:
+        state[path_a, path_b] = Pair(path_a, path_b)
+    return state[path_a, path_b]
 
 
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]

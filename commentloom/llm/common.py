@@ -13,6 +13,20 @@ from pyspark.sql import functions as F
 from commentloom.session import scratch_path
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def worker_state(owner: str) -> dict:
+    """What a Python worker keeps between tasks for one operator.
+
+    A worker outlives jobs and stages, so only the operator that ran last keeps anything.
+    """
+    if owner not in _KEPT:
+        _KEPT.clear()
+        _KEPT[owner] = {}
+    return _KEPT[owner]
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

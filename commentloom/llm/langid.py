@@ -18,13 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from commentloom.llm.common import keyed, numbered
+from commentloom.llm.common import keyed, numbered, worker_state
 from commentloom.llm.crf import Model, has_letter, marginals, train, words_of
 
 UNKNOWN = "und"
 CHUNK_WORDS = 400_000  # words labelled at a time, besides one text's own
 CACHE_WORDS = 300_000
-_WORKER: dict = {}
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -89,10 +88,11 @@ def fit(
 
 def _label(model: Model, texts: list[list[str]]) -> list[np.ndarray]:
     """For each text its words' label probabilities; no text is empty."""
-    if _WORKER.get("model") is not model:  # a worker outlives a job, and so must not keep another model's words
-        _WORKER.clear()
-        _WORKER["model"] = model
-    cache, rows = _WORKER.setdefault("cache", {}), _WORKER.get("rows")
+    state = worker_state("langid")
+    if state.get("model") is not model:  # a worker outlives a job, and so must not keep another model's words
+        state.clear()
+        state["model"] = model
+    cache, rows = state.setdefault("cache", {}), state.get("rows")
     if len(cache) > CACHE_WORDS:
         cache.clear()
         rows = None
@@ -104,7 +104,7 @@ def _label(model: Model, texts: list[list[str]]) -> list[np.ndarray]:
             grown = np.empty((len(cache) + 2 * len(fresh) + 50_000, own.shape[1]), np.float32)
             if rows is not None:
                 grown[: len(cache)] = rows[: len(cache)]
-            rows = _WORKER["rows"] = grown
+            rows = state["rows"] = grown
         rows[len(cache) : len(cache) + len(fresh)] = own
         cache.update(zip(fresh, range(len(cache), len(cache) + len(fresh)), strict=True))
     at = np.fromiter(map(cache.__getitem__, distinct), np.int64, len(distinct))

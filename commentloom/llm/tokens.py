@@ -23,13 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.llm.common import few_rows, keyed, numbered, summed, texts_of
+from commentloom.llm.common import few_rows, keyed, numbered, summed, texts_of, worker_state
 
 CACHE_SIZE = 400_000
 CHUNK_WORDS = 400_000  # pre-tokens looked up at a time, besides one text's own
 SPACE = "▁"  # how the library writes a space
 _RUN = re.compile(" *[^ ]+| +$")
-_WORKER: dict = {}
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -41,11 +40,12 @@ def pre_tokens(text: str) -> list[str]:
 
 
 def _encoder(path: str):
-    if path not in _WORKER:
+    state = worker_state("tokens")
+    if path not in state:
         from sentencepiece import SentencePieceProcessor
 
-        _WORKER[path] = SentencePieceProcessor(model_file=path), {}
-    return _WORKER[path]
+        state[path] = SentencePieceProcessor(model_file=path), {}
+    return state[path]
 
 
 def _length(library, word: str) -> int:
@@ -88,9 +88,10 @@ def unpack(packed: bytes) -> dict[str, int]:
 
 def _first_tier(packed: bytes) -> dict[str, int]:
     """The unpacked table, kept by the worker as long as the same one is asked for."""
-    if _WORKER.get("packed") != packed:
-        _WORKER["packed"], _WORKER["table"] = packed, unpack(packed)
-    return _WORKER["table"]
+    state = worker_state("tokens")
+    if state.get("packed") != packed:
+        state["packed"], state["table"] = packed, unpack(packed)
+    return state["table"]
 
 
 def count_tokens(
