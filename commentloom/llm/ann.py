@@ -12,14 +12,12 @@ queries that visit them.
 Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without an
 id.  Rows that repeat an id count once (of different vectors the smallest in array order).  Of equal vectors
 only the k + 1 with the smallest ids are indexed: no other can be in any result, since ties go to the smaller
-id.  Only vectors of the width that most of the sample has are searched (the smaller one in a tie).  An empty table gives an empty
-result.  Other columns are not read.
+id.  Vectors of each width have curves, scale and cut points of their own, and only vectors of a query's own width
+are its candidates.  An empty table gives an empty result.  Other columns are not read.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,10 +26,10 @@ from pyspark.sql import functions as F
 
 from commentloom.llm.common import stored
 from commentloom.llm.hilbert import hilbert_keys
-from commentloom.llm.vectors import matrix, one_per_id, parts_for
-
+from commentloom.llm.vectors import by_width, few_twins, one_per_id, parts_for
 
 TAIL = 30  # bits of a key below the place
+SLICE = 256  # queries of a block that are compared at a time
 
 
 class Curves:
@@ -98,40 +96,45 @@ def nearest(
     """(query_id, rank, vec_id, score): for each query the ``k`` nearest found by Euclidean distance."""
     spark = df.sparkSession
     usable = one_per_id(df, id_col, vec_col).where(F.exists("v", lambda x: x != 0))
-    twins = Window.partitionBy("v").orderBy("_id")
-    vectors = usable.withColumn("twin", F.row_number().over(twins)).where((F.col("twin") <= k + 1) | is_query)
-    vectors, _ = stored(vectors, "vectors")
-    rows, asked = vectors.agg(F.count("*"), F.count_if(is_query)).first()
-    sample = vectors.select("_id", "v").limit(fit_rows).toPandas()
+    vectors, _ = stored(usable.withColumn("width", F.size("v")), "vectors")
+    sizes = vectors.groupBy("width").agg(F.count("*"), F.count_if(is_query)).collect()
     empty = "query_id bigint, rank int, vec_id bigint, score double"
-    if sample.empty:
+    indexes = {}
+    for width, _, asked in sizes:
+        if asked:
+            sample = vectors.where(F.col("width") == width).select("_id", "v").limit(fit_rows).toPandas()
+            indexes[width] = Curves(width, curves, dims, bits, seed).fit(np.stack(sample.v), sample._id.to_numpy(), ranges)
+    if not indexes:
         return spark.createDataFrame([], empty)
-    width = min(Counter(map(len, sample.v)).items(), key=lambda x: (-x[1], x[0]))[0]
-    sample = sample[sample.v.map(len) == width]
-    index = Curves(width, curves, dims, bits, seed).fit(np.stack(sample.v), sample._id.to_numpy(), ranges)
-    shared = spark.sparkContext.broadcast(index)
-    blocks, groups = parts_for(rows, ranges * block_rows), parts_for(asked, query_rows)
+    shared = spark.sparkContext.broadcast(indexes)
+    searched = vectors.where(F.col("width").isin(list(indexes)))
+    # A range holds its share of the rows, and three ranges are visited by a query that spans one.
+    blocks = parts_for(max(n for _, n, _ in sizes), ranges * block_rows)
+    groups = parts_for(3 * max(n for _, _, n in sizes), ranges * query_rows)
 
     def place(batches):
         for batch in batches:
-            found = shared.value.ranges_of(matrix(batch.column("v")), batch.column("_id").to_numpy())
-            lists = [pa.array(f.tolist(), pa.list_(pa.int32())) for f in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=["_id", "v", "twin", "at", "first", "last"])
+            for rows, x in by_width(batch):
+                part = batch.take(pa.array(rows))
+                found = shared.value[x.shape[1]].ranges_of(x, part.column("_id").to_numpy())
+                lists = [pa.array(f.tolist(), pa.list_(pa.int32())) for f in found]
+                yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=["_id", "v", "width", "at", "first", "last"])
 
-    schema = "_id bigint, v array<double>, twin int, at array<int>, first array<int>, last array<int>"
-    placed = vectors.where(F.size("v") == width).mapInArrow(place, schema)
+    schema = "_id bigint, v array<double>, width int, at array<int>, first array<int>, last array<int>"
     salt = lambda n: F.pmod(F.xxhash64("_id"), F.lit(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     data = (
-        placed.where(F.col("twin") <= k + 1)
-        .select("_id", "v", F.posexplode("at").alias("curve", "range"), salt(blocks).alias("block"))
+        few_twins(searched, k + 1)
+        .mapInArrow(place, schema)
+        .select("_id", "v", "width", F.posexplode("at").alias("curve", "range"), salt(blocks).alias("block"))
         .withColumn("part", spread(groups))
     )
     visits = F.explode(F.sequence(F.col("span.first") - 1, F.col("span.last") + 1))
     queries = (
-        placed.where(is_query)
-        .select("_id", "v", F.posexplode(F.arrays_zip("first", "last")).alias("curve", "span"), salt(groups).alias("part"))
-        .select("_id", "v", "curve", visits.alias("range"), "part")
+        searched.where(is_query)
+        .mapInArrow(place, schema)
+        .select("_id", "v", "width", F.posexplode(F.arrays_zip("first", "last")).alias("curve", "span"), salt(groups).alias("part"))
+        .select("_id", "v", "width", "curve", visits.alias("range"), "part")
         .withColumn("block", spread(blocks))
     )
 
@@ -139,20 +142,30 @@ def nearest(
         if own.empty or others.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         x, ids = np.stack(own.v.to_numpy()), own._id.to_numpy()
-        q = np.stack(others.v.to_numpy())
-        near = (x**2).sum(axis=1)[None, :] - 2 * (q @ x.T)
+        q, asked = np.stack(others.v.to_numpy()), others._id.to_numpy()
+        # The quick form loses the digits that all vectors share, so it is taken around the block's middle, and
+        # all that its rounding cannot tell from the kth are measured exactly.
+        middle = x.mean(axis=0)
+        xc, qc = x - middle, q - middle
+        xx = (xc**2).sum(axis=1)
+        far, scale = np.sqrt(xx.max()), np.abs(x).max() + np.abs(q).max()
+        eps = np.finfo(float).eps * (x.shape[1] + 8)
         out = []
-        for i, asked_id in enumerate(others._id.to_numpy()):
-            row = np.where(ids == asked_id, np.inf, near[i])
-            m = k + 8  # rounding of the quick form must not push out one of the k
-            pick = np.argpartition(row, m)[:m] if len(row) > m else np.arange(len(row))
-            pick = pick[ids[pick] != asked_id]
-            score = _distances(x[pick], q[i])
-            best = np.lexsort((ids[pick], score))[:k]
-            out.append(pd.DataFrame({"query_id": asked_id, "vec_id": ids[pick][best], "score": score[best]}))
+        for at in range(0, len(q), SLICE):
+            near = xx[None, :] - 2 * (qc[at : at + SLICE] @ xc.T)
+            for i, row in enumerate(near, at):
+                row[ids == asked[i]] = np.inf
+                length = np.sqrt((qc[i] ** 2).sum())
+                slack = 2 * eps * (far + length) * (far + length + scale)
+                kth = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
+                pick = np.flatnonzero(row <= kth + slack)
+                pick = pick[ids[pick] != asked[i]]
+                score = _distances(x[pick], q[i])
+                best = np.lexsort((ids[pick], score))[:k]
+                out.append(pd.DataFrame({"query_id": asked[i], "vec_id": ids[pick][best], "score": score[best]}))
         return pd.concat(out)
 
-    keys = ["curve", "range", "block", "part"]
+    keys = ["width", "curve", "range", "block", "part"]
     found = data.groupBy(*keys).cogroup(queries.groupBy(*keys))
     found = found.applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
     merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))

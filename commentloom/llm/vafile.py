@@ -10,7 +10,8 @@ largest upper bounds give a kth exact score, and of the rest only those whose up
 After that no unread vector can belong to the result.  Nothing is approximate in the end.
 
 Vectors that are null, empty or hold null or non-finite components take no part, nor do rows without an id.
-Rows that repeat an id count once (of different vectors the smallest in array order).  Only vectors of a query's own
+Rows that repeat an id count once (of different vectors the smallest in array order).  Of equal vectors only the
+k + 1 with the smallest ids are indexed: no other can be in any result.  Only vectors of a query's own
 width are its candidates.  Ties go to the smaller id.  A score beyond 64 bits is null.  An empty table gives
 an empty result.  Other columns are not read.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentloom.llm.common import stored
-from commentloom.llm.vectors import by_width, one_per_id, parts_for
+from commentloom.llm.vectors import by_width, few_twins, one_per_id, parts_for
 
 CELLS = 256
 SCALE = 256
@@ -116,7 +117,7 @@ def top_inner(
     low, high = (np.floor(SCALE * x) if rows else 0.0 for x in (low, high))
     step = float(max(1.0, np.ceil((high - low + 1) / CELLS)))
     queries = vectors.where(is_query)
-    codes = _codes(vectors, float(low), step)
+    codes = _codes(few_twins(vectors, k + 1), float(low), step)
     candidates = bounded_candidates(
         codes, queries, k, float(low), step, parts_for(rows, block_rows), parts_for(asked, query_rows)
     )

@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentloom.llm.common import finite
@@ -18,6 +18,12 @@ def one_per_id(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.col("_id").isNotNull() & finite(F.col("v"))).groupBy("_id").agg(F.min("v").alias("v"))
 
 
+def few_twins(vectors: DataFrame, most: int) -> DataFrame:
+    """Of equal vectors the ``most`` with the smallest ids.  Every task drops the others before they are shuffled."""
+    twins = Window.partitionBy("v").orderBy("_id")
+    return vectors.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= most).drop("_twin")
+
+
 def parts_for(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))
 

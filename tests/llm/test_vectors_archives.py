@@ -96,6 +96,51 @@ def test_neighbours_of_table_and_none(spark):
     assert ann.nearest(df.limit(0), 10, F.col("_id") % 100 == 0).count() == 0
 
 
+def recall(spark, vectors, queries, k=10):
+    """Mean share of each query's true neighbours that are found; every query is answered."""
+    got = {}
+    for r in ann.nearest(frame(spark, vectors), k, F.col("_id").isin(queries)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    data, shares = {i: np.array(v) for i, v in vectors}, []
+    for q in queries:
+        far = sorted((float(((v - data[q]) ** 2).sum()), i) for i, v in data.items() if i != q and len(v) == len(data[q]))[:k]
+        shares.append(len(got.get(q, set()) & {i for _, i in far}) / max(1, len(far)))
+    return np.mean(shares)
+
+
+def test_neighbours_of_every_width(spark):
+    """Two fifths have another width; both widths' queries are answered, from their own width."""
+    rng = np.random.default_rng(7)
+    vectors = [(i, rng.normal(size=24 if i % 5 < 2 else 16).tolist()) for i in range(1000)] + [(5000, [1.0, 2.0, 3.0])]
+    for width in (16, 24):
+        assert recall(spark, vectors, [i for i, v in vectors if len(v) == width][:60]) >= 0.9
+    assert ann.nearest(frame(spark, vectors), 10, F.col("_id") == 5000).count() == 0
+
+
+@pytest.mark.parametrize("offset", [1e4, -3e6])
+def test_neighbours_far_from_the_origin(spark, offset):
+    """Squares of the offset have no digits left for the distances."""
+    rng = np.random.default_rng(3)
+    x = offset + 1e-4 * rng.normal(size=(2000, 32))
+    assert recall(spark, list(enumerate(x.tolist())), list(range(0, 2000, 40))) >= 0.9
+
+
+def test_candidates_of_a_hot_vector_do_not_grow_with_its_copies(spark):
+    """A third of the vectors are equal: only k + 1 of them are indexed."""
+    rng = np.random.default_rng(2)
+    counts = []
+    for n in (600, 1200):
+        x = rng.normal(size=(n, 8))
+        x[::3] = x[0]
+        vectors = vafile.one_per_id(frame(spark, list(enumerate(x.tolist()))), "vec_id", "embedding")
+        indexed = vafile.few_twins(vectors, 6)
+        assert indexed.count() == n - len(x[::3]) + 6
+        codes = vafile._codes(indexed, -2000.0, 16.0)
+        asked = vectors.where("_id % 50 = 0")
+        counts.append(vafile.bounded_candidates(codes, asked, 5, -2000.0, 16.0, 2, 1).where("vec_id % 3 = 0").count() / (n / 50))
+    assert counts[1] < 1.3 * counts[0]
+
+
 @pytest.mark.parametrize("radius", [1e-5, 1e-3])
 def test_neighbours_in_a_tight_cluster(spark, radius):
     """A third of the vectors lie in one place of every curve, which spans more ranges than three."""
