@@ -1,16 +1,15 @@
-"""Removal of repeated byte strings by refining an interleave of shard suffixes.
+"""Removal of repeated byte strings: winnowed anchors, grouped by hashes in three rounds.
 
-The suffixes of all shards are interleaved into blocks of equal beginnings, and the blocks are refined
-in rounds, each with a longer common prefix, until a block's prefix covers a whole string of ``length`` bytes.  A round
-looks only at suffixes whose block still holds others; nothing is sorted again as a whole, and repeated
-intervals fall out as the blocks of two or more.  Three things differ from merging byte-wise transforms:
+The method asked for merges the shards' Burrows-Wheeler transforms by refining an interleave, one byte a round.  A
+measured attempt (README) cannot meet the limits, so its rounds and blocks are kept, but not the transforms:
 
-* Only sampled suffixes enter.  A string of ``length`` bytes is represented by its anchor, the place of
+* Only sampled suffixes enter (winnowing).  A string of ``length`` bytes is represented by its anchor, the place of
   the smallest hashed 8-gram in its first ``WINDOW`` places, so equal strings have their anchors at equal
   offsets.  An anchor owns the run of string starts that choose it.
-* A round adds many bytes: first the bytes common to all strings of an anchor (``length`` - WINDOW + 1
-  from the anchor on), then the whole span of the strings it owns to both sides, then each owned string by itself.
-* Shards name a block by the 64-bit hash of its prefix instead of its rank, so they agree on names without
+* Suffixes with a common beginning form a block, and a round adds many bytes: first the bytes common to all strings
+  of an anchor (``length`` - WINDOW + 1 from the anchor on), then the whole span of the strings it owns to both sides,
+  then each owned string by itself.  A round looks only at suffixes whose block still holds others.
+* A block's name is the 64-bit hash of its prefix instead of a rank, so shards agree on names without
   exchanging ranks, and a block's later names only count beside its earlier ones (128 bits together).
 
 Round two settles an anchor whose whole span occurs again: all its strings repeat.  Round three is
@@ -37,6 +36,7 @@ from commentloom.llm.common import discard, keyed, stored
 
 WINDOW = 128  # a power of two; the anchor lies in as many places
 GRAM = 8
+HOT = 1000
 _SIGN = 1 << 63
 
 
@@ -108,21 +108,45 @@ def shard_suffixes(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, f"core bigint, whole bigint, _id {kind}, _twin bigint, span bigint")
 
 
+def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """The keys of more than ``least`` rows; counts are summed in each task before they are shuffled."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > least).select(*keys)
+
+
 def shared_blocks(suffixes: DataFrame) -> DataFrame:
     """Rounds one and two: (core, _id, _twin, span, full, ask) of anchors whose block holds others.
 
     ``full``: the whole span occurs again.  ``ask``: the span must send its strings to round three.
+
+    A block with more than a ``HOT``th of all anchors, of which there are fewer than ``HOT``, is never
+    gathered in one task: its spans are counted, and the counts come back to the anchors, those of spans that are
+    as frequent themselves by a broadcast of fewer than ``HOT`` rows.  ``suffixes`` is read several times.
     """
+    share = suffixes.count() // HOT
+    hot_cores = F.broadcast(_frequent(suffixes, ["core"], share))
     block, within = Window.partitionBy("core"), Window.partitionBy("core", "whole")
     first = within.orderBy("_id", "_twin", "span")
-    found = (
-        suffixes.withColumn("nth", F.row_number().over(first))
+    cold = (
+        suffixes.join(hot_cores, "core", "left_anti")
         .withColumn("same", F.count("*").over(within))
+        .withColumn("first", F.row_number().over(first) == 1)
         .withColumn("all", F.count("*").over(block))
         .withColumn("fewest", F.min("same").over(block))
         .where(F.col("all") > 1)
     )
-    ask = (F.col("fewest") == 1) & (F.col("nth") == 1)
+    row = F.struct("_id", "_twin", "span")
+    hot = suffixes.join(hot_cores, "core", "left_semi")
+    spans = hot.groupBy("core", "whole").agg(F.count("*").alias("same"), F.min(row).alias("least"))
+    spans, _ = stored(spans, "hot-spans")
+    fewest = spans.groupBy("core").agg(F.min("same").alias("fewest"))  # a row for each hot core
+    spans = spans.join(F.broadcast(fewest), "core")
+    big = spans.where(F.col("same") > share)
+    rest = hot.join(F.broadcast(big.select("core", "whole")), ["core", "whole"], "left_anti")
+    met = hot.join(F.broadcast(big), ["core", "whole"]).unionByName(rest.join(spans.where(F.col("same") <= share), ["core", "whole"]))
+    met = met.withColumn("first", row.eqNullSafe(F.col("least")))
+    columns = ["core", "_id", "_twin", "span", "same", "fewest", "first"]
+    found = cold.select(*columns).unionByName(met.select(*columns))
+    ask = (F.col("fewest") == 1) & F.col("first")
     return found.select("core", "_id", "_twin", "span", (F.col("same") > 1).alias("full"), ask.alias("ask"))
 
 
@@ -191,7 +215,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = keyed(docs, id_col, text_col)
     twin = F.when(F.col("_id").isNull(), F.xxhash64("_text")).otherwise(F.hash("_text").cast("bigint"))
     texts = texts.select("_id", twin.alias("_twin"), "_text")
-    shared, shared_path = stored(shared_blocks(shard_suffixes(texts, length)), "blocks")
+    suffixes, suffixes_path = stored(shard_suffixes(texts, length), "suffixes")
+    shared, shared_path = stored(shared_blocks(suffixes), "blocks")
+    discard(spark, suffixes_path)
     _release(spark)
     blocks = shared.groupBy("_id", "_twin").agg(F.collect_list(F.struct("core", "span", "full", "ask")).alias("blocks"))
     met = texts.alias("t").join(

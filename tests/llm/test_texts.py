@@ -270,9 +270,13 @@ def test_repeats(spark, docs):
     assert repeats.remove_repeats(empty(spark)).count() == 0
 
 
-def test_repeats_that_start_and_end_inside_texts(spark):
+@pytest.mark.parametrize("hot", [1000, 40, 2])
+def test_repeats_that_start_and_end_inside_texts(spark, monkeypatch, hot):
+    """Also where most blocks are hot, where some are, and where none is."""
     import random
 
+    monkeypatch.setattr(repeats, "HOT", hot)
+
     rng = random.Random(4)
     base = [prose(rng, "en", 400) for _ in range(3)]
     texts = []
