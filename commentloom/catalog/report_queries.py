@@ -16,6 +16,7 @@ from commentloom.catalog.row_queries import (
     units,
 )
 from commentloom.catalog.text_queries import tokens_sql
+from commentloom.session import scratch_path
 from commentloom.operators import audit, dedup, filters, lexicon
 from commentloom.schemas import CATEGORY_FLAGS, CORE_FLAGS, FLAGS
 
@@ -140,6 +141,18 @@ def _(spark, sf):
     return audit.distinct_profile(v.labelled(spark, sf))
 
 
+@query("a8_distinct_profile_sketched", f"{L} SELECT count(*) AS total, TRUE AS ids_close, TRUE AS texts_close FROM labelled")
+def _(spark, sf):
+    """Slices saved one by one, profiled from their sketches: rows exactly, distinct counts within five percent."""
+    rows, path = v.labelled(spark, sf), scratch_path(spark, "sketches")
+    for k in range(3):
+        audit.save_sketches(rows.filter(F.pmod(F.xxhash64("id"), F.lit(3)) == k), path, f"part{k}")
+    near = lambda c: F.abs(F.col(c) - F.col(f"_{c}")) <= 0.05 * F.col(f"_{c}")
+    exact = audit.distinct_profile(rows).select(*[F.col(c).alias(f"_{c}") for c in ("unique_ids", "unique_texts")])
+    both = audit.sketched_profile(spark.read.parquet(path)).join(F.broadcast(exact))  # one row each
+    return both.select("total", near("unique_ids").alias("ids_close"), near("unique_texts").alias("texts_close"))
+
+
 @query(
     "a9_length_profile",
     f"{L} SELECT round(avg(length(text)), 4) AS avg_len, CAST(min(length(text)) AS BIGINT)"

@@ -186,7 +186,8 @@ def _one_layer(c: Column) -> Column:
             both = F.transform(x["gaps"], lambda gap, i: F.concat(gap, F.coalesce(F.get(runs, i), F.lit(""))))
             return F.array_join(both, "")
 
-        return bind(parts(False), lambda fixed: glue(F.when(fixed == x["runs"], fixed).otherwise(parts(True))))
+        chosen = bind(parts(False), lambda fixed: F.when(fixed == x["runs"], fixed).otherwise(parts(True)))
+        return bind(chosen, glue)
 
     return bind(found, join)
 

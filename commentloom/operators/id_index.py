@@ -37,41 +37,43 @@ def runs(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return sorted((fs.getContentSummary(p).getLength(), p.toString()) for p in found if committed(spark, p.toString()))
 
 
-def read_ids(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
-    """(id, bucket) of the set, of ``buckets`` only if given; other buckets' folders are not opened."""
-    paths = [p for _, p in runs(spark, path)]
+def read_ids(spark: SparkSession, path: str, buckets: list[int] | None = None, but: str | None = None) -> DataFrame:
+    """(id, bucket) of the set, of ``buckets`` only if given and without the run ``but``; other buckets' folders are not opened."""
+    paths = [p for _, p in runs(spark, path) if not p.endswith(f"/run={but}")]
     if not paths:
         return spark.createDataFrame([], "id string, bucket int")
     ids = spark.read.schema("id string, bucket int").option("basePath", path).parquet(*paths).select("id", "bucket")
     return ids if buckets is None else ids.filter(F.col("bucket").isin(buckets))
 
 
-def add_ids(ids: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Add the column ``id`` of ``ids`` as a run of its own: one file for each bucket."""
-    spark = ids.sparkSession
+def add_ids(ids: DataFrame, path: str, buckets: int = BUCKETS, run: str | None = None) -> None:
+    """Add the column ``id`` of ``ids`` as a run of its own, one file for each bucket; a run of the same name is replaced."""
+    spark, run = ids.sparkSession, run or uuid.uuid4().hex
     rows = ids.select(F.col("id").cast("string").alias("id")).distinct().withColumn("bucket", bucket_of("id", buckets))
-    _write(rows, path)
-    old = runs(spark, path)
-    if len(old) > MAX_RUNS:
-        part = [p for _, p in old[: MAX_RUNS // 2]]
+    _write(rows, path, run)
+    old = [p for _, p in runs(spark, path) if not p.endswith(f"/run={run}")]
+    if len(old) >= MAX_RUNS:
+        part = old[: MAX_RUNS // 2]
         merged = spark.read.schema("id string, bucket int").option("basePath", path).parquet(*part)
-        _write(merged.select("id", "bucket").distinct(), path)
+        _write(merged.select("id", "bucket").distinct(), path, uuid.uuid4().hex)
         for p in part:
             remove(spark, p)
 
 
-def _write(rows: DataFrame, path: str) -> None:
+def _write(rows: DataFrame, path: str, run: str) -> None:
     width = min(shuffle_width(rows.sparkSession), BUCKETS)
-    rows.repartition(width, "bucket").write.partitionBy("bucket").parquet(f"{path}/run={uuid.uuid4().hex}")
+    rows.repartition(width, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/run={run}")
 
 
-def unseen(rows: DataFrame, path: str, buckets: int = BUCKETS, id_col: str = "id") -> DataFrame:
-    """``rows`` whose id the set lacks; a null id is an id like any other.
+def unseen(
+    rows: DataFrame, path: str, buckets: int = BUCKETS, id_col: str = "id", but: str | None = None
+) -> DataFrame:
+    """``rows`` whose id the set, without its run ``but``, lacks; a null id is an id like any other.
 
     The rows' distinct buckets, a bounded list, choose what is read, so ``rows`` should be written down already.
     """
     marked = rows.withColumn("_bucket", bucket_of(id_col, buckets))
     asked = sorted(r[0] for r in marked.select("_bucket").distinct().collect())
-    known = read_ids(rows.sparkSession, path, asked)
+    known = read_ids(rows.sparkSession, path, asked, but)
     same = (marked["_bucket"] == known["bucket"]) & marked[id_col].eqNullSafe(known["id"])
     return marked.join(known, same, "left_anti").drop("_bucket")

@@ -12,6 +12,7 @@ from commentloom.operators.audit import CLEAN, TOXIC_POOL, against_targets, with
 from commentloom.operators.dedup import dedup_by_id
 from commentloom.operators.filters import backfill_flags, drop_tombstones
 from commentloom.operators.id_index import add_ids, committed, runs, unseen
+from commentloom.operators.ranking import first_per_key
 from commentloom.schemas import COMMENTS, FLAGS
 from commentloom.session import materialize
 from commentloom.sources.files import file_system, remove
@@ -129,15 +130,34 @@ def stream_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def stream_label_audit(labelled: DataFrame, totals: str, checkpoint: str) -> StreamingQuery:
-    """Keep per-batch label totals; a replayed batch overwrites its own partition."""
+def stream_label_audit(
+    labelled: DataFrame, totals: str, checkpoint: str, id_col: str = "id"
+) -> StreamingQuery:
+    """Keep running label totals, an id counted once.
+
+    A batch counts the rows whose id no earlier batch had (of several in a batch the first by content), adds them to the totals up to
+    the batch before and writes the sum as one row of its own.  The ids go into a bucketed set, as a run named
+    by the batch, which the batch itself does not look at; so a replayed batch writes the same row again.  Only the newest
+    two rows are kept, however long the stream runs.
+    """
+    index = f"{totals.rstrip('/')}/_ids"
 
     def save(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, f"batch{batch_id}"
+        once = first_per_key(batch.withColumn("_mark", F.xxhash64(*batch.columns)), [id_col], ["_mark"]).drop("_mark")
+        once = materialize(once, "labelled")
+        fresh = materialize(unseen(once, index, id_col=id_col, but=name), "fresh")
         sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in FLAGS]
         bad = F.count_if(toxic())
-        backfill_flags(batch, FLAGS).agg(
-            *sums, (F.count("*") - bad).alias(CLEAN), bad.alias(TOXIC_POOL)
-        ).write.mode("overwrite").parquet(f"{totals.rstrip('/')}/batch={batch_id}")
+        mine = backfill_flags(fresh, FLAGS).agg(*sums, (F.count("*") - bad).alias(CLEAN), bad.alias(TOXIC_POOL))
+        earlier = [b for b in _batches(spark, totals) if b < batch_id]
+        if earlier:
+            mine = mine.unionByName(spark.read.schema(_TOTALS).parquet(f"{totals.rstrip('/')}/upto={earlier[-1]}"))
+        everything = mine.agg(*[F.sum(c).alias(c) for c in _METRICS]).coalesce(1)
+        everything.write.mode("overwrite").parquet(f"{totals.rstrip('/')}/upto={batch_id}")
+        add_ids(fresh.select(F.col(id_col).alias("id")), index, run=name)
+        for old in earlier[:-1]:
+            remove(spark, f"{totals.rstrip('/')}/upto={old}")
 
     return (
         labelled.writeStream.foreachBatch(save)
@@ -147,12 +167,26 @@ def stream_label_audit(labelled: DataFrame, totals: str, checkpoint: str) -> Str
     )
 
 
+_METRICS = [*FLAGS, CLEAN, TOXIC_POOL]
+_TOTALS = ", ".join(f"{c} long" for c in _METRICS)
+
+
+def _batches(spark: SparkSession, totals: str) -> list[int]:
+    """Batches with committed totals, oldest first."""
+    fs, target = file_system(spark, totals)
+    if not fs.exists(target):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target)]
+    numbers = sorted(int(n[5:]) for n in names if n.startswith("upto="))
+    return [n for n in numbers if committed(spark, f"{totals.rstrip('/')}/upto={n}")]
+
+
 def running_audit(spark: SparkSession, totals: str, targets: DataFrame) -> DataFrame:
-    """Audit table over all batches so far."""
-    metrics = [*FLAGS, CLEAN, TOXIC_POOL]
-    counts = (
-        spark.read.parquet(totals)
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in metrics])
-        .unpivot([], metrics, "metric", "current")
-    )
+    """Audit table over all batches so far, from the newest totals alone."""
+    done = _batches(spark, totals)
+    if done:
+        newest = spark.read.schema(_TOTALS).parquet(f"{totals.rstrip('/')}/upto={done[-1]}")
+    else:
+        newest = spark.range(1).select(*[F.lit(0).cast("long").alias(c) for c in _METRICS])
+    counts = newest.unpivot([], _METRICS, "metric", "current")
     return with_status(against_targets(counts, targets))

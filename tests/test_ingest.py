@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from commentloom.operators import id_index
-from commentloom.schemas import COMMENTS
+from commentloom.operators import audit, id_index
+from commentloom.schemas import COMMENTS, FLAGS
 from commentloom.streaming import ingest
 from conftest import plan_of
 
@@ -106,3 +106,82 @@ def test_the_main_table_is_not_read(spark, tmp_path):
     ingest._append_new(batch(spark, FIRST), main, index)
     plan = plan_of(id_index.unseen(batch(spark, SECOND).select("id"), index))
     assert str(tmp_path / "main") not in plan and "bucket" in plan
+
+
+# ---- running totals
+
+
+FLAGS_SQL = ", ".join(f"{c} int" for c in FLAGS)
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame([(i, *([0] * (len(FLAGS) - 1)), f) for i, f in rows], f"id string, {FLAGS_SQL}")
+
+
+def current(spark, totals):
+    goal = audit.targets_from_goal(spark, 80)
+    return {r["metric"]: r["current"] for r in ingest.running_audit(spark, totals, goal).collect()}
+
+
+def test_totals_count_an_id_once_and_stay_small(spark, tmp_path):
+    landing, totals, state = (str(tmp_path / n) for n in ("l", "t", "s"))
+    schema = labelled(spark, []).schema
+    arrivals = [[("a", 1), ("b", 0)], [("a", 1), ("c", 1), ("c", 1)], [("d", 0)], [("b", 0)], [("e", 1)]]
+    for k, rows in enumerate(arrivals):
+        labelled(spark, rows).coalesce(1).write.mode("append").parquet(landing)
+        stream = ingest.read_landing(spark, landing, "*.parquet", schema, 1)
+        ingest.stream_label_audit(stream, totals, state).awaitTermination()
+        kept = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("upto=")]
+        assert len(kept) <= 2
+    seen = current(spark, totals)
+    assert seen[FLAGS[-1]] == 3 and seen[ingest.CLEAN] == 5
+
+
+def test_a_replayed_batch_changes_no_totals(spark, tmp_path, monkeypatch):
+    """Broken off after its totals or after its ids, a batch that runs again writes the same."""
+    landing, totals, state = (str(tmp_path / n) for n in ("l", "t", "s"))
+    schema = labelled(spark, []).schema
+
+    def run():
+        stream = ingest.read_landing(spark, landing, "*.parquet", schema, 1)
+        ingest.stream_label_audit(stream, totals, state).awaitTermination()
+
+    labelled(spark, [("a", 1), ("b", 0)]).coalesce(1).write.mode("append").parquet(landing)
+    run()
+    add = ingest.add_ids
+    for after in (False, True):
+        labelled(spark, [("a", 1), (f"x{after}", 1)]).coalesce(1).write.mode("append").parquet(landing)
+        with monkeypatch.context() as m:
+
+            def fail(*args, **kwargs):
+                if after:
+                    add(*args, **kwargs)
+                raise RuntimeError("lost")
+
+            m.setattr(ingest, "add_ids", fail)
+            with pytest.raises(Exception):
+                run()
+        run()
+    seen = current(spark, totals)
+    assert seen[FLAGS[-1]] == 3 and seen[ingest.CLEAN] == 4
+
+
+def test_an_audit_of_nothing(spark, tmp_path):
+    assert set(current(spark, str(tmp_path / "none")).values()) == {0}
+
+
+# ---- sketches
+
+
+def test_profiles_from_sketches(spark, tmp_path):
+    """Slices overlap; a slice saved again counts once; the estimate stays within four standard errors."""
+    path = str(tmp_path / "sketches")
+    rows = spark.range(60_000).selectExpr("string(id) AS id", "concat('t', id % 20000) AS text")
+    for name, part in (("a", rows.limit(40_000)), ("b", rows.filter("id >= 20000")), ("b", rows.filter("id >= 20000"))):
+        audit.save_sketches(part, path, name)
+    audit.save_sketches(spark.createDataFrame([(None, None)] * 3, "id string, text string"), path, "nulls")
+    got = audit.sketched_profile(spark.read.parquet(path)).first()
+    assert got["total"] == 80_003
+    assert abs(got["unique_ids"] - 60_000) < 0.065 * 60_000 and abs(got["unique_texts"] - 20_000) < 0.065 * 20_000
+    exact = audit.distinct_profile(rows, approx=True).first()
+    assert exact["total"] == 60_000 and abs(exact["unique_texts"] - 20_000) < 0.2 * 20_000
