@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commentloom.functions.text import sanitize
-from commentloom.operators import audit, dedup, filters, lexicon
+from commentloom.operators import audit, dedup, filters, joins, lexicon
+from commentloom.operators.ledger import ledger_append, read_ledger
 from commentloom.operators.sampling import harvest_quotas, quota_extract
 from commentloom.plans.worker import LabelRun, label_batches, training_records
 from commentloom.session import materialize
+from commentloom.sources.files import exists
 from commentloom.sources.sinks import write_chunks
 
+
 @dataclass(frozen=True)
 class Plan:
     category: str
@@ -59,8 +62,9 @@ def harvest_candidates(
     live: DataFrame | None = None,
     threshold: int = 500,
     seed=42,
+    ledger: DataFrame | None = None,
 ) -> DataFrame:
-    """Cleaned keyword candidates under the tier quotas; each id once, tier 3 first.
+    """Cleaned keyword candidates under the tier quotas; each id once, tier 3 first, none that ``ledger`` holds.
 
     ``live`` holds parsed pages of a live search and forms tier 3, whatever its terms.  The archive is
     filtered by the terms before ids meet, so only hits are shuffled.
@@ -71,6 +75,9 @@ def harvest_candidates(
         tagged = dedup.union_tiers(filters.match_any_keyword(tagged, terms), fresh)
         order = [F.desc(F.col("tier") == "Tier 3"), "tier", "created_utc", F.md5("body")]
         tagged = dedup.dedup_by_id(tagged, order)
+    if ledger is not None:  # only hits meet the ledger
+        hits = tagged.filter((F.col("tier") == "Tier 3") | filters.keyword_match("body", terms))
+        tagged = joins.exclude_seen(hits, ledger)
     picked = quota_extract(tagged, terms, harvest_quotas(threshold), seed)
     return sanitize(filters.with_year_month(picked), "harvester")
 
@@ -90,18 +97,24 @@ def publish_harvest_run(
     threshold: int = 500,
     seed=42,
     prefix: str = "harvest",
+    ledger_path: str | None = None,
 ) -> LabelRun | None:
     """One harvest round from shortfall to published chunks; None when every goal is met.
 
     The merged lexicon is saved to ``lexicon_out``, a new folder, for the next round to start from.  Only
-    candidates that got labels are published.
+    candidates that got labels are published.  With ``ledger_path`` no id of an earlier run is drawn again, and the published
+    ids are appended once the chunks are written.
     """
+    spark = labelled.sparkSession
     plan = harvest_plan(labelled, targets, cached, static_stopwords)
     if plan is None:
         return None
     if lexicon_out is not None:
         plan.lexicon.write.parquet(lexicon_out)
-    found = materialize(harvest_candidates(archive, dim, plan.terms, live, threshold, seed), "candidates")
+    ledger = read_ledger(spark, ledger_path) if ledger_path is not None and exists(spark, ledger_path) else None
+    found = materialize(harvest_candidates(archive, dim, plan.terms, live, threshold, seed, ledger), "candidates")
     run = label_batches(found, labeler)
     write_chunks(training_records(found, run.labels, system_prompt), out, prefix=prefix)
+    if ledger_path is not None:
+        ledger_append(spark.read.schema("id string").parquet(out), ledger_path)
     return run

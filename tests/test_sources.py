@@ -204,6 +204,30 @@ def test_harvest_stops_when_targets_are_met(spark):
     assert (plan.category, plan.shortfall) == ("caste", 9)
 
 
+def test_a_second_harvest_publishes_other_comments(spark, tmp_path):
+    """The ledger keeps what the first round published out of the second one's draw."""
+    flags = "profanity_vulgarity int, targeted_abuse_harassment int, discriminatory_hate_speech int, caste int, communal_religious int, regional_xenophobic int, misogyny_gender int"
+    labelled = spark.createDataFrame([("t", 1, 1, 1, 1, 1, 1, 1)], f"text string, {flags}")
+    lexicon = spark.createDataFrame([("caste", "wordy", 1)], "category string, term string, pos long")
+    archive = comments(spark, [(str(i), f"a wordy comment {i}", 100 + i, "a", 5, 0, None) for i in range(8)])
+    dim = spark.createDataFrame([("a", 1, True)], "subreddit string, tier int, enabled boolean")
+    out, ledger_path = str(tmp_path / "out"), str(tmp_path / "ledger")
+
+    def labeler(pdf):
+        item = '{"pv": 1, "tah": 0, "dhs": 0, "cst": 0, "cr": 0, "rx": 0, "mg": 0}'
+        return ["[" + ", ".join([item] * len(i)) + "]" for i in pdf["ids"]]
+
+    seen = set()
+    for rounds in (1, 2, 3):
+        harvest.publish_harvest_run(
+            labelled, audit.targets_from_goal(spark, 80), lexicon, archive, dim, labeler, out, "p", threshold=20, ledger_path=ledger_path
+        )
+        ids = [r["id"] for r in spark.read.schema("id string").parquet(out).collect()]
+        assert len(ids) == len(set(ids)) == 2 * rounds and seen < set(ids)
+        seen = set(ids)
+        assert {r["id"] for r in spark.read.parquet(ledger_path).collect()} == seen
+
+
 def test_years_are_found_with_and_without_month():
     names = ["2017/a.parquet", "2017.parquet", "201701.parquet", "RC_2017-01.parquet", "year=2017/b.parquet", "120170.parquet", "201799.parquet", "2018.parquet"]
     paths = [f"/x/{n}" for n in names]
