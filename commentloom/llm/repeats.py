@@ -134,20 +134,21 @@ def shared_blocks(suffixes: DataFrame) -> DataFrame:
         .withColumn("fewest", F.min("same").over(block))
         .where(F.col("all") > 1)
     )
-    row = F.struct("_id", "_twin", "span")
-    hot = suffixes.join(hot_cores, "core", "left_semi")
-    spans = hot.groupBy("core", "whole").agg(F.count("*").alias("same"), F.min(row).alias("least"))
-    spans, _ = stored(spans, "hot-spans")
-    fewest = spans.groupBy("core").agg(F.min("same").alias("fewest"))  # a row for each hot core
-    spans = spans.join(F.broadcast(fewest), "core")
-    big = spans.where(F.col("same") > share)
-    rest = hot.join(F.broadcast(big.select("core", "whole")), ["core", "whole"], "left_anti")
-    met = hot.join(F.broadcast(big), ["core", "whole"]).unionByName(rest.join(spans.where(F.col("same") <= share), ["core", "whole"]))
-    met = met.withColumn("first", row.eqNullSafe(F.col("least")))
-    columns = ["core", "_id", "_twin", "span", "same", "fewest", "first"]
-    found = cold.select(*columns).unionByName(met.select(*columns))
     ask = (F.col("fewest") == 1) & F.col("first")
-    return found.select("core", "_id", "_twin", "span", (F.col("same") > 1).alias("full"), ask.alias("ask"))
+    cold = cold.select("core", "_id", "_twin", "span", (F.col("same") > 1).alias("full"), ask.alias("ask"))
+    hot = suffixes.join(hot_cores, "core", "left_semi")
+    counted = F.count("*").alias("same"), F.min(F.struct("_id", "_twin", "span")).alias("least")
+    spans, _ = stored(hot.groupBy("core", "whole").agg(*counted), "hot-spans")
+    # Anchors whose span occurs again: a span that is as frequent itself is looked up in a broadcast.
+    again = spans.where(F.col("same") > 1)
+    big = F.broadcast(again.where(F.col("same") > share).select("core", "whole"))
+    rest = hot.join(big, ["core", "whole"], "left_anti").join(again.where(F.col("same") <= share), ["core", "whole"], "left_semi")
+    full = hot.join(big, ["core", "whole"], "left_semi").unionByName(rest)
+    full = full.select("core", "_id", "_twin", "span", F.lit(True).alias("full"), F.lit(False).alias("ask"))
+    # In a block that has a span of its own, one anchor of each span asks; it is known from the counts.
+    single = F.broadcast(spans.groupBy("core").agg(F.min("same").alias("fewest")).where(F.col("fewest") == 1).select("core"))
+    asking = spans.join(single, "core", "left_semi").select("core", "least.*", F.lit(False).alias("full"), F.lit(True).alias("ask"))
+    return cold.unionByName(full).unionByName(asking)
 
 
 def single_strings(texts: DataFrame, length: int) -> DataFrame:
