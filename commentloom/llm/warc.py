@@ -113,6 +113,8 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     if not headers["Content-Length"].isdigit() or len(rest) != int(headers["Content-Length"]) + 4 or rest[-4:] != _CRLF * 2:
         raise ValueError(f"block length differs from Content-Length in {headers['WARC-Record-ID']}")
     block = rest[:-4]
+    if headers["WARC-Type"] == "response" and headers.get("Payload-Length", str(len(block))) != str(len(block)):
+        raise ValueError(f"payload length differs in {headers['WARC-Record-ID']}")
     if headers["WARC-Type"] == "response" and headers.get("WARC-Payload-Digest", "").startswith("sha256:"):
         if hashlib.sha256(block).hexdigest() != headers["WARC-Payload-Digest"][7:]:
             raise ValueError(f"payload digest differs in {headers['WARC-Record-ID']}")

@@ -222,6 +222,7 @@ def test_reader_rejects_damage():
         archive([record.replace(b"Content-Length: 4", b"Content-Length: 5")]),
         archive([record.replace(b"WARC-Date", b"Other-Dat")]),
         archive([warc.build_record(digest, b"body")]),
+        archive([warc.build_record(HEAD | {"Payload-Length": "5"}, b"body")]),
         good[:-6] + bytes([good[-6] ^ 1]) + good[-5:],
     ]
     for data in bad:
