@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from commentloom.catalog import views as v
 from commentloom.catalog.registry import query
-from commentloom.operators.lexicon import lexicon_hits
+from commentloom.operators.lexicon import ids_with_terms
 from commentloom.operators import dedup, filters, indexing, joins, sampling
 from commentloom.sources.config import parse_subreddit_config
 
@@ -512,11 +512,10 @@ _MANY = (
     f"{C}, {_MANY} SELECT id FROM comments c WHERE EXISTS (SELECT 1 FROM words w WHERE contains(lower(c.body), w.word))",
 )
 def _(spark, sf):
-    """Hundreds of terms, read as a lexicon table."""
+    """A lexicon table that grows with the texts."""
     rows = v.comments(spark, sf)
     found = F.explode(F.regexp_extract_all(F.lower("body"), F.lit("[a-z]{9,}"), F.lit(0)))
-    words = rows.select(found.alias("term")).distinct().withColumn("category", F.lit("any"))
-    return lexicon_hits(rows, words).select("id").distinct()
+    return ids_with_terms(rows, rows.select(found.alias("term")))
 
 
 @query("w7_shuffle", f"{C} SELECT id, md5(concat('42|', id)) AS shuffle_key FROM comments")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.functions.terms import found
+from commentloom.functions.terms import found, holds_any
 from commentloom.functions.text import tokenize, tokenize_alpha
 from commentloom.operators.ranking import lowest_per_group
 from commentloom.schemas import CATEGORY_FLAGS
@@ -168,5 +168,51 @@ def lexicon_hits(
     return df.select(id_col, F.inline(found(F.lower(col), term_entries(lexicon), ENTRY)))
 
 
+SEED = 9  # so many characters of a term's piece choose the words that it is held against
+_GAP = r"\s+"
+
+
+def _pieces(text: Column) -> Column:
+    return F.split(text, _GAP)
+
+
+def ids_with_terms(df: DataFrame, lexicon: DataFrame, col: str = "body", id_col: str = "id") -> DataFrame:
+    """The ids, each once, of the lower-cased texts that contain any term of a lexicon that is a table of any size.
+
+    Nothing of the lexicon but the lengths up to ``SEED`` and its blank terms reaches the driver.  Terms and texts are cut at white space:
+    a term's longest piece lies within one piece of every text that holds the term.  So the texts' distinct pieces
+    and the terms' meet on the first ``SEED`` characters of the latter, or all of a shorter one, and are compared in full.  Only ids
+    and pieces are shuffled; texts are looked at again for terms of several pieces alone.
+    """
+    text = F.lower(col)
+    longest = lambda x: F.array_max(F.transform(_pieces(x), lambda y: F.struct(F.length(y).alias("n"), y.alias("p"))))["p"]
+    terms = lexicon.select(F.lower("term").alias("term")).dropna().distinct().withColumn("piece", longest(F.col("term")))
+    terms = materialize(terms.withColumn("seed", F.substring("piece", 1, SEED)), "terms")
+    sizes = sorted(r[0] for r in terms.select(F.length("seed")).distinct().collect())  # SEED + 1 numbers at most
+    blank = terms.filter("piece = ''").select("term")
+    out = []
+    if 0 in sizes:  # white space only
+        out.append(df.filter(holds_any(text, [r["term"] for r in blank.collect()])).select(id_col))
+    sizes = [n for n in sizes if n]
+    if sizes:
+        words = df.select(id_col, F.explode(F.array_distinct(_pieces(text))).alias("_word"))
+        words = materialize(words.filter(F.length("_word") >= sizes[0]), "words")
+        seeds = [F.regexp_extract_all("_word", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
+        vocabulary = words.select("_word").distinct()
+        met = vocabulary.select("_word", F.explode(F.array_distinct(F.concat(*seeds))).alias("seed")).join(terms, "seed")
+        met = materialize(met.filter(F.contains("_word", "piece")).select("_word", "piece", "term"), "met")
+        whole = met.filter("term = piece").select("_word").distinct()
+        out.append(words.join(whole, "_word", "left_semi").select(id_col))
+        several = met.filter("term <> piece").select("_word", "term")
+        if not several.isEmpty():
+            maybe = words.join(several, "_word").select(F.col(id_col).alias("_id"), "term").distinct()
+            texts = df.select(id_col, text.alias("_text"))
+            sure = texts.join(maybe, texts[id_col].eqNullSafe(F.col("_id"))).filter(F.contains("_text", "term"))
+            out.append(sure.select(id_col))
+    if not out:
+        return df.select(id_col).limit(0)
+    return reduce(DataFrame.unionByName, out).distinct()
+
+
 def hit_counts(hits: DataFrame) -> DataFrame:
     return hits.groupBy("category", "term").agg(F.count("*").alias("n"))

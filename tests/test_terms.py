@@ -10,9 +10,10 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from commentloom.functions import terms
 from commentloom.operators import filters, lexicon
-from conftest import plan_of
+from conftest import SMALL, plan_of
 
 LETTERS = "ab.(é😀\\ -]^$\n"
 some = st.lists(st.text(LETTERS, max_size=5), max_size=12)
@@ -65,3 +66,26 @@ def test_the_plan_has_the_terms_as_constants(spark):
     assert not any(word in plan for word in ("Join", "Exchange", "from_json", "Subquery"))
     terms_ = [f"term {i} of many" for i in range(6000)]
     assert filters.match_any_keyword(df, terms_).count() == 0
+
+
+@pytest.mark.parametrize("longest", [3, 14])
+def test_lexicon_table(spark, longest):
+    rng = random.Random(longest)
+    make = lambda letters, n: "".join(rng.choices(letters, k=rng.randrange(n)))
+    words = [make("abé😀. ", longest) for _ in range(30)] + ["x" * 12, "xx y", "aaaabbbbccccdd", None]
+    texts = [make("abé😀. AB\n", 50) for _ in range(150)] + [None, "", "x" * 30, "Xx  y", "xXx Y", "zaaaabbbbccccddz", "aaaabbbbcccc"]
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "id long, body string")
+    for terms_ in (words, [w for w in words if w and w.strip()], ["xx y"], ["qq"], []):
+        lex = spark.createDataFrame([("c", w) for w in terms_], "category string, term string")
+        got = [r[0] for r in lexicon.ids_with_terms(df, lex).collect()]
+        want = {i // 2 for i, t in enumerate(texts) if t is not None and any(w.lower() in t.lower() for w in terms_ if w is not None)}
+        assert sorted(got) == sorted(want)
+
+
+def test_lexicon_table_stays_off_the_driver(spark, monkeypatch):
+    """A vocabulary of the texts themselves: no more than a few numbers come back."""
+    taken = []
+    collect = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: taken.append(collect(df)) or taken[-1])
+    entry.queries()["f6_match_many_keywords"](spark, SMALL)
+    assert sum(map(len, taken)) <= lexicon.SEED + 1
