@@ -1,10 +1,10 @@
 """BPE encoding and decoding through a minimal acyclic transducer of frequent words.
 
 Texts are cut into words as the tokenizer's file says (special strings, NFC, lower case, its split pattern).
-Frequent words, fitted on about ``sample_rows`` texts at most and bounded by ``lexicon_size``, are compiled with their ids into
+The ``lexicon_size`` words most frequent in all texts, counted in a first pass, are compiled with their ids into
 one automaton with shared suffixes (``automaton.py``); the buffer is broadcast and every Python worker maps
 it from an unlinked file in its own temporary folder.  Words that the automaton lacks are merged exactly by
-the tokenizer's own model and kept in a bounded cache.  The sample changes only the speed.
+the tokenizer's own model and kept in a bounded cache.  The counts change only the speed.
 
 Texts with characters from U+0250 on are normalised and cut by the library itself; below that, plain patterns
 do the same (a test compares every such character).
@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commentloom.llm.automaton import Lexicon, compile_lexicon
-from commentloom.llm.common import few_rows, keyed, numbered, summed, texts_of, worker_state
+from commentloom.llm.common import keyed, numbered, summed, worker_state
 
-CACHE_SIZE = 300_000
+CACHE_SIZE = 100_000
+COUNTED = 100_000  # distinct words that a task counts before it hands them on
 
 # Letters, numbers and white space below U+0250, as the split pattern of the tokenizer's file sees them.
 _LETTERS = "a-zA-ZªµºÀ-ÖØ-öø-ɏ"
@@ -99,31 +100,38 @@ def codec(path: str) -> Codec:
     return state[path]
 
 
-def build_lexicon(texts: DataFrame, path: str, sample_rows: int, lexicon_size: int) -> bytes:
-    """The compiled automaton of the words most frequent in a bounded sample."""
+def word_counts(texts: DataFrame, path: str) -> DataFrame:
+    """(word, seen) of every word of at most 48 characters that plain patterns cut, counted over all texts."""
 
     def count(batches):
-        own = codec(path)
-        for batch in batches:
-            seen = Counter()
-            for text in texts_of(batch):
-                seen.update(w for w in own.words(text) if len(w) <= 48 and w[0] > "\1")
-            words = [w for w, n in seen.most_common(lexicon_size) if n > 1]
-            yield pa.RecordBatch.from_pydict(
-                {"word": words, "ids": [own.merge(w) for w in words], "seen": [seen[w] for w in words]}, schema=schema
-            )
-
-    def build(batches):
-        total, ids_of = Counter(), {}
+        own, seen = codec(path), Counter()
         for batch in batches:
-            for row in batch.to_pylist():
-                total[row["word"]] += row["seen"]
-                ids_of[row["word"]] = row["ids"]
-        yield pa.RecordBatch.from_pydict({"raw": [compile_lexicon({w: ids_of[w] for w, _ in total.most_common(lexicon_size)})]})
-
-    schema = pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32())), ("seen", pa.int64())])
-    sample = few_rows(texts.select("_text"), sample_rows).mapInArrow(count, "word string, ids array<int>, seen bigint")
-    built = sample.repartition(1).mapInArrow(build, "raw binary").first()  # the words of the sample only
+            for text in batch.column("_text"):
+                seen.update(own.words(text.as_py()))
+                if len(seen) >= COUNTED:
+                    yield counts(seen)
+                    seen = Counter()
+        yield counts(seen)
+
+    def counts(seen):
+        kept = {w: n for w, n in seen.items() if len(w) <= 48 and w[0] > "\1"}
+        return pa.RecordBatch.from_pydict({"word": list(kept), "seen": list(kept.values())}, schema=schema)
+
+    schema = pa.schema([("word", pa.string()), ("seen", pa.int64())])
+    counted = texts.select("_text").mapInArrow(count, "word string, seen bigint")
+    return counted.groupBy("word").agg(F.sum("seen").alias("seen"))
+
+
+def build_lexicon(texts: DataFrame, path: str, lexicon_size: int) -> bytes:
+    """The compiled automaton of the words most frequent in all texts, of equally frequent ones the first by their code points."""
+
+    def build(batches):  # ``lexicon_size`` words at most
+        own = codec(path)
+        words = [w for batch in batches for w in batch.column("word").to_pylist()]
+        yield pa.RecordBatch.from_pydict({"raw": [compile_lexicon({w: own.merge(w) for w in words})]})
+
+    often = word_counts(texts, path).where("seen > 1").orderBy(F.desc("seen"), "word").limit(lexicon_size)
+    built = often.select("word").repartition(1).mapInArrow(build, "raw binary").first()
     return bytes(built.raw) if built else compile_lexicon({})
 
 
@@ -166,7 +174,6 @@ def encode(
     path: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    sample_rows: int = 3000,
     lexicon_size: int = 150_000,
     digests: bool = False,
 ) -> DataFrame:
@@ -175,7 +182,7 @@ def encode(
     ``decoded`` is what the tokenizer's decoder makes of the ids, special tokens kept.
     """
     texts = keyed(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(build_lexicon(texts, path, sample_rows, lexicon_size))
+    shared = docs.sparkSession.sparkContext.broadcast(build_lexicon(texts, path, lexicon_size))
     kind = texts.schema["_id"].dataType.simpleString()
 
     def run(batches):
@@ -186,7 +193,7 @@ def encode(
             for k in range(len(columns)):
                 rows.append(own.words(columns[k].as_py()))
                 size += len(rows[-1])
-                if size >= 400_000 or k == len(columns) - 1:  # words held at a time, besides one text's own
+                if size >= 100_000 or k == len(columns) - 1:  # words held at a time, besides one text's own
                     yield build(own, lexicon, batch.column("_id").slice(at, len(rows)), rows)
                     at, size, rows = at + len(rows), 0, []
 

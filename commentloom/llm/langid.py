@@ -22,8 +22,8 @@ from commentloom.llm.common import keyed, numbered, worker_state
 from commentloom.llm.crf import Model, has_letter, marginals, train, words_of
 
 UNKNOWN = "und"
-CHUNK_WORDS = 400_000  # words labelled at a time, besides one text's own
-CACHE_WORDS = 300_000
+CHUNK_WORDS = 100_000  # words labelled at a time, besides one text's own
+CACHE_WORDS = 100_000
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

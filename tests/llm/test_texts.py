@@ -124,6 +124,21 @@ def test_codec(spark, docs):
     assert bpe.encode(empty(spark), WORD_BPE).count() == 0
 
 
+def test_lexicon_counts_every_text(spark, monkeypatch):
+    """The words counted are those of the whole table, also where they stand in its last rows only."""
+    monkeypatch.setattr(bpe, "COUNTED", 50)
+    texts = ["alpha beta gamma"] * 3500 + ["omega w%d" % (i % 70) for i in range(210)] + [None, "", "once", "é\u0301 x"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    keyed = bpe.keyed(table, "doc_id", "text")
+    own = bpe.codec(WORD_BPE)
+    want = Counter(w for t in texts for w in own.words(t or "") if w[0] > "\1")
+    assert {r[0]: r[1] for r in bpe.word_counts(keyed, WORD_BPE).collect()} == want
+    lexicon = Lexicon(bpe.build_lexicon(keyed, WORD_BPE, 4))
+    assert len(lexicon) == 4
+    assert (lexicon.find(["alpha", "beta", "gamma", "w", "once"]) >= 0).tolist() == [w in {x for x, _ in sorted(want.items(), key=lambda e: (-e[1], e[0]))[:4]} for w in ["alpha", "beta", "gamma", "w", "once"]]
+    assert (Lexicon(bpe.build_lexicon(keyed, WORD_BPE, 100)).find(["omega", "w"]) >= 0).all()
+
+
 def test_cutting_equals_the_library_for_every_low_character():
     from tokenizers import Tokenizer
 
