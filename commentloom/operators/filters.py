@@ -12,6 +12,7 @@ from commentloom.functions.flags import year_month
 from commentloom.functions.terms import holds_any
 from commentloom.functions.text import tokenize
 from commentloom.schemas import FLAGS, SHORT_TO_LONG, TOMBSTONES
+from commentloom.session import materialize
 
 
 def drop_tombstones(df: DataFrame, col: str = "body") -> DataFrame:
@@ -91,12 +92,17 @@ def with_year_month(
 
 
 def tag_tier(df: DataFrame, dim: DataFrame, out: str = "tier") -> DataFrame:
-    """Keep rows of enabled subreddits, tagged ``Tier 1`` or ``Tier 2``; tier 1 wins."""
+    """Keep rows of enabled subreddits, tagged ``Tier 1`` or ``Tier 2``; tier 1 wins.
+
+    One row per subreddit is written down, so its size is known when the join is planned: while it is small the comments
+    are neither shuffled by subreddit, of which a few hold most rows, nor sorted.
+    """
     tiers = (
         dim.filter("enabled")
         .groupBy(F.lower("subreddit").alias("subreddit"))
         .agg(F.min("tier").alias("_tier"))
     )
+    tiers = materialize(tiers, "tiers")
     return (
         df.withColumn("subreddit", F.lower("subreddit"))
         .join(tiers, "subreddit")
