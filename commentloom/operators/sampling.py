@@ -150,17 +150,24 @@ def quota_extract(
 ) -> DataFrame:
     """Keyword candidates per tier, earliest year first, up to each tier's quota.
 
-    Rows of the tier ``searched`` are results of a search already and need no term of the list.
+    Rows of the tier ``searched`` are results of a search already and need no term of the list.  The two kinds of rows are
+    filtered apart, so each condition reaches the table it reads; the draw sees keys only, and the texts of the
+    drawn ids alone move: a list of ids, unlike a semi join, is looked up below the joins that make ``df``.
     """
-    wanted = (F.col(tier) == searched) | keyword_match("body", terms[:max_terms])
-    hits = df.filter(wanted).withColumn(
-        "year", F.substring(year_month("created_utc"), 1, 4).cast("int")
-    )
-    ranked = draw_per_group(hits, [tier], max(quotas.values()), seed, id_col, before=["year"])
+    term = F.coalesce(keyword_match("body", terms[:max_terms]), F.lit(False))
+    year = F.substring(year_month("created_utc"), 1, 4).cast("int")
+    dated = df.withColumn("year", year)
+    keys = [tier, "year", id_col]
+    hits = dated.filter(term).select(*keys).unionByName(dated.filter((F.col(tier) == searched) & ~term).select(*keys))
+    ranked = draw_per_group(materialize(hits, "hits"), [tier], max(quotas.values()), seed, id_col, before=["year"])
     quota = F.lit(0)
     for name, size in quotas.items():
         quota = F.when(F.col(tier) == name, F.lit(size)).otherwise(quota)
-    return ranked.filter(F.col("_rank") <= quota).drop("_rank")
+    drawn = materialize(ranked.filter(F.col("_rank") <= quota).select(*keys), "drawn")
+    ids = [r[0] for r in drawn.select(id_col).distinct().collect()]  # as many as the quotas have rows, at most
+    taken = F.col(id_col).isin([i for i in ids if i is not None]) | (F.col(id_col).isNull() & F.lit(None in ids))
+    named = df.filter(taken).filter((F.col(tier) == searched) | term)
+    return bring_rows(named.withColumn("year", year), drawn, keys)
 
 
 def shuffle(df: DataFrame, seed=42, id_col: str = "id", sort: bool = True) -> DataFrame:

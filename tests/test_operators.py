@@ -486,3 +486,38 @@ def test_limited_migration_lists_only_its_own_chunks(spark, tmp_path):
     listed = migration.migrate(spark, table, out, state, "prompt", size=2)
     assert rows(listed, "chunk", "n_rows") == [(0, 2), (1, 2), (2, 2)]
     assert rows(spark.read.parquet(out), "id") == [(f"i{k}",) for k in range(6)]
+
+
+def test_quota_extract_moves_keys_and_drawn_texts_only(spark, monkeypatch):
+    """Below a join that shuffles, the draw sees no text; rows that share an id, or have none, are drawn like any other."""
+    rows = [(str(i // 2) if i % 9 else None, f"{'the ' * (i % 3)}text {i}" if i % 7 else None, i * 40_000_000) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, body string, created_utc long")
+    tiers = spark.createDataFrame([(r[0], f"Tier {1 + i % 3}") for i, r in enumerate(rows[::2]) if r[0]] + [(None, "Tier 2")], "_k string, tier string").distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pool = df.join(tiers, df["id"].eqNullSafe(tiers["_k"])).drop("_k")
+        seen = []
+        draw = sampling.draw_per_group
+        monkeypatch.setattr(sampling, "draw_per_group", lambda d, *a, **k: seen.append(d.columns) or draw(d, *a, **k))
+        quotas = {"Tier 1": 3, "Tier 2": 7, "Tier 3": 5}
+        out = sampling.quota_extract(pool, ["the"], quotas)
+        got = sorted(map(str, out.select(*pool.columns, "year").collect()))
+        keys = sampling.year_month("created_utc")
+        plain = pool.filter((F.col("tier") == "Tier 3") | F.lower("body").contains("the")).withColumn("year", F.substring(keys, 1, 4).cast("int"))
+        ranked = draw(plain, ["tier"], 7, 42, "id", before=["year"]).collect()
+        want = sorted(str(r[:-1]) for r in map(tuple, ranked) if r[-1] <= quotas[r[plain.columns.index("tier")]])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [str(tuple(r)) for r in sorted(out.select(*plain.columns).collect(), key=lambda r: str(tuple(r)))] == want
+    assert len(got) == len(want) > 10
+    assert seen == [["tier", "year", "id"]]
+    below = plan_of(out).split("SortMergeJoin", 1)[1]
+    assert " IN (" in below or "INSET" in below  # on the scan's side of the join
+
+
+def test_tiers_are_joined_without_moving_the_comments(spark):
+    df = spark.createDataFrame([("A", "x"), ("b", "y")], "subreddit string, body string")
+    dim = spark.createDataFrame([("a", True, 2), ("A", True, 1), ("b", False, 1)], "subreddit string, enabled boolean, tier int")
+    tagged = filters.tag_tier(df, dim)
+    assert [tuple(r) for r in tagged.select("subreddit", "body", "tier").collect()] == [("a", "x", "Tier 1")]
+    assert "Exchange hashpartitioning" not in plan_of(tagged)
