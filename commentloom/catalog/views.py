@@ -21,45 +21,54 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
-    return _comments(spark, sf).drop("doc_id", "raw")
+    return _comments(spark, sf).drop("doc_id", *[f"_{c}" for c in WORDS])
 
 
-def _comments(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", "text", "source")
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
-    day = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', o_orderdate)")
+def _comments(spark: SparkSession, sf: str, labels: DataFrame | None = None) -> DataFrame:
+    """What depends on the text alone is computed below the joins, so a query that needs no text shuffles none."""
     every = F.col("doc_id") % 2 == 0
+    lower = F.lower("text")
     body = (
         F.when(F.col("doc_id") % 41 == 0, "[deleted]")
         .when(F.col("doc_id") % 43 == 0, "[removed]")
         .when(F.col("doc_id") % 47 == 0, "")
         .otherwise(F.col("text"))
     )
+    d = table(spark, sf, "documents").select(
+        "doc_id",
+        body.alias("body"),
+        F.when(every, F.upper("source")).otherwise(F.col("source")).alias("subreddit"),
+        *[lower.contains(w).alias(f"_{c}") for c, w in WORDS.items()],
+    )
+    if labels is not None:
+        d = d.join(labels, "doc_id")
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
+    day = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', o_orderdate)")
     return d.join(o, "doc_id").select(
         F.col("doc_id").cast("string").alias("id"),
-        body.alias("body"),
+        "body",
         (day + F.col("doc_id")).cast("long").alias("created_utc"),
-        F.when(every, F.upper("source")).otherwise(F.col("source")).alias("subreddit"),
+        "subreddit",
         (F.col("doc_id") % 11 - 2).alias("score"),
         F.lit(0).cast("long").alias("controversiality"),
         F.lit(None).cast("string").alias("collapsed_reason_code"),
         "doc_id",
-        F.col("text").alias("raw"),
+        *[f"_{c}" for c in WORDS],
+        *([] if labels is None else ["toxic"]),
     )
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
     toxic = F.col("toxic") == 1
-    lower = F.lower("raw")
 
     def flag(cond):
         return F.when(toxic & cond, 1).otherwise(0)
 
-    hits = {c: lower.contains(w) for c, w in WORDS.items()}
+    hits = {c: F.col(f"_{c}") for c in WORDS}
     any_hit = hits["caste"] | hits["communal_religious"] | hits["regional_xenophobic"]
     any_hit = any_hit | hits["misogyny_gender"]
-    return _comments(spark, sf).join(labels, "doc_id").select(
+    return _comments(spark, sf, labels).select(
         "id",
         F.trim("body").alias("text"),
         F.lower("subreddit").alias("subreddit"),

@@ -58,13 +58,15 @@ def term_frequency(
 def _vocabulary(df: DataFrame, flag: str, col: str) -> DataFrame:
     """(word, df, bg_df, tf): texts with the word, those of them with ``flag = 0``, and occurrences where it is 1.
 
-    A text's words are sorted, so the first of each run of equal words stands for the text.
+    A text's words are sorted, so the first of each run of equal words stands for the text.  Every text that is not null also has a null
+    word, whose ``df`` is the number of texts.
     """
     sorted_ = df.select(F.col(flag).alias("_flag"), F.array_sort(tokenize(col)).alias("_words"))
     new = lambda x, i: (i == 0) | (x != F.get("_words", i - 1))
     marked = F.transform("_words", lambda x, i: F.struct(x.alias("word"), new(x, i).alias("new")))
+    text = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(True).alias("new")))
     return (
-        sorted_.select("_flag", F.inline(marked))
+        sorted_.select("_flag", F.inline(F.concat(text, marked)))
         .groupBy("word")
         .agg(
             F.count_if("new").alias("df"),
@@ -85,10 +87,11 @@ def tfidf_scores(
     """``tf * ln(max(V, 1) / (bg_df + 1))`` per word of the flagged texts.
 
     V is the number of distinct background words, not of texts.  One pass over the texts writes the
-    vocabulary with its three counts, a second one counts the texts; all else reads the vocabulary.
+    vocabulary with its three counts and the number of texts; all else reads the vocabulary.
     """
-    vocabulary = materialize(_vocabulary(df, flag, col), "vocabulary")
-    stop = _frequent(vocabulary, df, share, col)
+    counted = materialize(_vocabulary(df, flag, col), "vocabulary")
+    vocabulary, texts = counted.filter("word IS NOT NULL"), counted.filter("word IS NULL").agg(F.sum("df")).scalar()
+    stop = vocabulary.filter(F.col("df") > F.floor(texts * F.lit(share))).select("word")
     if static is not None:
         stop = stop.unionByName(static.select("word")).distinct()
     bg = (

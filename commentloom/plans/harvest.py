@@ -69,10 +69,11 @@ def harvest_candidates(
     ``live`` holds parsed pages of a live search and forms tier 3, whatever its terms.  The archive is
     filtered by the terms before ids meet, so only hits are shuffled.
     """
-    tagged = filters.tag_tier(filters.drop_tombstones(archive), dim)
+    found = filters.match_any_keyword(filters.drop_tombstones(archive), terms)
+    tagged = filters.tag_tier(found, dim)
     if live is not None:
         fresh = filters.drop_tombstones(live).withColumn("tier", F.lit("Tier 3"))
-        tagged = dedup.union_tiers(filters.match_any_keyword(tagged, terms), fresh)
+        tagged = dedup.union_tiers(tagged, fresh)
         order = [F.desc(F.col("tier") == "Tier 3"), "tier", "created_utc", F.md5("body")]
         tagged = dedup.dedup_by_id(tagged, order)
     if ledger is not None:  # only hits meet the ledger

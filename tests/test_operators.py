@@ -521,3 +521,18 @@ def test_tiers_are_joined_without_moving_the_comments(spark):
     tagged = filters.tag_tier(df, dim)
     assert [tuple(r) for r in tagged.select("subreddit", "body", "tier").collect()] == [("a", "x", "Tier 1")]
     assert "Exchange hashpartitioning" not in plan_of(tagged)
+
+
+def test_flags_need_no_text_above_the_joins(spark):
+    from commentloom.catalog import views
+    from conftest import SMALL
+
+    plan = plan_of(views.labelled(spark, SMALL).select("id", "caste"))
+    assert "body#" not in plan and "raw#" not in plan  # the text ends at the documents' scan
+
+
+def test_scores_count_texts_in_the_pass_that_counts_words(spark):
+    df = spark.createDataFrame([("aaa bbb", 1), ("aaa", 0), ("!!", 0), (None, 0), ("ccc", 1)], "text string, f int")
+    counted = {r["word"]: r["df"] for r in lexicon._vocabulary(df, "f", "text").collect()}
+    assert counted == {None: 4, "aaa": 2, "bbb": 1, "ccc": 1}
+    assert {r["word"] for r in lexicon.tfidf_scores(df, "f", share=0.25).collect()} == {"bbb", "ccc"}
