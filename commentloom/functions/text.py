@@ -4,15 +4,15 @@ Most texts need most steps not at all, and a regular expression costs far more t
 substring search.  Each step therefore asks for its trigger characters first.  It binds its
 input to a lambda variable, so a chain of steps stays linear in size and computes each step once.
 
-Only entity decoding and Unicode normalisation leave the JVM.  Both send a text to Python
-only when a cheap test says it can change; every other row crosses as a null.
+Only entity decoding and Unicode normalisation leave the JVM.  Both send Python the pieces of a text that can
+change, never the text: its character references, or its characters before and among combining ones.
 """
 
 from __future__ import annotations
 
 import html
 import unicodedata
-from functools import reduce
+from functools import cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -67,27 +67,63 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _decode_entities(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+def _decode_entities(refs: pd.Series) -> pd.Series:
+    return refs.map(lambda xs: [html.unescape(x) for x in xs], na_action="ignore")
 
 
-def _compose(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
+def _compose(runs: pd.Series) -> pd.Series:
+    return runs.map(lambda xs: [unicodedata.normalize("NFC", x) for x in xs], na_action="ignore")
 
 
 # As a plain expression a function may stand under a filter, which Spark would push below it and so repeat the call;
 # it leaves filters above what it may not repeat.  ``sanitize`` guards its result itself and uses the second pair, through
 # which filters on other columns pass.
-_html_unescape = F.pandas_udf(_decode_entities, T.StringType()).asNondeterministic()
-_nfc = F.pandas_udf(_compose, T.StringType()).asNondeterministic()
-_html_unescape_once = F.pandas_udf(_decode_entities, T.StringType())
-_nfc_once = F.pandas_udf(_compose, T.StringType())
+_PIECES = T.ArrayType(T.StringType())
+_html_unescape = F.pandas_udf(_decode_entities, _PIECES).asNondeterministic()
+_nfc = F.pandas_udf(_compose, _PIECES).asNondeterministic()
+_html_unescape_once = F.pandas_udf(_decode_entities, _PIECES)
+_nfc_once = F.pandas_udf(_compose, _PIECES)
+
+# Fixed value: what ``html.unescape`` takes for a character reference.
+_CHARREF = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _in_python(c: Column, needed: Column, pattern: str, call) -> Column:
+    """``c`` with ``call`` of all matches of ``pattern`` put in their place, in texts that meet ``needed``."""
+    done = call(F.when(needed, F.regexp_extract_all(c, F.lit(pattern), F.lit(0))))
+    whole = F.zip_with(F.split(c, pattern, -1), done, lambda gap, piece: F.concat(gap, F.coalesce(piece, F.lit(""))))
+    return F.when(F.size(done) > 0, F.array_join(whole, "")).otherwise(c)
+
+
+@cache
+def _composing() -> str:
+    """An expression of the runs that NFC may change, each with the character before it.
+
+    NFC never acts across the beginning of a character that is a starter, equal to its own NFC and no second part of a
+    composition.  All others are listed, in ranges that may hold more.
+    """
+    odd = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))  # Hangul vowels and finals
+    for point in [*range(0x300, 0xD800), *range(0xE000, 0x110000)]:
+        char = chr(point)
+        parts = unicodedata.decomposition(char)
+        if parts and parts[0] != "<":
+            odd.update(int(p, 16) for p in parts.split()[1:])
+        if unicodedata.combining(char) or unicodedata.normalize("NFC", char) != char:
+            odd.add(point)
+    ranges: list[list[int]] = []
+    for point in sorted(p for p in odd if p >= 0x300):
+        if ranges and point - ranges[-1][1] <= 16:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    listed = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+    return rf"(?s).?(?:(?=[\x{{300}}-\x{{10ffff}}])[{listed}])+"
 
 
 def unescape_html(c, call=_html_unescape) -> Column:
-    """Decode every HTML entity; texts without ``&`` never leave the JVM."""
+    """Decode every HTML entity; only a text's character references leave the JVM."""
     c = _col(c)
-    return F.coalesce(call(F.when(c.contains("&"), c)), c)
+    return _in_python(c, c.contains("&"), _CHARREF, call)
 
 
 def unescape_html_basic(c) -> Column:
@@ -213,14 +249,12 @@ def repair_mojibake(c) -> Column:
 
 def fix_unicode(c, needed: Column | None = None, call=_nfc) -> Column:
     """NFC; ``repair_mojibake`` comes before it in the profiles.  Only texts that meet ``needed``, by default
-    non-ASCII ones, go to Python.
-
-    A row evaluates ``c`` once: as the function's argument, or as the fallback.
+    non-ASCII ones, are searched, and only their runs that may change go to Python.
     """
     c = _col(c)
     if needed is None:
         needed = _not_ascii(c)
-    return F.coalesce(call(F.when(needed, c)), c)
+    return _in_python(c, needed, _composing(), call)
 
 
 def strip_space(c) -> Column:

@@ -140,3 +140,27 @@ def test_entities_are_decoded_once(spark):
         plan = plan_of(t.sanitize(df, profile))
         calls = [line for line in plan.splitlines() if "EvalPython" in line]
         assert sum(line.split("],")[0].count("_decode_entities(") for line in calls) == 1, plan
+
+
+def test_python_sees_pieces_only(spark):
+    """Same results as on whole texts, of all characters that NFC changes and of references of all kinds."""
+    import html
+    import random
+    import unicodedata
+
+    points = [p for p in range(0xA0, 0x110000) if not 0xD800 <= p < 0xE000]
+    odd = [chr(p) for p in points if unicodedata.normalize("NFC", chr(p)) != chr(p) or unicodedata.combining(chr(p))]
+    rng = random.Random(3)
+    marks = [c for c in odd if unicodedata.combining(c)] + list("\u1161\u11a8\u09be\u0b3e\u0dcf\U000114ba")
+    base = list("aeo \u1100\uac00\u0915\u09c7\u0b47\u0dd9\U000114b9\u00e9") + ["x&amp", "&#769;", "&eacute;"]
+    texts = ["".join(odd[i : i + 40]) for i in range(0, len(odd), 40)] + ["".join("a" + c for c in marks)]
+    texts += ["".join(rng.choice(base + marks) for _ in range(rng.randrange(25))) for _ in range(600)]
+    refs = ["&", "&amp", "&amp;lt;", "&ampx", "&notin;", "&notit;", "&#0;", "&#x80;", "&#xD800;", "&#1114112;", "&#X41", "&#65", "&;", "&\U0001f600" * 3,
+            "&" + "\U0001f600" * 40, "& ", "&\n", "&a&b;", "&#", "&#x", "<", ";", "x", "&#1;", "&NotEqualTilde;"]
+    texts += ["".join(rng.choice(refs) for _ in range(rng.randrange(12))) for _ in range(400)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, s string")
+    got = df.select("id", t.fix_unicode("s").alias("n"), t.unescape_html("s").alias("h")).collect()
+    for i, n, h in got:
+        s = texts[i]
+        assert n == (s and unicodedata.normalize("NFC", s)), ascii(s)
+        assert h == (s and html.unescape(s)), ascii(s)
