@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from commentloom.functions.flags import sample_rank
 from commentloom.operators.ranking import first_per_key
-from commentloom.session import pin
+from commentloom.session import materialize
 
 # The leading parts of chunk names and of made-up ids.
 CHUNK_PREFIX, ID_PREFIX = "migration_base", "migrated_"
@@ -28,35 +29,42 @@ def row_index(df: DataFrame, order: list | None = None, out: str = "row_index")
     """
     if not order:
         return _numbered(df, out)
-    named = _named(df)
     numbers = (
-        _numbered(sorted_names(named, order), "_number")
+        _numbered(sorted_names(_named(df), order), "_number")
         .groupBy("_h1", "_h2")
         .agg(F.min("_number").alias("_first"), F.count("*").alias("_copies"))
     )
-    one = first_per_key(named, ["_h1", "_h2"], ["_h1"])
     copies = F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1)
-    return one.join(numbers, ["_h1", "_h2"]).select(*df.columns, F.explode(copies).alias(out))
+    return one_per_name(df).join(numbers, ["_h1", "_h2"]).select(*df.columns, F.explode(copies).alias(out))
+
+
+def one_per_name(df: DataFrame) -> DataFrame:
+    """One of the rows of each name, with the name's (_h1, _h2)."""
+    return first_per_key(_named(df), ["_h1", "_h2"], ["_h1"])
 
 
 def _named(df: DataFrame) -> DataFrame:
     return df.select("*", F.xxhash64(*df.columns).alias("_h1"), F.xxhash64(F.lit(1), *df.columns).alias("_h2"))
 
 
-def sorted_names(named: DataFrame, order: list) -> DataFrame:
+def sorted_names(named: DataFrame, order: list, keep: list[str] = ()) -> DataFrame:
     """The rows' names in order; only they and the key are sorted.  Equal names still split over tasks by a running id."""
     tied = named.withColumn("_tie", F.monotonically_increasing_id())
-    return tied.orderBy(*order, "_h1", "_h2", "_tie").select("_h1", "_h2")
+    return tied.orderBy(*order, "_h1", "_h2", "_tie").select("_h1", "_h2", *keep)
 
 
 def _numbered(df: DataFrame, out: str) -> DataFrame:
-    """Consecutive numbers from 0 in stored order: ``df`` is written once, and each partition's rows add the count of
-    all partitions before it.  The broadcast side has one row per partition.
+    """Consecutive numbers from 0 in stored order: ``df`` is computed and written once with each row's place, and each
+    partition's rows add the count of all partitions before it.  The broadcast side has one row per partition.
     """
+    void = [f.name for f in df.schema.fields if isinstance(f.dataType, NullType)]  # parquet has no such columns
+    placed = materialize(df.drop(*void).withColumn("_at", F.monotonically_increasing_id()), "placed")
     parts = (
-        pin(df)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)))
+        placed.withColumns({c: F.lit(None) for c in void})
+        .select(*df.columns, "_at")
+        .withColumn("_part", F.shiftright("_at", 33))
+        .withColumn("_pos", F.col("_at").bitwiseAND(F.lit(_POSITION_MASK)))
+        .drop("_at")
     )
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -104,9 +112,19 @@ def assign_chunks(
     df: DataFrame, key: list, size: int = 2500, prefix: str = CHUNK_PREFIX
 ) -> DataFrame:
     """Chunk number and part name per row, in key order."""
+    return _chunk(row_index(df, key, "_index"), size, prefix)
+
+
+def named_chunks(
+    df: DataFrame, key: list[str], size: int = 2500, prefix: str = CHUNK_PREFIX
+) -> DataFrame:
+    """What ``assign_chunks`` gives, with every row's name and key columns instead of the row."""
+    return _chunk(_numbered(sorted_names(_named(df), key, key), "_index"), size, prefix)
+
+
+def _chunk(numbered: DataFrame, size: int, prefix: str) -> DataFrame:
     return (
-        row_index(df, key, "_index")
-        .withColumn("chunk", F.floor(F.col("_index") / size))
+        numbered.withColumn("chunk", F.floor(F.col("_index") / size))
         .withColumn("chunk_name", F.format_string(f"{prefix}_part_%03d", "chunk"))
         .drop("_index")
     )

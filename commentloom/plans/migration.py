@@ -25,18 +25,23 @@ def migrate(
     """Write the chunks that ``state`` does not list yet, then list them; returns the manifest so far.
 
     Rows are numbered by id, so a chunk holds the same rows in every run; a chunk that an interrupted run left
-    half written is replaced as a whole.  ``max_chunks`` ends a run early.
+    half written is replaced as a whole.  ``max_chunks`` ends a run early.  Numbers go to names of rows (``indexing``);
+    only the rows of chunks that are written move, and a chunk goes to one task, which writes it as one file.
     """
     filled = filters.backfill_flags(indexing.fallback_ids(filters.require_columns(rows, [text])))
     flags = {c: F.coalesce(F.col(c).try_cast("int"), F.lit(0)) for c in FLAGS}
     records = formatting.to_training_record(filled.withColumns(flags), text)
-    chunked = indexing.assign_chunks(records, ["id"], size)
+    chunked = indexing.named_chunks(records, ["id"], size)
     done = spark.read.schema(MANIFEST).parquet(state) if exists(spark, state) else spark.createDataFrame([], MANIFEST)
     pending = ledger.pending_chunks(chunked, done)
     if max_chunks is not None:
         last = F.coalesce(done.agg(F.max("chunk")).scalar(), F.lit(-1)) + max_chunks
         pending = pending.filter(F.col("chunk") <= last)
-    messages = formatting.to_chatml(pending.drop("chunk"), system_prompt)
+    # Chunks follow the ids, so rows outside the pending ids' range are dropped before anything moves.
+    low, high = pending.agg(F.min("id"), F.max("id")).first()
+    near = records.filter(F.col("id").between(F.lit(low), F.lit(high)))
+    rows = indexing.one_per_name(near).join(pending.drop("id"), ["_h1", "_h2"]).drop("_h1", "_h2", "chunk")
+    messages = formatting.to_chatml(rows, system_prompt).repartition("chunk_name")
     writer = messages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("chunk_name").parquet(out)
     fresh = ledger.manifest(chunked).join(pending.select("chunk_name").distinct(), "chunk_name", "left_semi")

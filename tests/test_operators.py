@@ -536,3 +536,19 @@ def test_scores_count_texts_in_the_pass_that_counts_words(spark):
     counted = {r["word"]: r["df"] for r in lexicon._vocabulary(df, "f", "text").collect()}
     assert counted == {None: 4, "aaa": 2, "bbb": 1, "ccc": 1}
     assert {r["word"] for r in lexicon.tfidf_scores(df, "f", share=0.25).collect()} == {"bbb", "ccc"}
+
+
+def test_a_migrated_chunk_is_one_file(spark, tmp_path, request):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    table = spark.range(60).selectExpr("concat('i', lpad(id, 2, '0')) AS id", "concat('text ', id) AS body", *[f"0 AS {c}" for c in FLAGS])
+    twice = table.unionByName(table.where("id = 'i07'"))  # equal rows stay rows of their own
+    migration.migrate(spark, twice.repartition(6), out, state, "prompt", size=8, max_chunks=2)
+    listed = migration.migrate(spark, twice.repartition(6), out, state, "prompt", size=8)
+    assert rows(listed, "chunk", "n_rows", "total_rows") == [(k, 8 if k < 7 else 5, min(8 * k + 8, 61)) for k in range(8)]
+    got = spark.read.parquet(out)
+    assert [r[0] for r in rows(got, "id")] == sorted([f"i{k:02d}" for k in range(60)] + ["i07"])
+    assert rows(got.where("id = 'i07'"), "chunk_name") == [("migration_base_part_000",), ("migration_base_part_001",)]
+    files = got.select("chunk_name", F.input_file_name().alias("f")).distinct()
+    assert files.count() == 8
