@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -49,7 +49,8 @@ def stream_ingest(
     Months arrive in any order, so an event-time watermark would drop old comments as late, and
     state without one would grow for ever.  The memory is a bucketed id set instead (``id_index``,
     beside the main data unless ``index`` names another folder): a micro-batch reads the buckets of its own ids
-    and never the main table.  What a batch is about to append is noted first; a batch
+    and never the main table.  It first settles ids and times alone; then whole rows are shuffled once, and not written
+    down besides the main table; of few new ids only their rows move.  What a batch is about to append is noted first; a batch
     that was broken off is settled from that note and the main table's months in it, so a replay
     appends each id once.  A main table without a set gets one from its ids.
     """
@@ -67,15 +68,28 @@ def _append_new(batch: DataFrame, main: str, index: str) -> None:
     spark, note = batch.sparkSession, f"{index}/note"
     settle(spark, main, index)
     month = F.coalesce(year_month("created_utc"), F.lit("unknown"))
-    fresh = materialize(dedup_by_id(batch).withColumn(MONTH, month), "arrived")
-    unseen(fresh.select("id", MONTH), index).write.parquet(note)
-    new = spark.read.schema(_NOTE).parquet(note)
-    rows = fresh.join(new.select(F.col("id").alias("_id")), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    append_slices(rows, main, [MONTH])
+    # The first row per id is known by its time; texts, which only tell rows of one id and time apart, stay where they are.
+    timeless = F.bool_or(F.col("created_utc").isNull())
+    firsts = batch.groupBy("id").agg(F.when(~timeless, F.min("created_utc")).alias("created_utc"))
+    firsts = materialize(firsts.withColumn(MONTH, month), "arrived")
+    unseen(firsts, index).select("id", MONTH, "created_utc").write.parquet(note)
+    new = spark.read.schema(f"{_NOTE}, created_utc long").parquet(note)
+    wanted, keyed = new.select(_key().alias("_key")), batch.withColumn("_key", _key())
+    if wanted.count() <= _FEW:  # nothing else moves
+        keyed = keyed.join(F.broadcast(wanted), "_key", "left_semi")
+    rows = dedup_by_id(keyed, id_col="_key").join(wanted, "_key", "left_semi")
+    append_slices(rows.drop("_key").withColumn(MONTH, month), main, [MONTH])
     add_ids(new, index)
     remove(spark, note)
 
 
+def _key() -> Column:
+    """Time and id as one key that is never null and differs where either does."""
+    time, name = F.col("created_utc").cast("string"), F.concat(F.lit("="), F.col("id"))
+    return F.concat(F.coalesce(time, F.lit("")), F.lit(" "), F.coalesce(name, F.lit("")))
+
+
+_FEW = 100_000  # keys that are broadcast
 _NOTE = f"id string, {MONTH} string"
 
 

@@ -94,6 +94,25 @@ def test_a_batch_that_breaks_off_is_settled(spark, tmp_path, monkeypatch, step):
     assert stored(spark, main) == BOTH
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_a_batch_writes_its_texts_to_the_main_table_only(spark, tmp_path, monkeypatch, few):
+    """The first row per id, times before texts, a missing time first; nothing but ids and times is written besides."""
+    main, index, written = str(tmp_path / "main"), str(tmp_path / "ids"), []
+    keep = ingest.materialize
+    monkeypatch.setattr(ingest, "materialize", lambda df, label: written.append(df.columns) or keep(df, label))
+    monkeypatch.setattr(ingest, "_FEW", few, raising=False)
+    data = [(i, f"text {k}", t, "sub", 1, 0, None) for k, (i, t) in enumerate([*FIRST, *SECOND, ("a", 1), ("d", None), ("d", None), ("", 5), ("", 5)])]
+    ingest._append_new(spark.createDataFrame(data[::-1], COMMENTS).repartition(5), main, index)
+    ingest._append_new(spark.createDataFrame(data, COMMENTS), main, index)
+    least = {}
+    for row in data:
+        rank = row[2] is not None, row[2] or 0, row[1]
+        least[row[0]] = min(least.get(row[0], (rank, row)), (rank, row), key=lambda x: x[0])
+    got = spark.read.schema("id string, body string, created_utc long").parquet(main).select("id", "body", "created_utc").collect()
+    assert sorted(map(tuple, got), key=str) == sorted((row[:3] for _, row in least.values()), key=str)
+    assert written and not [c for c in written if "body" in c]
+
+
 def test_a_table_without_a_set_gets_one(spark, tmp_path):
     main = str(tmp_path / "main")
     ingest.append_slices(batch(spark, FIRST).withColumn("year_month", F.lit("1970-01")), main, ["year_month"])
