@@ -135,38 +135,59 @@ def build_lexicon(texts: DataFrame, path: str, lexicon_size: int) -> bytes:
     return bytes(built.raw) if built else compile_lexicon({})
 
 
-def mapped(buffer: bytes) -> Lexicon:
+class Entries:
+    """The automaton with its words' ids and tokens as strings, each joined by a space, by the words' ordinals."""
+
+    def __init__(self, lexicon: Lexicon, names: list[str]):
+        self.find, starts = lexicon.find, pa.array(lexicon.starts.astype(np.int64))
+        self.sizes = np.diff(lexicon.starts.astype(np.int64))
+        ids = pa.array(lexicon.ids)
+        tokens = pa.array(names, pa.large_string()).take(ids)
+        self.strings = [_by_space(starts, ids.cast(pa.large_string())), _by_space(starts, tokens)]
+
+
+def mapped(own: Codec, buffer: bytes) -> Entries:
     """The automaton over a memory-mapped copy that vanishes with the process."""
     mark, state = hashlib.blake2b(buffer).digest(), worker_state("bpe")
     if state.get("mark") != mark:
         with tempfile.TemporaryFile() as file:
             file.write(buffer)
             file.flush()
-            state["lexicon"] = Lexicon(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
-        state["mark"] = mark
+            lexicon = Lexicon(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
+        state["lexicon"], state["mark"] = Entries(lexicon, own.names), mark
     return state["lexicon"]
 
 
-def _resolve(own: Codec, lexicon: Lexicon, words: list[str]) -> tuple[list[int], list[str], list[str]]:
-    """For each word its number of ids, its ids and its tokens, each joined by a space."""
+def _resolve(own: Codec, entries: Entries, words: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
+    """Each word's place among the entries and the words that they lack, and there the number of ids, the ids and the tokens."""
     cache, names = own.cache, own.names.__getitem__
-    entries = list(map(cache.get, words))
-    fresh = [i for i, e in enumerate(entries) if e is None]
-    for i, at in zip(fresh, lexicon.find([words[i] for i in fresh]).tolist(), strict=True):
-        ids = lexicon.ids_of(at) if at >= 0 else own.merge(words[i])
-        entries[i] = len(ids), " ".join(map(str, ids)), " ".join(map(names, ids))
-        if at < 0 and len(words[i]) <= 64:
-            if len(cache) >= CACHE_SIZE:
-                cache.clear()
-            cache[words[i]] = entries[i]
-    return tuple(zip(*entries, strict=True)) if entries else ((), (), ())
-
-
-def _joined(pieces: tuple[str, ...], numbers: np.ndarray, lengths: np.ndarray) -> list[str]:
+    places = entries.find(words)
+    lacking = np.flatnonzero(places < 0)
+    places[lacking] = len(entries.sizes) + np.arange(len(lacking))
+    merged = []
+    for word in map(words.__getitem__, lacking.tolist()):
+        entry = cache.get(word)
+        if entry is None:
+            ids = own.merge(word)
+            entry = len(ids), " ".join(map(str, ids)), " ".join(map(names, ids))
+            if len(word) <= 64:
+                if len(cache) >= CACHE_SIZE:
+                    cache.clear()
+                cache[word] = entry
+        merged.append(entry)
+    sizes, *strings = zip(*merged, strict=True) if merged else ((), (), ())
+    both = [pa.concat_arrays([x, pa.array(y, pa.large_string())]) for x, y in zip(entries.strings, strings, strict=True)]
+    return places, np.concatenate([entries.sizes, np.array(sizes, np.int64)]), *both
+
+
+def _by_space(ends: pa.Array, strings: pa.Array) -> pa.Array:
+    return pc.binary_join(pa.LargeListArray.from_arrays(ends, strings), pa.scalar(" ", pa.large_string()))
+
+
+def _joined(pieces: pa.Array, numbers: np.ndarray, lengths: np.ndarray) -> list[str]:
     """For each text the pieces of its words, joined by a space."""
     ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]))
-    taken = pa.array(pieces, pa.large_string()).take(pa.array(numbers))
-    return pc.binary_join(pa.LargeListArray.from_arrays(ends, taken), pa.scalar(" ", pa.large_string())).to_pylist()
+    return _by_space(ends, pieces.take(pa.array(numbers))).to_pylist()
 
 
 def encode(
@@ -186,7 +207,8 @@ def encode(
     kind = texts.schema["_id"].dataType.simpleString()
 
     def run(batches):
-        own, lexicon = codec(path), mapped(shared.value)
+        own = codec(path)
+        entries = mapped(own, shared.value)
         for batch in batches:
             rows, size, at = [], 0, 0
             columns = batch.column("_text")
@@ -194,13 +216,14 @@ def encode(
                 rows.append(own.words(columns[k].as_py()))
                 size += len(rows[-1])
                 if size >= 100_000 or k == len(columns) - 1:  # words held at a time, besides one text's own
-                    yield build(own, lexicon, batch.column("_id").slice(at, len(rows)), rows)
+                    yield build(own, entries, batch.column("_id").slice(at, len(rows)), rows)
                     at, size, rows = at + len(rows), 0, []
 
-    def build(own, lexicon, ids, rows):
+    def build(own, entries, ids, rows):
         distinct, numbers, lengths = numbered(rows)
-        sizes, ids_of, tokens_of = _resolve(own, lexicon, distinct)
-        counts = summed(np.array(sizes, np.int64)[numbers], lengths)
+        places, sizes, ids_of, tokens_of = _resolve(own, entries, distinct)
+        numbers = places[numbers]
+        counts = summed(sizes[numbers], lengths)
         encoded, decoded = _joined(ids_of, numbers, lengths), _joined(tokens_of, numbers, lengths)
         if digests:
             sha = lambda xs: [hashlib.sha256(x.encode()).hexdigest() for x in xs]

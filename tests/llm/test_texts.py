@@ -342,3 +342,22 @@ def test_whole_budget_takes_everything(spark, docs):
     with_tokens = sum(1 for r in rows() if re.search(r"[^ \t\n\f\r]", r[1] or ""))
     assert mixed.where("_tokens > 0").count() == with_tokens
     assert WORDS
+
+
+def test_lexicon_words_are_resolved_without_a_step_each(monkeypatch):
+    """Frequent words get their ids and tokens from arrays over the automaton; only words it lacks are merged."""
+    own, merged = bpe.Codec(WORD_BPE), []
+    known = ["the", "café", "a", "tokenizer", "unrecognisable", "7"]
+    buffer = compile_lexicon({w: own.merge(w) for w in known})
+    monkeypatch.setattr(Lexicon, "ids_of", lambda *_: pytest.fail("a word by itself"))
+    monkeypatch.setattr(own, "merge", lambda w, merge=own.merge: merged.append(w) or merge(w))
+    words = [known[k % 6] if k % 3 else f"other{k % 4}" for k in range(40)]
+    for _ in range(2):
+        places, sizes, ids, tokens = bpe._resolve(own, bpe.mapped(own, buffer), words)
+        for w, k in zip(words, places, strict=True):
+            want = [t.id for t in own.model.tokenize(w if w.isascii() else "".join(own.letters[c] for c in w))]
+            assert (sizes[k], ids[k].as_py()) == (len(want), " ".join(map(str, want)))
+            assert tokens[k].as_py() == " ".join(own.names[i] for i in want)
+    assert sorted(merged) == ["other0", "other1", "other2", "other3"]
+    empty = bpe._resolve(own, bpe.mapped(own, compile_lexicon({})), ["the"])
+    assert empty[2][empty[0][0]].as_py() == " ".join(map(str, own.merge("the")))
