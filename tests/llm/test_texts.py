@@ -361,3 +361,22 @@ def test_lexicon_words_are_resolved_without_a_step_each(monkeypatch):
     assert sorted(merged) == ["other0", "other1", "other2", "other3"]
     empty = bpe._resolve(own, bpe.mapped(own, compile_lexicon({})), ["the"])
     assert empty[2][empty[0][0]].as_py() == " ".join(map(str, own.merge("the")))
+
+
+def test_anchors_of_hot_blocks_meet_no_join(spark, monkeypatch):
+    """Frequent names are filtered for; the one lookup by a join is for spans that are not frequent themselves."""
+    monkeypatch.setattr(repeats, "HOT", 20)
+    keys = [(1, 1)] * 60 + [(1, 2)] * 2 + [(1, 3)] + [(2, 1)] * 40 + [(k, 0) for k in range(10, 40)] + [(50, 5)] * 2 + [(51, 1), (51, 2)]
+    data = [(c, w, i, 0, i << 8) for i, (c, w) in enumerate(keys)]
+    suffixes = spark.createDataFrame(data, "core bigint, whole bigint, _id bigint, _twin bigint, span bigint")
+    blocks = repeats.shared_blocks(suffixes)
+    joins = [line for line in blocks._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+    assert len(joins) == 1 and "LeftSemi" in joins[0]
+    got = {(r["_id"], r["full"], r["ask"]) for r in blocks.collect() if r["full"] or r["ask"]}
+    seen, blocks_of = Counter(keys), defaultdict(set)
+    for c, w in seen:
+        blocks_of[c].add(w)
+    full = {(i, True) for i, k in enumerate(keys) if seen[k] > 1}
+    asks = {keys.index((c, w)) for c, ws in blocks_of.items() if sum(seen[c, w] for w in ws) > 1 and min(seen[c, w] for w in ws) == 1 for w in ws}
+    assert {(i, f) for i, f, _ in got if f} == full
+    assert {i for i, _, a in got if a} == asks
