@@ -10,10 +10,14 @@ and the next begins.  Only between coarse cuts that enclose a token whose offset
 of a character, a byte-fallback token, the space that B adds) the bytes of the entries are decoded, and the byte
 offsets at which tokens of both end cut further.  A unit whose decoded bytes differ from its own leaves its text without tokens.
 
-Counts are pre-aggregated: a chunk of texts makes one row with its distinct id pairs, the number of its texts that link each,
-and for each text which pairs it links how often.  Chunks' counts are summed per pair, an id's highest count is
-taken, and both are joined back to the chunks' pairs, not to every text's; so a pair that all texts share costs a row
-per chunk.  Nothing of the corpus' pairs is broadcast or collected.
+Counts are pre-aggregated: a chunk of texts makes one row with its distinct id pairs and the number of its texts that link
+each, and a short row per text with the pairs that it links and how often, as bytes.  Chunks' counts are summed per pair, an
+id's highest count is taken, and both go back to the chunks' pairs, not to every text's; so a pair that all texts share costs
+a row per chunk.  Chunks' pairs and texts then meet sorted by chunk, and a worker holds the counts of one chunk at a time.
+Nothing of the corpus' pairs is broadcast or collected.
+
+A worker's memory does not grow with the table: units are encoded ``SLICE`` at a time in the worker's own thread, texts
+come in batches of ``BATCH_BYTES``, and what a chunk took is given back before the next.
 
 Null and empty texts have no tokens.  Repeated rows are texts of their own; null ids are kept row by row.  An empty table
 gives an empty result; columns other than the id and the text are not read.
@@ -22,6 +26,7 @@ gives an empty result; columns other than the id and the text are not read.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterable
 from itertools import chain
@@ -34,10 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.llm.common import keyed, numbered, stored, summed, worker_state
+from commentloom.llm.common import give_back, keyed, numbered, setting, stored, summed, worker_state
 
 CACHE_SIZE = 350_000
 CHUNK_CHARS = 1_500_000  # characters of a chunk, besides one text's own
+SLICE = 10_000  # new units that the libraries see at a time
+BATCH_BYTES = "4m"  # of texts that go to a worker at a time, besides one text's own
+BLOCK_BYTES = 16 << 20  # of chunks that a writer holds
 B_BITS = 16  # bits of a pair's code that hold the B id
 # A space with another character than white space on both sides; some code points count as white space to be safe.
 _GAP = "\\s\u180e\u200b\u2060\ufeff\x1c-\x1f"
@@ -68,6 +76,7 @@ class Pair:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and each thread keeps memory of its own
         self.a = Tokenizer.from_file(path_a)
         self.a.no_truncation()
         self.a.no_padding()
@@ -86,25 +95,25 @@ class Pair:
         self.used = np.zeros(0, bool)  # whether a kept unit was met again
 
     def align(self, units: list[str]) -> tuple[Block, np.ndarray]:
-        """A block that holds every one of the distinct ``units``, and the place of each in it."""
-        places = list(map(self.places.get, units))
-        fresh = [i for i, x in enumerate(places) if x is None]
-        known = len(self.known.good)
-        self.used[[x for x in places if x is not None]] = True
-        block = self.aligned([units[i] for i in fresh])
-        for place, i in enumerate(fresh, known):
-            places[i] = place
-        whole, places = _joined([self.known, block]), np.array(places, np.int64)
-        short = [i for i in fresh if len(units[i]) <= 48]
-        self.known = whole if len(short) == len(fresh) else _taken(whole, np.concatenate([np.arange(known), places[short]]))
-        self.places.update((units[i], place) for place, i in enumerate(short, known))
+        """A block of the distinct ``units``, and the place of each in it."""
+        kept = list(map(self.places.get, units))
+        held = np.array([x for x in kept if x is not None], np.int64)
+        fresh = [u for u, x in zip(units, kept, strict=True) if x is None]
+        self.used[held] = True
+        parts = [self.aligned(fresh[i : i + SLICE]) for i in range(0, len(fresh), SLICE)]
+        block = _joined([_taken(self.known, held), *parts])
+        is_fresh = np.array([x is None for x in kept], bool)
+        places = np.where(is_fresh, len(held) + np.cumsum(is_fresh) - 1, np.cumsum(~is_fresh) - 1)
+        short = [i for i, u in enumerate(fresh) if len(u) <= 48]
+        self.places.update((fresh[i], place) for place, i in enumerate(short, len(self.used)))
+        self.known = _joined([self.known, _taken(block, len(held) + np.array(short, np.int64))])
         self.used = np.concatenate([self.used, np.zeros(len(short), bool)])
         if len(self.used) > CACHE_SIZE:  # what was met once goes
             names = [u for u, place in self.places.items() if self.used[place]][: CACHE_SIZE // 2]
             self.known = _taken(self.known, np.array([self.places[u] for u in names], np.int64))
             self.places = {u: place for place, u in enumerate(names)}
             self.used = np.zeros(len(names), bool)
-        return whole, places
+        return block, places
 
     def aligned(self, units: list[str], alone: bool = False) -> Block:
         """The units' groups and links.  The libraries see up to ``TOGETHER`` units at a time as one text, unless ``alone``."""
@@ -261,6 +270,25 @@ def pair_for(path_a: str, path_b: str) -> Pair:
     return state[path_a, path_b]
 
 
+def _narrow(n: int) -> np.dtype:
+    """The narrowest type that holds 0 to ``n``."""
+    return np.min_scalar_type(max(0, int(n)))
+
+
+def _blobs(values: np.ndarray, bounds: np.ndarray, kind: np.dtype) -> pa.BinaryArray:
+    """The bytes of each run of ``values``."""
+    raw = values.astype(kind)
+    offsets = (bounds * raw.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+
+
+def _bytes(blobs: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the blobs, and how many each has."""
+    _, offsets, data = blobs.buffers()
+    at = np.frombuffer(offsets, np.int32)[blobs.offset : blobs.offset + len(blobs) + 1]
+    return np.frombuffer(data or b"", np.uint8)[at[0] : at[-1]], np.diff(at)
+
+
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -274,16 +302,22 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     kind = texts.schema["_id"].dataType.simpleString()
 
     def run(batches):
-        pair, serial = pair_for(path_a, path_b), 0
+        pair, serial, ids, rows, size = pair_for(path_a, path_b), 0, [], [], 0
         for batch in batches:
-            column, rows, at, size = batch.column("_text"), [], 0, 0
+            column, at = batch.column("_text"), 0
             for k in range(len(column)):
                 text = column[k].as_py()
                 rows.append(units_of(text) if text else [])
                 size += len(text)
-                if size >= CHUNK_CHARS or k == len(column) - 1:
-                    yield build(pair, TaskContext.get().partitionId() << 32 | serial, batch.column("_id").slice(at, len(rows)), rows)
-                    at, size, rows, serial = at + len(rows), 0, [], serial + 1
+                if size >= CHUNK_CHARS:
+                    ids.append(batch.column("_id").slice(at, k + 1 - at))
+                    yield from build(pair, TaskContext.get().partitionId() << 32 | serial, pa.concat_arrays(ids), rows)
+                    give_back()
+                    at, ids, rows, size, serial = k + 1, [], [], 0, serial + 1
+            ids.append(batch.column("_id").slice(at))
+        if rows:
+            yield from build(pair, TaskContext.get().partitionId() << 32 | serial, pa.concat_arrays(ids), rows)
+            give_back()
 
     def build(pair, chunk, ids, rows):
         distinct, numbers, lengths = numbered(rows)
@@ -308,48 +342,62 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         key, times = np.unique(np.repeat(whose, many) * np.int64(max(1, len(pairs))) + slot, return_counts=True)
         doc, own = np.divmod(key, max(1, len(pairs)))
         held = np.bincount(own, minlength=len(pairs))
-        bounds = np.searchsorted(doc, np.arange(len(rows) + 1)).astype(np.int32)
-        one = lambda x, t: pa.ListArray.from_arrays(pa.array(bounds), pa.array(x, t))
-        fields = [ids, *counts, pa.array(shas, pa.string()), one(own, pa.int32()), one(times, pa.int64())]
-        fields += [strings.cast(pa.string())] * groups
-        listed = pa.StructArray.from_arrays(fields, names=names)
-        whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([chunk]), whole(pa.array(pairs.astype(np.int64))), whole(pa.array(held, pa.int64())), whole(listed)],
-            names=["chunk", "pairs", "held", "docs"],
-        )
+        bounds = np.searchsorted(doc, np.arange(len(rows) + 1))
+        blobs = [_blobs(own, bounds, _narrow(len(pairs))), _blobs(times, bounds, _narrow(times.max(initial=0)))]
+        fields = [ids, *counts, pa.array(shas, pa.string()), *blobs] + [strings.cast(pa.string())] * groups
+        whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x.astype(np.int64)))
+        many = pa.list_(pa.int64())
+        yield row_batch(chunk, 1, whole(pairs), whole(held), pa.nulls(1, pa.struct(list(zip(names, (x.type for x in fields), strict=True)))))
+        yield row_batch(chunk, len(rows), pa.nulls(len(rows), many), pa.nulls(len(rows), many), pa.StructArray.from_arrays(fields, names=names))
+
+    def row_batch(chunk, n, *columns):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk, np.int64)), *columns], names=["chunk", "pairs", "held", "doc"])
+
+    def sums(batches):
+        worker_state("align_sums")  # the tokenizers and what they left are not needed any more
+        give_back()
+        at, known, best = None, [], None
+        for batch in batches:
+            chunk, slot = batch.column("chunk").to_numpy(), batch.column("slot")
+            packed = pc.fill_null(batch.column("packed"), 0).to_numpy()
+            is_text = slot.is_null().to_numpy(zero_copy_only=False)
+            cuts = (np.flatnonzero((chunk[1:] != chunk[:-1]) | (is_text[1:] != is_text[:-1])) + 1).tolist()
+            for begin, end in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
+                if begin == end:
+                    continue
+                if chunk[begin] != at:
+                    at, known, best = chunk[begin], [], None
+                if not is_text[begin]:  # a chunk's pairs come before its texts, in the order of their slots
+                    known.append(packed[begin:end])
+                    continue
+                if best is None:
+                    known = np.concatenate([np.zeros(0, np.int64), *known])
+                    known, best = known >> 1, known & 1
+                fields = dict(zip(names, batch.column("doc").slice(begin, end - begin).flatten(), strict=True))
+                (own, sizes), (times, _) = _bytes(fields.pop("own")), _bytes(fields.pop("times"))
+                width = _narrow(len(known))
+                own = own.view(width)
+                times = times.view(f"u{max(1, len(times) // max(1, len(own)))}").astype(np.int64)
+                for name, x in (("n_best", best), ("count_sum", known)):
+                    fields[name] = pa.array(summed(x[own] * times, sizes // width.itemsize))
+                yield pa.RecordBatch.from_arrays([fields[c] for c in shown], names=shown)
 
     names = ["_id", *_COUNTS, "groups_sha256", "own", "times"] + ["groups"] * groups
-    kinds = [kind, *["bigint"] * 4, "string", "array<int>", "array<bigint>"] + ["string"] * groups
-    doc = ",".join(f"{n}:{k}" for n, k in zip(names, kinds, strict=True))
-    schema = f"chunk bigint, pairs array<bigint>, held array<bigint>, docs array<struct<{doc}>>"
-    chunks, _ = stored(texts.mapInArrow(run, schema), "chunks")
+    kinds = [kind, *["bigint"] * 4, "string", "binary", "binary"] + ["string"] * groups
+    doc = f"struct<{','.join(f'{n}:{k}' for n, k in zip(names, kinds, strict=True))}>"
+    schema = f"chunk bigint, pairs array<bigint>, held array<bigint>, doc {doc}"
+    shown = ["_id", *_COUNTS, "n_best", "count_sum", "groups_sha256"] + ["groups"] * groups
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+        chunks, _ = stored(texts.mapInArrow(run, schema), "chunks", **{"parquet.block.size": BLOCK_BYTES})
     counts, _ = stored(pair_counts(chunks), "pairs")
+    packed = F.shiftleft("n", 1) + F.col("best").cast("bigint")
     placed = chunks.select("chunk", F.posexplode("pairs").alias("slot", "pair")).join(counts, "pair")
-    known = placed.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("slot", "n", "best"))).alias("known"))
-
-    def results(d):
-        begin = F.struct(F.lit(0).cast("bigint").alias("best"), F.lit(0).cast("bigint").alias("sum"))
-
-        def step(acc, x):
-            mine = F.get("known", x["own"])
-            return F.struct(
-                (acc["best"] + F.when(mine["best"], x["times"]).otherwise(0)).alias("best"),
-                (acc["sum"] + mine["n"] * x["times"]).alias("sum"),
-            )
-
-        sums = F.aggregate(F.arrays_zip(d["own"].alias("own"), d["times"].alias("times")), begin, step)
-        shown = [d[c].alias(c) for c in names if c not in ("own", "times")]
-        return F.struct(*shown, sums.alias("sums"))
-
-    out = chunks.join(known, "chunk", "left").select(F.explode(F.transform("docs", results)).alias("d"))
-    return out.select(
-        F.col("d._id").alias(id_col),
-        *[F.col(f"d.{c}").alias(c) for c in _COUNTS],
-        F.col("d.sums.best").alias("n_best"),
-        F.col("d.sums.sum").alias("count_sum"),
-        *[F.col(f"d.{c}").alias(c) for c in ["groups_sha256"] + ["groups"] * groups],
-    )
+    placed = placed.select("chunk", "slot", packed.alias("packed"), F.lit(None).cast(doc).alias("doc"))
+    rows = chunks.filter("pairs IS NULL").select("chunk", F.lit(None).cast("int").alias("slot"), F.lit(None).cast("bigint").alias("packed"), "doc")
+    met = placed.union(rows).repartition("chunk").sortWithinPartitions("chunk", F.asc_nulls_last("slot"))
+    of = dict(zip(names, kinds, strict=True))
+    out = met.mapInArrow(sums, ", ".join(f"`{c}` {of.get(c, 'bigint')}" for c in shown))
+    return out.withColumnRenamed("_id", id_col)
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:

@@ -133,6 +133,39 @@ def test_units_seen_together_align_as_alone(pair):
         assert one.counts.tolist() == other.counts.tolist() and one.codes.tolist() == other.codes.tolist()
 
 
+def test_the_libraries_see_a_slice_of_new_units_at_a_time(monkeypatch):
+    own, seen = align.Pair(A, B), []
+    monkeypatch.setattr(align, "SLICE", 5)
+    monkeypatch.setattr(align.Pair, "aligned", lambda self, units, *a, f=align.Pair.aligned: seen.append(len(units)) or f(self, units, *a))
+    for k in range(6):  # units met before, new and unknown ones in turn
+        text = f"the text {k} of word{k} ▁{k} and " + " ".join(f"unit{j}" for j in range(4 * k)) + " " + "long" * 20
+        groups = [whole(own, x) for x in align.units_of(text)]
+        block, places = own.align(list(dict.fromkeys(align.units_of(text))))
+        shown_ = dict(zip(dict.fromkeys(align.units_of(text)), (block.shown[int(i)].as_py() for i in places), strict=True))
+        assert [shown_[u] for u in align.units_of(text)] == [shown(g) for g in groups]
+    assert max(seen) <= 5
+
+
+def test_no_row_holds_more_than_one_text(spark, pair, monkeypatch):
+    """Neither what is written between the passes nor what the last pass reads holds a chunk's texts in one row."""
+    kept = []
+    monkeypatch.setattr(align, "stored", lambda df, label, f=align.stored, **o: kept.append(f(df, label, **o)) or kept[-1])
+    data = [(i, f"the same words in every text and number {i} 😀", "en", "s", 0) for i in range(500)] + [(None, None, None, None, None)]
+    before = [spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # chunks go over batches, pairs and texts of a chunk over several
+    try:
+        out = align.align(documents(spark, data), A, B)
+        got = answers(out)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before[0])
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before[1]
+    assert got == expected(pair, data)
+    chunks = kept[0][0]
+    n_chunks = chunks.select("chunk").distinct().count()
+    assert n_chunks <= chunks.rdd.getNumPartitions() * 2 and chunks.count() == n_chunks + len(data)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+
+
 def test_query(spark, pair):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     out = queries.QUERIES["op11_token_alignment"](spark, SMALL)
