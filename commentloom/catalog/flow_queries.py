@@ -128,7 +128,8 @@ def _(spark, sf):
         [(c, w, 0) for c, w in v.WORDS.items()], "category string, term string, pos long"
     )
     plan = harvest.harvest_plan(labelled, audit.targets_from_goal(spark, 100000), cached)
-    found = harvest.harvest_candidates(v.comments(spark, sf), dim(spark, sf), plan.terms)
+    terms = [] if plan is None else plan.terms  # every goal is met: there is nothing to look for
+    found = harvest.harvest_candidates(v.comments(spark, sf), dim(spark, sf), terms)
     return found.select("id", "tier", "year", "body_clean")
 
 
@@ -144,10 +145,12 @@ def _(spark, sf):
         [(c, w, 0) for c, w in v.WORDS.items()], "category string, term string, pos long"
     )
     out, lexicon = scratch_path(spark, "harvested"), scratch_path(spark, "lexicon")
-    harvest.publish_harvest_run(
+    run = harvest.publish_harvest_run(
         v.labelled(spark, sf), audit.targets_from_goal(spark, 100000), cached, v.comments(spark, sf), dim(spark, sf),
         word_labels, out, PROMPT, lexicon,
     )
+    if run is None:  # every goal is met: nothing is published, no lexicon is saved
+        return spark.createDataFrame([], f"id string, {', '.join(f'{c} int' for c in v.WORDS)}, saved_terms long")
     saved = spark.read.parquet(lexicon).agg(F.count("*")).scalar()
     return spark.read.parquet(out).select("id", *v.WORDS, saved.alias("saved_terms"))
 

@@ -1,15 +1,19 @@
 import json
 import os
+from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import ORACLES
 from commentloom.operators import audit, ledger
 from commentloom.plans import harvest, worker
 from commentloom.schemas import COMMENTS
 from commentloom.sources import config, scan, sinks
 from commentloom.streaming import ingest
-from conftest import plan_of
+from check import compare, connect
+from conftest import SMALL, plan_of
 
 ROWS = [("1", "one", 100, "a", 1, 0, None), ("2", "two", 200, "b", 2, 0, None), ("1", "late", 300, "a", 3, 0, None)]
 
@@ -204,6 +208,25 @@ def test_harvest_stops_when_targets_are_met(spark):
     assert (plan.category, plan.shortfall) == ("caste", 9)
 
 
+@pytest.mark.parametrize("hits", [12499, 12500])
+def test_harvest_flows_over_tables_that_just_miss_or_meet_every_goal(spark, tmp_path, hits):
+    """The queries' goal is 12,500 hits a category; when it is met there are no candidates, as in SQL, and no error."""
+    sf, own = str(tmp_path), {
+        "documents": "i AS doc_id, concat('trash worthless idiot scum text ', i) AS text, 'en' AS lang, concat('src', i % 5) AS source, 32::BIGINT AS n_chars",
+        "labels": "i AS doc_id, 0::BIGINT AS quality, 1::BIGINT AS toxic",
+        "orders": "i AS o_orderkey, TIMESTAMP '2020-01-01' AS o_orderdate",
+    }
+    for path in Path(SMALL).iterdir():
+        if path.stem in own:
+            duckdb.sql(f"COPY (SELECT {own[path.stem]} FROM range(1, {hits} + 1) t(i)) TO '{sf}/{path.name}' (FORMAT parquet)")
+        else:
+            (tmp_path / path.name).symlink_to(path)
+    con = connect(sf)
+    for name in ("flow_harvest_candidates", "flow_harvest_run"):
+        assert compare(spark, con, sf, name) == ""
+    assert (con.execute(f"SELECT count(*) FROM ({ORACLES['flow_harvest_candidates']})").fetchone()[0] > 0) == (hits < 12500)
+
+
 def test_a_second_harvest_publishes_other_comments(spark, tmp_path):
     """The ledger keeps what the first round published out of the second one's draw."""
     flags = "profanity_vulgarity int, targeted_abuse_harassment int, discriminatory_hate_speech int, caste int, communal_religious int, regional_xenophobic int, misogyny_gender int"
