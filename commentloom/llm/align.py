@@ -345,13 +345,15 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         bounds = np.searchsorted(doc, np.arange(len(rows) + 1))
         blobs = [_blobs(own, bounds, _narrow(len(pairs))), _blobs(times, bounds, _narrow(times.max(initial=0)))]
         fields = [ids, *counts, pa.array(shas, pa.string()), *blobs] + [strings.cast(pa.string())] * groups
-        whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x.astype(np.int64)))
-        many = pa.list_(pa.int64())
-        yield row_batch(chunk, 1, whole(pairs), whole(held), pa.nulls(1, pa.struct(list(zip(names, (x.type for x in fields), strict=True)))))
-        yield row_batch(chunk, len(rows), pa.nulls(len(rows), many), pa.nulls(len(rows), many), pa.StructArray.from_arrays(fields, names=names))
+        listed = lambda x: pa.array([x.astype(np.int64)])
+        no_text = pa.nulls(1, pa.struct([(n, x.type) for n, x in zip(names, fields, strict=True)]))
+        no_pairs = pa.nulls(len(rows), pa.list_(pa.int64()))
+        yield row_batch(chunk, listed(pairs), listed(held), no_text)
+        yield row_batch(chunk, no_pairs, no_pairs, pa.StructArray.from_arrays(fields, names=names))
 
-    def row_batch(chunk, n, *columns):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk, np.int64)), *columns], names=["chunk", "pairs", "held", "doc"])
+    def row_batch(chunk, *columns):
+        chunks = pa.array(np.full(len(columns[0]), chunk, np.int64))
+        return pa.RecordBatch.from_arrays([chunks, *columns], names=["chunk", "pairs", "held", "doc"])
 
     def sums(batches):
         worker_state("align_sums")  # the tokenizers and what they left are not needed any more
@@ -363,7 +365,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
             is_text = slot.is_null().to_numpy(zero_copy_only=False)
             cuts = (np.flatnonzero((chunk[1:] != chunk[:-1]) | (is_text[1:] != is_text[:-1])) + 1).tolist()
             for begin, end in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
-                if begin == end:
+                if begin == end:  # an empty batch
                     continue
                 if chunk[begin] != at:
                     at, known, best = chunk[begin], [], None
